@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference processes batch files only (no stream, watermark or state
+anywhere in it), so this package holds no operator.  Every batch plan in
+``ladle.operators`` is written with DataFrame operations that Structured
+Streaming also accepts where the semantics allow it (projections,
+filters, stream-static joins), so a caller can run them inside
+``foreachBatch`` over an incremental review feed.
+"""
