@@ -15,3 +15,14 @@ def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_R
     ``df``) is small enough; otherwise leave the choice to AQE, which
     picks a shuffled join from runtime sizes."""
     return F.broadcast(df) if bound <= max_rows else df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its size.
+
+    The check is a bounded scan (``limit(max_rows + 1).count()``), so it
+    stops early on a big table; beyond the bound the join is left to a
+    shuffle (AQE still splits skewed partitions there).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -69,6 +69,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
         ts = time.time() - t0
         if name not in orc:
             results[name] = f"rows-only {len(sdf)} ({ts:.1f}s)"
+            if verbose:
+                print(f"{name:28s} {results[name]}", flush=True)
             continue
         try:
             odf = con.sql(orc[name]).df()
