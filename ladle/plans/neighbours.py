@@ -7,6 +7,7 @@ from ladle.operators import features as FT
 from ladle.operators import neighbours as NB
 from ladle.operators import sequence as SQ
 from ladle.plans.registry import query
+from ladle.plans.storefront import SHELVES_SQL
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql, unit_vector_sql
 from ladle.sources.tables import base_table, fixture, with_fixtures
 
@@ -126,3 +127,41 @@ def embedding_neighbours(spark, sf):
     emb = base_table(spark, sf, "embeddings").select("vec_id", "embedding")
     q = SQ.sample_rows(emb, EMB_SAMPLE, key="vec_id", salt="e-")
     return NB.embedding_neighbours(q, emb, EMB_K, n_queries=EMB_SAMPLE)
+
+
+# --- storefront views over the neighbour result (J6 J10 Q12 Q13) ----------
+
+def _sugg_subquery() -> str:
+    return f"({suggestions_sql('review_log')}) sugg"
+
+
+@query("detail_view", oracle=with_fixtures(f"""
+select s.recipeid, s.firstsuggestid, s.firstsuggestname, o.name, o.recipecategory, o.images,
+       g.recipecategory as suggest_category, g.images as suggest_image,
+       coalesce(starts_with(o.images, 'http'), false) as has_image,
+       coalesce(starts_with(g.images, 'http'), false) as suggest_has_image
+from (select distinct recipeid, firstsuggestid, firstsuggestname from {_sugg_subquery()}) s
+left join (select recipeid, name, recipecategory, images[1] as images from recipes) o
+  on o.recipeid = s.recipeid
+left join (select recipeid, recipecategory, images[1] as images from recipes) g
+  on g.recipeid = s.firstsuggestid
+""", "recipes"))
+def detail_view(spark, sf):
+    from ladle.operators import storefront as S
+    return S.detail_view(suggestions_for(spark, sf, "review_log"), fixture(spark, sf, "recipes"))
+
+
+@query("storefront_shelves", oracle=with_fixtures(f"""
+, catalog as (
+  select distinct recipeid, name, recipecategory, images[1] as images from recipes
+  where recipeid in (select recipeid from {_sugg_subquery()}))
+, merged as (
+  select r.recipeid, r.authorid, k.recipecategory
+  from reviews r left join catalog k on r.recipeid = k.recipeid)
+""" + SHELVES_SQL,
+    "recipes", "reviews"))
+def storefront_shelves(spark, sf):
+    from ladle.operators import storefront as S
+    sugg = suggestions_for(spark, sf, "review_log")
+    catalog = S.storefront_catalog(fixture(spark, sf, "recipes"), restrict=sugg)
+    return S.shelves(fixture(spark, sf, "reviews"), catalog, 5, 5)

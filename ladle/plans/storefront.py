@@ -43,7 +43,7 @@ def top_per_category(spark, sf):
     return S.top_per_category(fixture(spark, sf, "reviews"), _catalog(spark, sf), 5)
 
 
-_SHELVES_SQL = """
+SHELVES_SQL = """
 , cats as (
   select recipecategory, count(authorid) as review_count
   from merged where recipecategory is not null
@@ -61,7 +61,7 @@ where r.n <= 5
 """
 
 
-@query("shelves_top5", oracle=with_fixtures("", "recipes", "reviews") + _CATALOG + _SHELVES_SQL)
+@query("shelves_top5", oracle=with_fixtures("", "recipes", "reviews") + _CATALOG + SHELVES_SQL)
 def shelves_top5(spark, sf):
     return S.shelves(fixture(spark, sf, "reviews"), _catalog(spark, sf), 5, 5)
 
