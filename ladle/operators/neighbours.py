@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.columns import as_text, dot, round_sim
-from ladle.operators.bounded import MAX_BROADCAST_ROWS
+from ladle.session import ensure_checkpoint_dir
+from ladle.operators.bounded import MAX_BROADCAST_ROWS, broadcast_bounded
 
 # Fixed value: length of the ranked list the score is read from.
 TOP_K = 1000
@@ -33,32 +34,36 @@ N_SUGGEST = 3
 
 
 def _pair_scores(queries: DataFrame, candidates: DataFrame, dim: int, q_vec: str,
-                 c_vec: str, q_item: str, c_item: str) -> DataFrame:
+                 c_vec: str, q_item: str, c_item: str, keep: list[str]) -> DataFrame:
     qv = [F.col(q_vec)[i] for i in range(dim)]
     cv = [F.col(c_vec)[i] for i in range(dim)]
+    # Only narrow columns leave the pairing: the vectors are consumed here.
     return (candidates.join(F.broadcast(queries), F.col(q_item) != F.col(c_item), "inner")
-            .withColumn("sim", round_sim(dot(qv, cv))))
+            .select(*keep, c_item, round_sim(dot(qv, cv)).alias("sim")))
 
 
 def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int, k: int = TOP_K,
                       query_key: str = "review_id", q_vec: str = "q_vec", c_vec: str = "c_vec",
                       q_item: str = "recipeid", c_item: str = "cand_id",
-                      n_queries: int | None = None) -> DataFrame:
+                      n_queries: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """J13 + P13 + W4: the ``k`` most similar candidates per query, ranked by
     rounded similarity then candidate id; the query's own item is excluded (F4).
 
+    Output: ``query_key``, ``keep`` columns, ``c_item``, ``sim``, ``rn``.
     ``n_queries`` is the proven upper bound on ``queries`` (its sample
     size).  Above ``MAX_BROADCAST_ROWS`` the queries are split into chunks
     by a hash of their key and each chunk is broadcast on its own; the
     union is exact.
     """
+    keep = [query_key] + [c for c in (keep or []) if c != query_key]
+    candidates = spread(candidates)
     bound = n_queries if n_queries is not None else MAX_BROADCAST_ROWS
-    chunks = max(1, math.ceil(2 * bound / MAX_BROADCAST_ROWS)) if bound > MAX_BROADCAST_ROWS else 1
+    chunks = math.ceil(2 * bound / MAX_BROADCAST_ROWS) if bound > MAX_BROADCAST_ROWS else 1
     parts = []
     for c in range(chunks):
         q = queries if chunks == 1 else queries.filter(
             F.pmod(F.xxhash64(F.col(query_key)), F.lit(chunks)) == c)
-        parts.append(_pair_scores(q, candidates, dim, q_vec, c_vec, q_item, c_item))
+        parts.append(_pair_scores(q, candidates, dim, q_vec, c_vec, q_item, c_item, keep))
     pairs = parts[0]
     for p in parts[1:]:
         pairs = pairs.unionByName(p)
@@ -66,18 +71,26 @@ def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int, k: in
     return pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
 
 
-def score_suggestions(ranked: DataFrame, query_cols: list[str], query_key: str = "review_id",
-                      c_item: str = "cand_id", c_name: str = "cand_name",
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it has fewer partitions than
+    cores (a catalog in one file would otherwise pair in a single task).
+    The pairing does |queries| times the work of this one shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+_WORDS = ["first", "second", "third"]
+
+
+def score_suggestions(ranked: DataFrame, query_key: str = "review_id", c_item: str = "cand_id",
                       target: str = "nextrecipeid", k: int = TOP_K) -> DataFrame:
-    """P16 + W5: top three ids/names (NULL when fewer) and the score
+    """P16 + W5: top three ids (NULL when fewer) and the score
     ``(k + 1 - rank) / k`` of the expected next item, 0 if it is not ranked."""
-    aggs = []
-    for i, word in enumerate(["first", "second", "third"][:N_SUGGEST], start=1):
-        aggs.append(F.max(F.when(F.col("rn") == i, F.col(c_item))).alias(f"{word}suggestid"))
-        aggs.append(F.max(F.when(F.col("rn") == i, F.col(c_name))).alias(f"{word}suggestname"))
+    aggs = [F.max(F.when(F.col("rn") == i, F.col(c_item))).alias(f"{w}suggestid")
+            for i, w in enumerate(_WORDS[:N_SUGGEST], start=1)]
     hit = F.when(F.col(c_item) == F.col(target), (F.lit(k + 1) - F.col("rn")) / F.lit(k))
     aggs.append(F.coalesce(F.max(hit), F.lit(0.0)).alias("score"))
-    return ranked.groupBy(query_key, *query_cols).agg(*aggs)
+    return ranked.groupBy(query_key).agg(*aggs)
 
 
 def suggestions(sample: DataFrame, candidates: DataFrame, names: DataFrame, dim: int,
@@ -85,29 +98,33 @@ def suggestions(sample: DataFrame, candidates: DataFrame, names: DataFrame, dim:
     """Q7: neighbour suggestions with score for each sampled review.
 
     ``sample``: review_id, authorid, recipeid, name, nextrecipeid, normfeatures
-    (query space).  ``candidates``: recipeid, name, normfeatures (catalog
-    space).  ``names``: recipeid, name — the catalog, for the expected name.
+    (query space; at most ``n_queries`` rows).  ``candidates``: recipeid,
+    normfeatures (catalog space).  ``names``: recipeid, name — the catalog.
     Queries whose every candidate is excluded still appear, with NULL
     suggestions and score 0.
     """
-    q = sample.select("review_id", "authorid", "recipeid", "name", "nextrecipeid",
-                      F.col("normfeatures").alias("q_vec"))
-    c = candidates.select(F.col("recipeid").alias("cand_id"), F.col("name").alias("cand_name"),
-                          F.col("normfeatures").alias("c_vec"))
-    ranked = ranked_neighbours(q, c, dim, k, n_queries=n_queries)
-    scored = score_suggestions(ranked.drop("q_vec", "c_vec"),
-                               ["authorid", "recipeid", "name", "nextrecipeid"], k=k)
-    # Queries with no ranked candidate at all keep a row (score 0).
-    base = q.drop("q_vec")
-    scored = base.join(scored.drop("authorid", "recipeid", "name", "nextrecipeid"),
-                       "review_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    # Name of the expected recipe.  The catalog is cut to the sampled
-    # targets by a semi-join against the (bounded) sample before the lookup.
-    targets = q.select(F.col("nextrecipeid").alias("recipeid")).filter(F.col("recipeid").isNotNull())
-    expect = (names.join(F.broadcast(targets), "recipeid", "left_semi")
-              .groupBy("recipeid").agg(F.min("name").alias("expect_recipe"))
-              .withColumnRenamed("recipeid", "nextrecipeid"))
-    out = scored.join(expect, "nextrecipeid", "left")
+    q = sample.select("review_id", "recipeid", "nextrecipeid", F.col("normfeatures").alias("q_vec"))
+    c = candidates.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
+    ranked = ranked_neighbours(q, c, dim, k, n_queries=n_queries, keep=["nextrecipeid"])
+    # At most n_queries rows, read twice below: materialise once.
+    ensure_checkpoint_dir(sample.sparkSession)
+    scored = score_suggestions(ranked, k=k).checkpoint(eager=True)
+    base = sample.select("review_id", "authorid", "recipeid", "name", "nextrecipeid")
+    out = base.join(broadcast_bounded(scored, n_queries), "review_id", "left").withColumn(
+        "score", F.coalesce("score", F.lit(0.0)))
+    # J12 and the suggestion names: the catalog is cut to the (at most 4n)
+    # ids the result mentions by a semi-join against the bounded result,
+    # then looked up; the catalog itself is never broadcast.
+    id_cols = [f"{w}suggestid" for w in _WORDS[:N_SUGGEST]] + ["nextrecipeid"]
+    wanted = out.select(F.explode(F.array(*[F.col(x) for x in id_cols])).alias("recipeid")).filter(
+        F.col("recipeid").isNotNull())
+    looked = (names.join(broadcast_bounded(wanted, (N_SUGGEST + 1) * n_queries), "recipeid", "left_semi")
+              .groupBy("recipeid").agg(F.min("name").alias("_nm")))
+    looked = broadcast_bounded(looked, (N_SUGGEST + 1) * n_queries)
+    for x in id_cols:
+        label = "expect_recipe" if x == "nextrecipeid" else x.replace("id", "name")
+        out = (out.join(looked.select(F.col("recipeid").alias("_id"), F.col("_nm").alias(label)),
+                        F.col(x) == F.col("_id"), "left").drop("_id"))
     return out.select(
         "review_id", F.col("authorid").alias("reviewerid"), "recipeid",
         F.col("name").alias("recipe_name"),

@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladle.operators.bounded import broadcast_bounded, broadcast_if_small
 from ladle.session import ensure_checkpoint_dir
 
 _LEAD1, _LEAD2 = "_lead1", "_lead2"
@@ -121,7 +122,44 @@ def sample_rows(df: DataFrame, n: int, key: str = "review_id", salt: str = "7-",
 
 
 def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
-                     holdout: bool = False, salt: str = "7-") -> DataFrame:
-    """Q6: frequent authors → drop latest → next recipe → sample ``n`` rows."""
-    seq = next_item(frequent_key_rows(features, key), key, holdout=holdout)
-    return sample_rows(seq, n, "review_id", salt)
+                     holdout: bool = False, salt: str = "7-",
+                     order: Sequence[str] = ("datesubmitted", "review_id"),
+                     value: str = "recipeid", out: str = "nextrecipeid") -> DataFrame:
+    """Q6: frequent authors → drop latest → next recipe → sample ``n`` rows.
+
+    Only the ``n`` sampled rows need a next item, so the sample is drawn
+    first and the sequence work is done for it alone:
+
+    1. each key's latest row comes from a partial ``max(struct(order))``
+       aggregate and is removed with an anti-join on the row id;
+    2. the ``n`` rows are drawn from what is left (per-task top-n);
+    3. the bounded sample is broadcast against the kept rows of the same
+       keys that come later in ``order``; a partial ``min(struct)`` per
+       sampled row yields its next item.  The big side is streamed, never
+       shuffled, so a prolific author costs no single task anything.
+
+    Same rows and values as ``sample_rows(next_item(...), n)``.
+    """
+    rid = order[-1]
+    freq = frequent_key_rows(features, key)
+    pos = F.struct(*[F.col(c) for c in order])
+    latest = (freq.groupBy(key).agg(F.max(pos).alias("_last"))
+              .select(F.col("_last")[rid].alias(rid)))
+    kept = freq.join(broadcast_if_small(latest), rid, "left_anti")
+    if holdout:
+        pool = freq
+    else:
+        pool = kept
+    # The sample is read three times below and again by every consumer; it
+    # holds at most n rows, so it is materialised once (reliable checkpoint).
+    ensure_checkpoint_dir(features.sparkSession)
+    sample = sample_rows(kept, n, rid, salt).checkpoint(eager=True)
+    probe = sample.select(F.col(key).alias("_k"), F.col(rid).alias("_sid"),
+                          F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_spos"))
+    later = (pool.select(key, F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_pos"),
+                         F.col(value).alias("_v"))
+             .join(broadcast_bounded(probe, n), (F.col(key) == F.col("_k")) & (F.col("_pos") > F.col("_spos")))
+             .groupBy("_sid").agg(F.min(F.struct("_pos", "_v")).alias("_next")))
+    return (sample.join(broadcast_bounded(later, n), F.col(rid) == F.col("_sid"), "left")
+            .withColumn(out, F.col("_next")["_v"]).drop("_sid", "_next")
+            .checkpoint(eager=True))
