@@ -30,17 +30,17 @@ def key_counts(df: DataFrame, key: str, n: int = 20) -> DataFrame:
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample stddev, min, max per column, one row each,
-    typed as doubles (``describe`` returns text)."""
-    parts = []
-    for c in columns:
+    typed as doubles (``describe`` returns text).  One aggregation pass
+    computes all of them; ``stack`` turns the single row into one row per
+    column."""
+    aggs = []
+    for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        parts.append(df.agg(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
-            F.min(x).alias("min"), F.max(x).alias("max")).select(F.lit(c).alias("column_name"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    args = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(columns))
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(columns)}, {args}) as (column_name, count, mean, stddev, min, max)")
 
 
 def distinct_counts(reviews: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
                          .alias(name + "_vec"))
 
     q = unit(queries, "q")
-    c = unit(items, "c")
+    c = unit(spread(items), "c")
     bound = n_queries if n_queries is not None else MAX_BROADCAST_ROWS
     qb = F.broadcast(q) if bound <= MAX_BROADCAST_ROWS else q
     sim = F.aggregate(F.zip_with("q_vec", "c_vec", lambda a, b: a * b), F.lit(0.0),

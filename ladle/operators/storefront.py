@@ -118,18 +118,21 @@ def random_shelf(catalog: DataFrame, n: int = 5, seed: int | None = None,
 
 def author_check(attempts: DataFrame, reviews: DataFrame, text_col: str = "user_input") -> DataFrame:
     """Q15 (P11 F10): a login text is accepted when it is ASCII digits and
-    names a known author.  Membership is a left-semi existence test on the
-    distinct author ids, run as a join, not a driver-side list."""
-    authors = reviews.select(F.col("authorid").cast("bigint").alias("_aid")).distinct()
+    names a known author.  Membership is one left join against the
+    distinct author ids (a set, so no row multiplies), not a driver list."""
+    authors = reviews.select(F.col("authorid").cast("bigint").alias("_known")).distinct()
     parsed = attempts.withColumn("is_digit", is_ascii_digits(text_col)).withColumn(
         "_aid", F.when(F.col("is_digit"), F.col(text_col).try_cast("bigint")))
-    known = parsed.join(authors, "_aid", "left_semi").select(text_col).withColumn("_known", F.lit(True))
-    # Attempt texts can repeat; the flag joins back on the text itself.
-    known = known.distinct()
-    return (parsed.join(known, text_col, "left")
+    return (parsed.join(authors, F.col("_aid") == F.col("_known"), "left")
             .select(text_col, "is_digit",
                     F.col("_aid").try_cast("int").alias("user_id"),
-                    F.coalesce(F.col("_known"), F.lit(False)).alias("accepted")))
+                    F.col("_known").isNotNull().alias("accepted")))
+
+
+def recipe_by_id(recipes: DataFrame, recipe_id: int, key: str = "recipeid") -> DataFrame:
+    """the first catalog row of one id (ordered by name for a stable
+    pick), or no row; the filter is pushed into the Parquet scan."""
+    return recipes.filter(F.col(key) == F.lit(recipe_id)).orderBy(F.asc_nulls_last("name")).limit(1)
 
 
 def users_without_recs(authors: DataFrame, recs: DataFrame) -> DataFrame:

@@ -49,3 +49,9 @@ def test_author_check(spark):
     reviews = spark.createDataFrame([(7, 1)], "authorid int, recipeid int")
     got = sorted((r.user_input, r.accepted) for r in S.author_check(attempts, reviews).collect())
     assert got == [("", False), ("7", True), ("7", True), ("8", False), ("x7", False)]
+
+
+def test_recipe_by_id(spark):
+    cat = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "recipeid int, name string")
+    assert [tuple(r) for r in S.recipe_by_id(cat, 1).collect()] == [(1, "a")]
+    assert S.recipe_by_id(cat, 9).count() == 0
