@@ -37,7 +37,6 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     """Add ``_lead1`` / ``_lead2``: structs ``(ok, v)`` of the next and
     second-next row of the same ``key`` in ``order``; NULL when absent."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
     nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
 
@@ -46,7 +45,9 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     # sampled per exchange, so the fragmented table is materialised once with
     # a reliable checkpoint (shared checkpoint directory): every later read,
     # and every recomputation after an executor loss, sees the same ids.
-    ranged = (df.repartitionByRange(n, key, *order)
+    # Without an explicit count AQE may merge adjacent ranges of a small
+    # input; merged ranges are still contiguous, so fragments stay valid.
+    ranged = (df.repartitionByRange(*([partitions] if partitions else []), key, *order)
               .withColumn("_frag", F.spark_partition_id())
               .checkpoint(eager=True))
     w = Window.partitionBy(key, "_frag").orderBy(*order)
