@@ -7,6 +7,7 @@ from ladle.operators import features as FT
 from ladle.operators import neighbours as NB
 from ladle.operators import sequence as SQ
 from ladle.plans.registry import query
+from ladle.session import materialize
 from ladle.plans.storefront import SHELVES_SQL
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql, unit_vector_sql
 from ladle.sources.tables import base_table, fixture, with_fixtures
@@ -21,7 +22,10 @@ def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler
     sample → ranked neighbours → suggestions with score."""
     raw = fixture(spark, sf, "recipes")
     recipes = C.clean_recipes(raw)
-    feats = C.review_features(fixture(spark, sf, reviews), raw)
+    # Read five times below (scaler fit, author counts, latest rows, sample,
+    # next-recipe probe): joined once and written as Parquet under the
+    # shared checkpoint directory.
+    feats = materialize(C.review_features(fixture(spark, sf, reviews), raw), "review-features")
     cols = FT.RECIPE_VECTOR_COLUMNS
     cand_model = FT.fit_scaler(recipes, cols)
     query_model = cand_model if shared_scaler else FT.fit_scaler(feats, cols)

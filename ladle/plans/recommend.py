@@ -144,3 +144,16 @@ def als_pick_detail(spark, sf):
     recs = R.recommend_for_users(_model(spark, sf), _ratings(spark, sf), 1)
     wide = R.wide_recommendations(recs, fixture(spark, sf, "recipes"), 1)
     return S.pick_detail(wide.select("authorid", "recipeid1", "name1"), fixture(spark, sf, "recipes"))
+
+
+# Fixed parameters of the registered tuning run (the reference's grid has
+# 9 x 14 x 7 points; the grid is an argument of ``tune_als``).
+TUNE_RANKS, TUNE_REGS, TUNE_ITERS = [5, 10], [0.1], [10]
+
+
+@query("als_tuning")
+def als_tuning(spark, sf):
+    """M11 + M12: validation RMSE per grid point, best first."""
+    train, _ = _split(spark, sf)
+    _, metrics = R.tune_als(train, TUNE_RANKS, TUNE_REGS, TUNE_ITERS)
+    return metrics

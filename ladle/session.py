@@ -59,3 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df, label: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint directory and
+    read it back: later readers get column pruning and no recomputation,
+    and the lineage is cut (a lost executor re-reads files instead of
+    re-running joins).  Returns the re-read DataFrame."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/ladle-tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
