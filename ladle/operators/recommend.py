@@ -119,6 +119,13 @@ def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 5) -> DataFr
     return model.recommendForUserSubset(users.select(USER).distinct(), n)
 
 
+def known_users(model: ALSModel) -> DataFrame:
+    """Users the model has factors for: exactly the users that
+    ``recommend_for_users`` returns a row for (given a non-empty catalog),
+    without computing any recommendation."""
+    return model.userFactors.select(F.col("id").alias(USER))
+
+
 def recommend_for_items(model: ALSModel, items: DataFrame, n: int = 5) -> DataFrame:
     """Top-``n`` users for each item in ``items``."""
     return model.recommendForItemSubset(items.select(ITEM).distinct(), n)
@@ -137,7 +144,8 @@ def wide_recommendations(recs: DataFrame, catalog: DataFrame, n: int, key: str =
     """
     names = catalog.select(F.col("recipeid").alias("_item"), F.col("name").alias("_name"))
     names = names.groupBy("_item").agg(F.min("_name").alias("_name"))
-    long = recs.select(key, F.posexplode(array_col).alias("_pos", "_rec")).select(
+    # posexplode_outer keeps a key whose array is empty (one row of NULLs).
+    long = recs.select(key, F.posexplode_outer(array_col).alias("_pos", "_rec")).select(
         key, "_pos", F.col("_rec")[item].alias("_item"), F.col("_rec")[score].alias("_score"))
     joined = long.join(broadcast_if_small(names), "_item", "left")
     aggs = []
@@ -146,9 +154,7 @@ def wide_recommendations(recs: DataFrame, catalog: DataFrame, n: int, key: str =
         aggs += [F.max(F.when(hit, F.col("_item"))).alias(f"{item}{i + 1}"),
                  F.max(F.when(hit, F.col("_name"))).alias(f"name{i + 1}"),
                  F.max(F.when(hit, F.col("_score"))).alias(f"{score}{i + 1}")]
-    wide = joined.groupBy(key).agg(*aggs)
-    # Keys whose array is empty still get a row of NULLs.
-    return recs.select(key).distinct().join(wide, key, "left")
+    return joined.groupBy(key).agg(*aggs)
 
 
 def wide_item_recommendations(recs: DataFrame, catalog: DataFrame, n: int) -> DataFrame:

@@ -10,7 +10,8 @@ per-author task:
 2. Each (key, range) *fragment* is small; ``lead`` runs per fragment.
 3. The first two rows of every fragment form a small *heads* table (at
    most two rows per fragment).  For each fragment, the heads that follow
-   it in the same key supply the leads of its last two rows.
+   it in the same key supply the leads of its last two rows; only those
+   edge rows (two per fragment) take part in that join.
 
 Two shuffles touch the full data (the range exchange and the hash
 exchange on (key, fragment)); both have bounded partitions whatever the
@@ -63,14 +64,17 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
              .filter(F.col("_next_frag").isNull() | (F.col("_next_frag") != F.col("_frag")))
              .select(F.col(key).alias("_tkey"), F.col("_frag").alias("_tfrag"), "_n1", "_n2"))
 
+    # Only the last two rows of a fragment lack a local lead; the rest of the
+    # data keeps its window output and is never joined or shuffled again.
+    bulk = local.filter(F.col("_l2").isNotNull()).select(
+        *cols, F.col("_l1").alias(_LEAD1), F.col("_l2").alias(_LEAD2))
+    edge = local.filter(F.col("_l2").isNull())
     # Null-safe key match: a NULL key is one group, as in a window.
-    j = local.join(tails, F.col(key).eqNullSafe(F.col("_tkey")) & (F.col("_frag") == F.col("_tfrag")),
-                   "left")
+    j = edge.join(tails, F.col(key).eqNullSafe(F.col("_tkey")) & (F.col("_frag") == F.col("_tfrag")),
+                  "left")
     lead1 = F.when(F.col("_l1").isNull(), F.col("_n1")).otherwise(F.col("_l1"))
-    lead2 = (F.when(F.col("_l1").isNull(), F.col("_n2"))
-             .when(F.col("_l2").isNull(), F.col("_n1"))
-             .otherwise(F.col("_l2")))
-    return j.select(*cols, lead1.alias(_LEAD1), lead2.alias(_LEAD2))
+    lead2 = F.when(F.col("_l1").isNull(), F.col("_n2")).otherwise(F.col("_n1"))
+    return bulk.unionByName(j.select(*cols, lead1.alias(_LEAD1), lead2.alias(_LEAD2)))
 
 
 def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.columns import first_element, has_image, is_ascii_digits
-from ladle.operators.bounded import broadcast_bounded
+from ladle.operators.bounded import broadcast_bounded, broadcast_if_small
 
 # Fixed value: padding for the shorter of the ingredient / quantity lists.
 PAD_TEXT = "not have information"
@@ -163,13 +163,19 @@ def instruction_rows(recipes: DataFrame) -> DataFrame:
 def detail_view(suggestions: DataFrame, recipes: DataFrame) -> DataFrame:
     """Q13 (F9 J10 P6 P10): for each reviewed recipe in the neighbour
     result, its own catalog entry and the catalog entry of its first
-    suggestion.  Missing matches stay NULL (D13) instead of raising."""
-    own = recipes.select("recipeid", "name", "recipecategory",
-                         first_element("images").alias("images"))
-    sug = recipes.select(F.col("recipeid").alias("firstsuggestid"),
-                         F.col("recipecategory").alias("suggest_category"),
-                         first_element("images").alias("suggest_image"))
+    suggestion.  Missing matches stay NULL (D13) instead of raising.
+
+    The catalog is first cut to the ids the result mentions (a semi-join
+    against them, broadcast after a size check), so the lookups join two
+    small tables whatever the catalog size."""
     base = suggestions.select("recipeid", "firstsuggestid", "firstsuggestname").dropDuplicates()
+    ids = base.select("recipeid").union(base.select(F.col("firstsuggestid").alias("recipeid"))).distinct()
+    cut = recipes.join(broadcast_if_small(ids), "recipeid", "left_semi").select(
+        "recipeid", "name", "recipecategory", first_element("images").alias("images"))
+    own = cut.select("recipeid", "name", "recipecategory", "images")
+    sug = cut.select(F.col("recipeid").alias("firstsuggestid"),
+                     F.col("recipecategory").alias("suggest_category"),
+                     F.col("images").alias("suggest_image"))
     return (base.join(own, "recipeid", "left").join(sug, "firstsuggestid", "left")
             .withColumn("has_image", has_image("images"))
             .withColumn("suggest_has_image", has_image("suggest_image")))
