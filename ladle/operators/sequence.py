@@ -10,8 +10,8 @@ per-author task:
 2. Each (key, range) *fragment* is small; ``lead`` runs per fragment.
 3. The first two rows of every fragment form a small *heads* table (at
    most two rows per fragment).  For each fragment, the heads that follow
-   it in the same key supply the leads of its last two rows; only those
-   edge rows (two per fragment) take part in that join.
+   it in the same key supply the leads of its last two rows.  The join
+   uses the window's partition key, so only the small table moves.
 
 Two shuffles touch the full data (the range exchange and the hash
 exchange on (key, fragment)); both have bounded partitions whatever the
@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ladle.operators.bounded import broadcast_bounded, broadcast_if_small
 from ladle.session import ensure_checkpoint_dir
@@ -33,6 +34,18 @@ from ladle.session import ensure_checkpoint_dir
 _LEAD1, _LEAD2 = "_lead1", "_lead2"
 
 
+def _key_value(df: DataFrame, key: str):
+    """A never-NULL stand-in for ``key``; paired with ``isnull(key)`` it
+    separates the NULL group from every real value, so plain equi-joins
+    and window partitions can use it."""
+    dtype = df.schema[key].dataType
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(F.col(key), F.lit(0).cast(dtype))
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(F.col(key), F.lit(""))
+    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+
+
 def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
           partitions: int | None = None) -> DataFrame:
     """Add ``_lead1`` / ``_lead2``: structs ``(ok, v)`` of the next and
@@ -50,31 +63,32 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     # input; merged ranges are still contiguous, so fragments stay valid.
     ranged = (df.repartitionByRange(*([partitions] if partitions else []), key, *order)
               .withColumn("_frag", F.spark_partition_id())
+              .withColumn("_kv", _key_value(df, key))
+              .withColumn("_kn", F.col(key).isNull())
               .checkpoint(eager=True))
-    w = Window.partitionBy(key, "_frag").orderBy(*order)
+    grp = ["_kv", "_kn", "_frag"]
+    w = Window.partitionBy(*grp).orderBy(*order)
     local = (ranged.withColumn("_l1", F.lead(nxt, 1).over(w))
              .withColumn("_l2", F.lead(nxt, 2).over(w))
              .withColumn("_rn", F.row_number().over(w)))
 
-    heads = local.filter(F.col("_rn") <= 2).select(key, "_frag", "_rn", value)
-    hw = Window.partitionBy(key).orderBy("_frag", "_rn")
+    heads = local.filter(F.col("_rn") <= 2).select(*grp, "_rn", value)
+    hw = Window.partitionBy("_kv", "_kn").orderBy("_frag", "_rn")
     tails = (heads.withColumn("_n1", F.lead(nxt, 1).over(hw))
              .withColumn("_n2", F.lead(nxt, 2).over(hw))
              .withColumn("_next_frag", F.lead("_frag", 1).over(hw))
              .filter(F.col("_next_frag").isNull() | (F.col("_next_frag") != F.col("_frag")))
-             .select(F.col(key).alias("_tkey"), F.col("_frag").alias("_tfrag"), "_n1", "_n2"))
-
-    # Only the last two rows of a fragment lack a local lead; the rest of the
-    # data keeps its window output and is never joined or shuffled again.
-    bulk = local.filter(F.col("_l2").isNotNull()).select(
-        *cols, F.col("_l1").alias(_LEAD1), F.col("_l2").alias(_LEAD2))
-    edge = local.filter(F.col("_l2").isNull())
-    # Null-safe key match: a NULL key is one group, as in a window.
-    j = edge.join(tails, F.col(key).eqNullSafe(F.col("_tkey")) & (F.col("_frag") == F.col("_tfrag")),
-                  "left")
+             .select(*grp, "_n1", "_n2"))
+
+    # The join key is the window's partition key, so ``local`` keeps its
+    # partitioning and only the small ``tails`` table (one row per
+    # fragment) moves.  Only the last two rows of a fragment use it.
+    j = local.join(tails, grp, "left")
     lead1 = F.when(F.col("_l1").isNull(), F.col("_n1")).otherwise(F.col("_l1"))
-    lead2 = F.when(F.col("_l1").isNull(), F.col("_n2")).otherwise(F.col("_n1"))
-    return bulk.unionByName(j.select(*cols, lead1.alias(_LEAD1), lead2.alias(_LEAD2)))
+    lead2 = (F.when(F.col("_l1").isNull(), F.col("_n2"))
+             .when(F.col("_l2").isNull(), F.col("_n1"))
+             .otherwise(F.col("_l2")))
+    return j.select(*cols, lead1.alias(_LEAD1), lead2.alias(_LEAD2))
 
 
 def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2) -> DataFrame:
