@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of RDDs that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
