@@ -33,16 +33,21 @@ TOP_K = 1000
 N_SUGGEST = 3
 
 
-def _pair_scores(queries: DataFrame, candidates: DataFrame, dim: int, q_vec: str,
+def _pair_scores(queries: DataFrame, candidates: DataFrame, dim: int | None, q_vec: str,
                  c_vec: str, q_item: str, c_item: str, keep: list[str]) -> DataFrame:
-    qv = [F.col(q_vec)[i] for i in range(dim)]
-    cv = [F.col(c_vec)[i] for i in range(dim)]
+    if dim is not None:
+        # Known width: a flat sum of products, compiled into the stage.
+        sim = dot([F.col(q_vec)[i] for i in range(dim)], [F.col(c_vec)[i] for i in range(dim)])
+    else:
+        # Any width: higher-order array functions (still JVM-side).
+        sim = F.aggregate(F.zip_with(q_vec, c_vec, lambda a, b: a * b), F.lit(0.0),
+                          lambda acc, x: acc + x)
     # Only narrow columns leave the pairing: the vectors are consumed here.
     return (candidates.join(F.broadcast(queries), F.col(q_item) != F.col(c_item), "inner")
-            .select(*keep, c_item, round_sim(dot(qv, cv)).alias("sim")))
+            .select(*keep, c_item, round_sim(sim).alias("sim")))
 
 
-def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int, k: int = TOP_K,
+def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int | None, k: int = TOP_K,
                       query_key: str = "review_id", q_vec: str = "q_vec", c_vec: str = "c_vec",
                       q_item: str = "recipeid", c_item: str = "cand_id",
                       n_queries: int | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -51,13 +56,13 @@ def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int, k: in
 
     Output: ``query_key``, ``keep`` columns, ``c_item``, ``sim``, ``rn``.
     ``n_queries`` is the proven upper bound on ``queries`` (its sample
-    size).  Above ``MAX_BROADCAST_ROWS`` the queries are split into chunks
+    size); without it the queries are counted first.  Above ``MAX_BROADCAST_ROWS`` the queries are split into chunks
     by a hash of their key and each chunk is broadcast on its own; the
     union is exact.
     """
     keep = [query_key] + [c for c in (keep or []) if c != query_key]
     candidates = spread(candidates)
-    bound = n_queries if n_queries is not None else MAX_BROADCAST_ROWS
+    bound = n_queries if n_queries is not None else queries.count()
     chunks = math.ceil(2 * bound / MAX_BROADCAST_ROWS) if bound > MAX_BROADCAST_ROWS else 1
     parts = []
     for c in range(chunks):
@@ -152,7 +157,8 @@ def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
                          n_queries: int | None = None) -> DataFrame:
     """P13 on an embedding table: cosine top-``k`` of each query vector among
     all other items.  Vectors of any width are normalised and multiplied
-    with higher-order array functions (JVM-side)."""
+    with higher-order array functions (JVM-side); the pairing, chunked
+    broadcast and partial top-k are those of ``ranked_neighbours``."""
     def unit(df, name):
         v = F.transform(F.col(vec), lambda x: x.cast("double"))
         norm = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
@@ -160,15 +166,8 @@ def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
                          F.transform(v, lambda x: F.when(norm == 0, F.lit(0.0)).otherwise(x / norm))
                          .alias(name + "_vec"))
 
-    q = unit(queries, "q")
-    c = unit(spread(items), "c")
-    bound = n_queries if n_queries is not None else MAX_BROADCAST_ROWS
-    qb = F.broadcast(q) if bound <= MAX_BROADCAST_ROWS else q
-    sim = F.aggregate(F.zip_with("q_vec", "c_vec", lambda a, b: a * b), F.lit(0.0),
-                      lambda acc, x: acc + x)
-    pairs = c.join(qb, F.col("q_id") != F.col("c_id")).select(
-        "q_id", "c_id", round_sim(sim).alias("sim"))
-    w = Window.partitionBy("q_id").orderBy(F.desc("sim"), F.asc("c_id"))
-    return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(F.col("q_id").alias(key), "rank", F.col("c_id").alias("neighbour_id"),
-                    F.round("sim", 6).alias("similarity")))
+    ranked = ranked_neighbours(unit(queries, "q"), unit(items, "c"), None, k, query_key="q_id",
+                               q_vec="q_vec", c_vec="c_vec", q_item="q_id", c_item="c_id",
+                               n_queries=n_queries)
+    return ranked.select(F.col("q_id").alias(key), F.col("rn").alias("rank"),
+                         F.col("c_id").alias("neighbour_id"), F.round("sim", 6).alias("similarity"))

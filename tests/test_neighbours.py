@@ -75,3 +75,20 @@ def test_similarities_bounded(spark):
     assert -1 - 1e-9 <= stats[0] and stats[1] <= 1 + 1e-9
     assert stats[2] == 299 and stats[3] == 5 * 299
     assert ranked.filter(F.col("recipeid") == F.col("cand_id")).count() == 0
+
+
+def test_chunked_broadcast_equals_single(spark, monkeypatch):
+    import random
+    random.seed(5)
+    rows = [(i, f"n{i}", _unit([random.uniform(-1, 1) for _ in range(3)])) for i in range(120)]
+    cat = spark.createDataFrame(rows, "recipeid int, name string, normfeatures array<double>")
+    q = cat.limit(30).select(F.concat(F.lit("q"), F.col("recipeid").cast("string")).alias("review_id"),
+                             "recipeid", F.col("normfeatures").alias("q_vec"))
+    c = cat.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
+    single = NB.ranked_neighbours(q, c, 3, k=7, n_queries=30)
+    monkeypatch.setattr(NB, "MAX_BROADCAST_ROWS", 4)
+    chunked = NB.ranked_neighbours(q, c, 3, k=7, n_queries=30)
+    cols = ["review_id", "cand_id", "rn", "sim"]
+    a = sorted(map(tuple, single.select(cols).collect()))
+    b = sorted(map(tuple, chunked.select(cols).collect()))
+    assert a == b and len(a) == 30 * 7
