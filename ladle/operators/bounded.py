@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # A side whose row count is bounded by a limit parameter is broadcast
 # only while the bound stays below this many rows.
 MAX_BROADCAST_ROWS = 100_000
+# A narrow dimension table (catalog attributes, key lists) is broadcast up
+# to this many rows after a count check: shipping it to every executor is
+# far cheaper than shuffling the fact table it joins.
+DIMENSION_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

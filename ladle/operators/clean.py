@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_if_small
 from ladle.functions.columns import array_size_or_zero, duration_minutes, text_length
 
 # The nutrient and popularity columns the jobs keep.
@@ -37,8 +38,11 @@ def review_features(reviews: DataFrame, recipes: DataFrame) -> DataFrame:
 
     The reference writes a left join followed by ``time IS NOT NULL``;
     ``time`` is never NULL on a catalog row, so that is an inner join and
-    is written as one (orphan reviews drop out).  Spark shuffles both sides
-    on ``recipeid`` (or broadcasts the catalog when AQE sees it is small);
-    a hot recipe is split by AQE's skew-join handling.
+    is written as one (orphan reviews drop out).  The cleaned catalog is
+    narrow, so it is broadcast after a row-count check and the review log
+    streams through without a shuffle (a hot recipe costs nothing extra);
+    above the bound both sides are shuffled on ``recipeid`` and AQE splits
+    skewed partitions.
     """
-    return clean_reviews(reviews).join(clean_recipes(recipes), "recipeid", "inner")
+    catalog = broadcast_if_small(clean_recipes(recipes), DIMENSION_BROADCAST_ROWS)
+    return clean_reviews(reviews).join(catalog, "recipeid", "inner")

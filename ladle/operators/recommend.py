@@ -16,7 +16,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators.bounded import broadcast_if_small
+from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_if_small
 from ladle.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "authorid", "recipeid", "rating"
@@ -147,7 +147,7 @@ def wide_recommendations(recs: DataFrame, catalog: DataFrame, n: int, key: str =
     # posexplode_outer keeps a key whose array is empty (one row of NULLs).
     long = recs.select(key, F.posexplode_outer(array_col).alias("_pos", "_rec")).select(
         key, "_pos", F.col("_rec")[item].alias("_item"), F.col("_rec")[score].alias("_score"))
-    joined = long.join(broadcast_if_small(names), "_item", "left")
+    joined = long.join(broadcast_if_small(names, DIMENSION_BROADCAST_ROWS), "_item", "left")
     aggs = []
     for i in range(n):
         hit = F.col("_pos") == i
@@ -164,5 +164,5 @@ def wide_item_recommendations(recs: DataFrame, catalog: DataFrame, n: int) -> Da
            .select("recipeid", "_c.name", "_c.recipecategory"))
     cols = [F.col("recommendations")[i][c].alias(f"{c}{i + 1}")
             for i in range(n) for c in (USER, "rating")]
-    return (recs.join(broadcast_if_small(cat), "recipeid", "left")
+    return (recs.join(broadcast_if_small(cat, DIMENSION_BROADCAST_ROWS), "recipeid", "left")
             .select("recipeid", "name", "recipecategory", *cols))

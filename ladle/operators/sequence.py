@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.operators.bounded import broadcast_bounded, broadcast_if_small
+from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_bounded, broadcast_if_small
 from ladle.session import ensure_checkpoint_dir
 
 _LEAD1, _LEAD2 = "_lead1", "_lead2"
@@ -93,11 +93,12 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
 
 def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2) -> DataFrame:
     """F5 + J3: rows whose key has more than ``more_than`` rows.  The count
-    is a partial aggregate; the filter is a left-semi join (AQE splits a
-    skewed key's partition of the big side)."""
+    is a partial aggregate; the filter is a left-semi join against the key
+    list, broadcast after a count check (then the big side is not
+    shuffled); above the bound AQE splits a skewed key's partition."""
     keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
             .filter(F.col("_cnt") > more_than).select(key))
-    return df.join(keys, key, "left_semi")
+    return df.join(broadcast_if_small(keys, DIMENSION_BROADCAST_ROWS), key, "left_semi")
 
 
 def drop_latest(df: DataFrame, key: str = "authorid",
