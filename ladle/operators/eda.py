@@ -38,7 +38,9 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    args = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(columns))
+    # Mean and stddev are reported to 6 places (engines differ in the last bits).
+    args = ", ".join(f"'{c}', n{i}, round(m{i}, 6), round(s{i}, 6), lo{i}, hi{i}"
+                     for i, c in enumerate(columns))
     return df.agg(*aggs).selectExpr(
         f"stack({len(columns)}, {args}) as (column_name, count, mean, stddev, min, max)")
 
@@ -88,4 +90,6 @@ def joined_means(reviews: DataFrame, recipes: DataFrame, key: str, n: int = 5) -
     j = _per_recipe(reviews).join(recipes.select("recipeid", key), "recipeid", "left")
     agg = j.groupBy(key).agg(
         (F.sum("_sum").cast("double") / F.sum("_nr")).alias("average_rating"))
-    return _top(agg, key, "average_rating", n)
+    # Ranked on the exact mean, reported to 6 places.
+    return _top(agg, key, "average_rating", n).withColumn(
+        "average_rating", F.round("average_rating", 6))

@@ -70,8 +70,9 @@ def name_reviews(spark, sf):
 
 def _mean_sql(key: str) -> str:
     return f"""
-select {key}, avg(rating) as average_rating from full_reviews group by {key}
-order by average_rating desc nulls last, {key} asc nulls first limit 5
+select {key}, round(average_rating, 6) as average_rating from (
+  select {key}, avg(rating) as average_rating from full_reviews group by {key}
+  order by average_rating desc nulls last, {key} asc nulls first limit 5) t
 """
 
 
@@ -86,14 +87,14 @@ def name_mean(spark, sf):
 
 
 @query("describe_reviews", oracle=with_fixtures("""
-select 'recipeid' as column_name, count(recipeid) as count, avg(recipeid) as mean,
-       stddev_samp(recipeid) as stddev, cast(min(recipeid) as double) as min,
+select 'recipeid' as column_name, count(recipeid) as count, round(avg(recipeid), 6) as mean,
+       round(stddev_samp(recipeid), 6) as stddev, cast(min(recipeid) as double) as min,
        cast(max(recipeid) as double) as max from reviews
 union all
-select 'authorid', count(authorid), avg(authorid), stddev_samp(authorid),
+select 'authorid', count(authorid), round(avg(authorid), 6), round(stddev_samp(authorid), 6),
        cast(min(authorid) as double), cast(max(authorid) as double) from reviews
 union all
-select 'rating', count(rating), avg(rating), stddev_samp(rating),
+select 'rating', count(rating), round(avg(rating), 6), round(stddev_samp(rating), 6),
        cast(min(rating) as double), cast(max(rating) as double) from reviews
 """, "reviews"))
 def describe_reviews(spark, sf):
