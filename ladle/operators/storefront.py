@@ -33,7 +33,7 @@ def storefront_catalog(recipes: DataFrame, restrict: DataFrame | None = None) ->
     cat = recipes.select("recipeid", "name", "recipecategory",
                          first_element("images").alias("images"))
     if restrict is not None:
-        cat = cat.join(restrict.select("recipeid"), "recipeid", "left_semi")
+        cat = cat.join(broadcast_if_small(restrict.select("recipeid").distinct()), "recipeid", "left_semi")
     return cat.dropDuplicates()
 
 

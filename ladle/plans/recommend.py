@@ -35,7 +35,7 @@ _MODELS: dict = {}
 
 def _model(spark, sf):
     """The baseline model of one table directory, fitted once per session."""
-    k = (id(spark), sf)
+    k = (spark.sparkContext.applicationId, sf)
     if k not in _MODELS:
         train, _ = _split(spark, sf)
         _MODELS[k] = R.fit_als(train)

@@ -49,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory the cluster names.
 
     The cluster's ``spark.checkpoint.dir`` always wins.  Only when it is
-    unset (a bare local test session) a scratch directory is created.
+    unset in a local-mode session (tests) a scratch directory is created;
+    a cluster session without one is an error, because a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="ladle-ckpt-")
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)

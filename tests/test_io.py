@@ -38,3 +38,24 @@ def test_projection_and_profile(spark):
     assert (prof.table_name, prof.row_count, prof.column_count) == ("t", 1, 3)
     keys = IO.keys_frame(spark, [3, 4], "authorid")
     assert [r.authorid for r in keys.collect()] == [3, 4]
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from ladle.session import ensure_checkpoint_dir, materialize
+    d = ensure_checkpoint_dir(spark)
+    assert d == spark.sparkContext.getCheckpointDir()
+    df = spark.range(10)
+    back = materialize(df, "t")
+    assert sorted(r.id for r in back.collect()) == list(range(10))
+    assert "ladle-tables" in back.inputFiles()[0]
+
+
+def test_broadcast_if_small_checks_size(spark):
+    from ladle.operators.bounded import broadcast_if_small
+    small = spark.range(5)
+    big = spark.range(50)
+    fact = spark.range(1000)
+    p1 = fact.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().sparkPlan().toString()
+    p2 = fact.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastHashJoin" in p1
+    assert "broadcast" not in p2.lower()
