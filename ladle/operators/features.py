@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.session import materialize
+
 # Attribute order of the recipe vector.
 RECIPE_VECTOR_COLUMNS = ["reviewcount", "calories", "fatcontent", "sodiumcontent",
                          "carbohydratecontent", "proteincontent", "instructionstep", "time"]
@@ -73,7 +75,9 @@ def author_vectors(profile: DataFrame) -> DataFrame:
     """M6: author vectors from the profile.  An author none of whose reviews
     has text has a NULL mean length; it enters the vector as 0 (the
     assembler would reject a NULL)."""
-    filled = profile.fillna(0, subset=["avg_reviewlength"])
+    # The profile is read twice (scaler fit, transform) and costs a shuffle
+    # of the review log to build: written once under the checkpoint dir.
+    filled = materialize(profile.fillna(0, subset=["avg_reviewlength"]), "author-profile")
     return unit_vectors(filled, AUTHOR_VECTOR_COLUMNS, out="authorfeatures")
 
 

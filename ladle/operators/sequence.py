@@ -2,8 +2,9 @@
 
 ``lead`` over ``Window.partitionBy(author)`` sends every review of an
 author to one task; if one author holds a third of the log, that task
-holds a third of the data.  ``leads`` computes the same values without a
-per-author task:
+holds a third of the data.  ``leads`` counts rows per author first; the
+authors under a hot threshold use that plain window, and the rows of hot
+authors get the same values without a per-author task:
 
 1. ``repartitionByRange`` on ``(key, order…)``: Spark samples the full
    composite key, so a hot key's rows spread over many contiguous ranges.
@@ -46,10 +47,43 @@ def _key_value(df: DataFrame, key: str):
     return F.coalesce(F.col(key).cast("string"), F.lit(""))
 
 
+# A key with more rows than this is "hot": its rows are split over many
+# tasks.  Any other key's rows fit comfortably in one task.
+HOT_KEY_ROWS = 1_000_000
+
+
 def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
-          partitions: int | None = None) -> DataFrame:
+          partitions: int | None = None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Add ``_lead1`` / ``_lead2``: structs ``(ok, v)`` of the next and
-    second-next row of the same ``key`` in ``order``; NULL when absent."""
+    second-next row of the same ``key`` in ``order``; NULL when absent.
+
+    Keys are counted first (a partial aggregate).  Rows of keys with at
+    most ``hot_key_rows`` rows take a plain window partitioned by key; rows
+    of hot keys take the range-fragment path.  The hot key list is bounded
+    by ``rows / hot_key_rows`` and broadcast after a size check.
+    """
+    cols = df.columns
+    nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
+    kdf = df.withColumn("_kv", _key_value(df, key)).withColumn("_kn", F.col(key).isNull())
+    hot = (kdf.groupBy("_kv", "_kn").agg(F.count(F.lit(1)).alias("_cnt"))
+           .filter(F.col("_cnt") > hot_key_rows).select("_kv", "_kn"))
+    n_hot = hot.limit(DIMENSION_BROADCAST_ROWS + 1).count()
+    if n_hot == 0:
+        cold = kdf
+    else:
+        hot = F.broadcast(hot) if n_hot <= DIMENSION_BROADCAST_ROWS else hot
+        cold = kdf.join(hot, ["_kv", "_kn"], "left_anti")
+    w = Window.partitionBy("_kv", "_kn").orderBy(*order)
+    out = cold.select(*cols, F.lead(nxt, 1).over(w).alias(_LEAD1), F.lead(nxt, 2).over(w).alias(_LEAD2))
+    if n_hot:
+        hot_rows = kdf.join(hot, ["_kv", "_kn"], "left_semi").drop("_kv", "_kn")
+        out = out.unionByName(_fragment_leads(hot_rows, key, order, value, partitions))
+    return out
+
+
+def _fragment_leads(df: DataFrame, key: str, order: Sequence[str], value: str,
+                    partitions: int | None = None) -> DataFrame:
+    """Leads for rows of hot keys: range fragments + boundary patch."""
     spark = df.sparkSession
     cols = df.columns
     nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))

@@ -15,19 +15,37 @@ def _hot(spark, n=20000):
         (F.col("id") * 7 % 500).cast("int").alias("recipeid"))
 
 
-def test_leads_equal_window_under_skew(spark):
-    df = _hot(spark)
-    got = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", partitions=12)
+def _plain(df):
     w = Window.partitionBy("authorid").orderBy("datesubmitted", "review_id")
     nxt = F.struct(F.lit(True).alias("ok"), F.col("recipeid").alias("v"))
-    exp = df.withColumn("_lead1", F.lead(nxt, 1).over(w)).withColumn("_lead2", F.lead(nxt, 2).over(w))
-    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    return df.withColumn("_lead1", F.lead(nxt, 1).over(w)).withColumn("_lead2", F.lead(nxt, 2).over(w))
+
+
+def test_leads_equal_window_under_skew(spark):
+    # author 1 (a third of the rows) is hot, the others take the plain window
+    df = _hot(spark)
+    exp = _plain(df)
+    for threshold in (1000, 0):  # mixed hot/cold keys, then every key hot
+        got = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid",
+                       partitions=12, hot_key_rows=threshold)
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_hot_key_is_split_over_fragments(spark):
+    df = _hot(spark)
+    hot = df.filter(F.col("authorid") == 1)
+    frag = SQ._fragment_leads(hot, "authorid", ["datesubmitted", "review_id"], "recipeid", partitions=12)
+    assert frag.count() == hot.count()
+    # the hot author's rows were spread over more than one range fragment
+    ranged = hot.repartitionByRange(12, "authorid", "datesubmitted", "review_id")
+    assert ranged.select(F.spark_partition_id()).distinct().count() > 1
 
 
 def test_leads_null_key_and_tiny_fragments(spark):
     rows = [(None, i, f"a{i}", i) for i in range(5)] + [(2, 0, "b0", 9)]
     df = spark.createDataFrame(rows, "authorid int, datesubmitted int, review_id string, recipeid int")
-    got = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", partitions=7)
+    got = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", partitions=7,
+                   hot_key_rows=0)
     m = {r.review_id: (r._lead1.v if r._lead1 else None, r._lead2.v if r._lead2 else None) for r in got.collect()}
     assert m["a0"] == (1, 2) and m["a3"] == (4, None) and m["a4"] == (None, None) and m["b0"] == (None, None)
 
