@@ -7,7 +7,6 @@ length, P5 drop/rename, J2 + F1 reviews joined to cleaned recipes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_if_small
 from ladle.functions.columns import array_size_or_zero, duration_minutes, text_length

@@ -1,7 +1,5 @@
 """Scalar functions and cleaning edge cases."""
 
-from pyspark.sql import functions as F
-
 from ladle.functions.columns import (array_size_or_zero, as_text, duration_minutes, first_element,
                                      has_image, is_ascii_digits)
 
