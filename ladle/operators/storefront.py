@@ -79,7 +79,9 @@ def shelves(reviews: DataFrame, catalog: DataFrame, n_categories: int = 5, k: in
     # At most n_categories * k rows remain: broadcast them, stream the catalog.
     attrs = catalog.select("recipeid", "name", "images")
     out = broadcast_bounded(ranked, n_categories * k).join(attrs, "recipeid", "left")
-    return out.select("recipecategory", "n", "recipeid", "name", "images", "review_count")
+    # Shelf order, n descending within a category (at most n_categories * k rows).
+    return (out.select("recipecategory", "n", "recipeid", "name", "images", "review_count")
+            .orderBy("recipecategory", F.desc("n")))
 
 
 def category_options(catalog: DataFrame) -> DataFrame:
