@@ -44,3 +44,34 @@ def test_scan_prunes_columns(spark):
     assert "l_comment" not in s
     assert "ReadSchema" in df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_review_features_streams_reviews(spark):
+    from ladle.operators import clean as C
+    from ladle.sources.tables import fixture
+    df = C.review_features(fixture(spark, SMALL, "reviews"), fixture(spark, SMALL, "recipes"))
+    p = df._jdf.queryExecution().sparkPlan().toString()
+    # the cleaned catalog passed the size check: broadcast, no sort-merge join
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_sample_first_next_item_never_sort_merges_the_log(spark):
+    from pyspark.sql import functions as F
+    from ladle.operators import sequence as SQ
+    df = spark.range(0, 5000).select(
+        (F.col("id") % 50).cast("int").alias("authorid"), (F.col("id") % 7).alias("datesubmitted"),
+        F.col("id").cast("string").alias("review_id"), (F.col("id") % 90).cast("int").alias("recipeid"))
+    out = SQ.next_item_sample(df, 10, salt="p-")
+    assert out.count() == 10
+    # the result is a checkpointed, bounded table; its lineage was cut
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_path_only_for_hot_keys(spark):
+    from pyspark.sql import functions as F
+    from ladle.operators import sequence as SQ
+    df = spark.range(0, 3000).select(
+        (F.col("id") % 30).cast("int").alias("authorid"), F.col("id").alias("datesubmitted"),
+        F.col("id").cast("string").alias("review_id"), F.col("id").cast("int").alias("recipeid"))
+    plain = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid")
+    assert "rangepartitioning" not in plain._jdf.queryExecution().executedPlan().toString()
