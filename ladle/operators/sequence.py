@@ -176,7 +176,7 @@ def sample_rows(df: DataFrame, n: int, key: str = "review_id", salt: str = "7-",
 
 
 def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
-                     holdout: bool = False, salt: str = "7-",
+                     holdout: bool = False, salt: str = "7-", seed: int | None = None,
                      order: Sequence[str] = ("datesubmitted", "review_id"),
                      value: str = "recipeid", out: str = "nextrecipeid") -> DataFrame:
     """Q6: frequent authors → drop latest → next recipe → sample ``n`` rows.
@@ -192,7 +192,8 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
        sampled row yields its next item.  The big side is streamed, never
        shuffled, so a prolific author costs no single task anything.
 
-    Same rows and values as ``sample_rows(next_item(...), n)``.
+    Same rows and values as ``sample_rows(next_item(...), n)``; ``seed``
+    switches the md5 order to ``rand(seed)`` (the reference's random pick).
     """
     rid = order[-1]
     freq = frequent_key_rows(features, key)
@@ -207,7 +208,7 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     # The sample is read three times below and again by every consumer; it
     # holds at most n rows, so it is materialised once (reliable checkpoint).
     ensure_checkpoint_dir(features.sparkSession)
-    sample = sample_rows(kept, n, rid, salt).checkpoint(eager=True)
+    sample = sample_rows(kept, n, rid, salt, seed).checkpoint(eager=True)
     probe = sample.select(F.col(key).alias("_k"), F.col(rid).alias("_sid"),
                           F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_spos"))
     later = (pool.select(key, F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_pos"),

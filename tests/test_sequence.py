@@ -81,3 +81,11 @@ def test_sample_first_equals_full_then_sample(spark):
     hold_a = SQ.next_item_sample(df, 40, salt="t-", holdout=True)
     hold_b = SQ.sample_rows(SQ.next_item(SQ.frequent_key_rows(df), holdout=True), 40, "review_id", "t-")
     assert sorted(map(tuple, hold_a.select(cols).collect())) == sorted(map(tuple, hold_b.select(cols).collect()))
+
+
+def test_random_sample_with_seed_is_valid(spark):
+    df = _seq(spark, {1: 6, 2: 5, 3: 2})
+    out = SQ.next_item_sample(df, 4, seed=11).collect()
+    assert len(out) == 4
+    full = {r.review_id: r.nextrecipeid for r in SQ.next_item(SQ.frequent_key_rows(df)).collect()}
+    assert all(full[r.review_id] == r.nextrecipeid for r in out)
