@@ -41,11 +41,17 @@ def main() -> None:
     times = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and keep the JSON line
+            print(f"bench: {name} failed: {type(e).__name__}: {e}", file=sys.stderr)
+            times[name] = None
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+    done = [t for t in times.values() if t is not None]
+    print(json.dumps({"metric": "headline_total", "value": round(sum(done), 3),
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "failed": [k for k, v in times.items() if v is None]}))
     spark.stop()
 
 

@@ -1,19 +1,21 @@
 """Cosine neighbours of sampled reviews and the next-recipe score (Q7).
 
-The reference collected the sample to the driver and, per sampled row,
-ran three jobs over the whole catalog with the query vector as literals.
-Here it is one plan:
+Set-based, with no per-query driver loop and no query vector baked into
+the plan as literals:
 
 * the sample (bounded by its ``n``) is broadcast once — in chunks if ``n``
-  is above the broadcast bound — and the catalog streams past it: every
-  catalog row meets every query vector in the task that read it, the
-  catalog is never shuffled for the pairing;
+  is above the broadcast bound — and the catalog streams past it (spread
+  over the cores first if it sits in fewer partitions): every catalog row
+  meets every query vector in the task that read it, and the catalog is
+  never shuffled for the pairing;
 * the similarity is a flat sum of products (codegen, no UDF), rounded to
-  ``SIM_SCALE`` places so ranks do not depend on summation order;
+  ``SIM_SCALE`` places so ranks do not depend on summation order; only
+  ``(query, candidate, sim)`` leaves the pairing;
 * ``row_number() <= k`` per query becomes a partial ``WindowGroupLimit``
   in each task, so at most ``k`` rows per query and task reach the shuffle;
 * one ``groupBy(query)`` reads the top three and the rank of the expected
-  next recipe from the ranked rows.
+  next recipe from the ranked rows; names are looked up afterwards for the
+  few ids the (bounded, checkpointed) result mentions.
 """
 
 from __future__ import annotations
@@ -56,9 +58,9 @@ def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int | None
 
     Output: ``query_key``, ``keep`` columns, ``c_item``, ``sim``, ``rn``.
     ``n_queries`` is the proven upper bound on ``queries`` (its sample
-    size); without it the queries are counted first.  Above ``MAX_BROADCAST_ROWS`` the queries are split into chunks
-    by a hash of their key and each chunk is broadcast on its own; the
-    union is exact.
+    size); without it the queries are counted first.  Above
+    ``MAX_BROADCAST_ROWS`` the queries are split into chunks by a hash of
+    their key and each chunk is broadcast on its own; the union is exact.
     """
     keep = [query_key] + [c for c in (keep or []) if c != query_key]
     candidates = spread(candidates)

@@ -14,11 +14,12 @@ authors get the same values without a per-author task:
    it in the same key supply the leads of its last two rows.  The join
    uses the window's partition key, so only the small table moves.
 
-Two shuffles touch the full data (the range exchange and the hash
-exchange on (key, fragment)); both have bounded partitions whatever the
-key distribution.  The fragmented table is checkpointed once so both
-uses of it agree on the fragment ids.  The order must be total, so callers pass a unique
-tie-breaker as the last order column.
+Ordinary keys cost one hash shuffle (the window).  Rows of hot keys cost
+a range exchange and a hash exchange on (key, fragment); both have
+bounded partitions whatever the key distribution.  The fragmented table
+is checkpointed once so both uses of it agree on the fragment ids.  The
+order must be total, so callers pass a unique tie-breaker as the last
+order column.
 """
 
 from __future__ import annotations
