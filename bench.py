@@ -35,7 +35,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", 2 * cpus)),
                           extra={"spark.driver.memory": "16g"})
     qs = queries()
     # Warm-up outside the timings (JIT, codegen, Python workers) on tiny tables.
