@@ -21,6 +21,12 @@ from ladle.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "authorid", "recipeid", "rating"
 
+# The full tuning grid of the original job (9 x 14 x 7 = 882
+# fits); pass them to ``tune_als`` to repeat that search.
+FULL_GRID_RANKS = [1, 5, 10, 15, 20, 25, 50, 75, 100]
+FULL_GRID_REG_PARAMS = [0.000000001, 0.0000001, 0.00001, 0.01, 0.03, 0.1, 0.3, 1, 3, 10, 15, 25, 50, 100]
+FULL_GRID_MAX_ITERS = [5, 10, 15, 25, 50, 100, 150]
+
 
 def md5_split(df: DataFrame, key: str, salt: str = "", buckets: int = 10,
               test_bucket: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -86,8 +92,8 @@ def tune_als(train: DataFrame, ranks: Sequence[int], reg_params: Sequence[float]
              parallelism: int = 2) -> tuple[ALSModel, DataFrame]:
     """M11 + M12: grid search with a train/validation split; returns the best
     model and ``(rank, regParam, maxIter, rmse)`` ordered best first.  The
-    grid is an argument (the reference's has 882 points); ``parallelism``
-    fits several grid points at once."""
+    grid is an argument (``FULL_GRID_*`` holds the original 882 points);
+    ``parallelism`` fits several grid points at once."""
     spark = train.sparkSession
     als = als_estimator(spark, cold_start="drop", seed=seed)
     grid = (ParamGridBuilder().addGrid(als.rank, list(ranks))
