@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from ladle.functions.columns import duration_minutes as dm
+from ladle.functions.columns import first_element
 from ladle.operators import clean as C
 from ladle.plans.registry import query
 from ladle.sources import files as IO
+from ladle.session import ensure_checkpoint_dir
 from ladle.sources.tables import fixture, with_fixtures
 
 _TIME_SQL = """(coalesce(try_cast(nullif(regexp_extract(totaltime, '(\\d+)H', 1), '') as int), 0) * 60
@@ -73,3 +79,32 @@ def load_projection(spark, sf):
     return IO.read_parquet(spark, f"{sf}/part.parquet", ["P_PARTKEY", "P_Name", "p_type"],
                            key="p_partkey")
 
+
+
+def _csv_export(spark, sf) -> str:
+    """The fixture catalog as the app's CSV export holds it: arrays as R
+    vectors (``c("a", "b")``, ``character(0)`` when empty), RFC 4180
+    quoting.  Written under the checkpoint directory."""
+    r = fixture(spark, sf, "recipes")
+    arr = F.col("images")
+    text = (F.when(arr.isNull(), F.lit(None).cast("string"))
+            .when(F.size(arr) == 0, F.lit("character(0)"))
+            .otherwise(F.concat(F.lit("c("), F.array_join(
+                F.transform(arr, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", "), F.lit(")"))))
+    out = r.select(F.col("recipeid").alias("RecipeId"), F.col("name").alias("Name"),
+                   F.col("recipecategory").alias("RecipeCategory"), text.alias("Images"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/recipes-csv-{uuid.uuid4().hex}"
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query("csv_catalog", oracle=with_fixtures("""
+select recipeid, name, recipecategory, images[1] as images from recipes
+""", "recipes"))
+def csv_catalog(spark, sf):
+    # S2 + S5 + S6 + P6 + D10: header CSV scan with an explicit schema,
+    # lower-cased names, array text parsed on the executors, first image.
+    path = _csv_export(spark, sf)
+    df = IO.read_csv(spark, path, "RecipeId int, Name string, RecipeCategory string, Images string",
+                     ["Images"])
+    return df.select("recipeid", "name", "recipecategory", first_element("images").alias("images"))
