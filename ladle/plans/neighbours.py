@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from ladle.operators import clean as C
 from ladle.operators import features as FT
 from ladle.operators import neighbours as NB
 from ladle.operators import sequence as SQ
 from ladle.operators import storefront as S
 from ladle.plans.registry import query
-from ladle.session import materialize
+from ladle.session import ensure_checkpoint_dir, materialize
 from ladle.plans.storefront import SHELVES_SQL
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql, unit_vector_sql
+from ladle.sources import files as IO
 from ladle.sources.tables import base_table, fixture, with_fixtures
 
 # Fixed parameters of the registered runs.
@@ -152,7 +155,11 @@ left join (select recipeid, recipecategory, images[1] as images from recipes) g
   on g.recipeid = s.firstsuggestid
 """, "recipes"))
 def detail_view(spark, sf):
-    return S.detail_view(suggestions_for(spark, sf, "review_log"), fixture(spark, sf, "recipes"))
+    # As in the app: the neighbour job writes its result (S8) and the detail
+    # page scans it (S3) before joining the catalog.
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/suggestions-{uuid.uuid4().hex}"
+    IO.write_parquet(suggestions_for(spark, sf, "review_log"), path)
+    return S.detail_view(IO.read_results(spark, path), fixture(spark, sf, "recipes"))
 
 
 @query("storefront_shelves", oracle=with_fixtures(f"""
