@@ -8,8 +8,8 @@ listing is a plan over the full review log and catalog:
   meet the catalog in a join;
 * ranked top-k lists use ``row_number`` with a full tie-breaker, which
   Spark turns into a partial ``WindowGroupLimit`` before the shuffle;
-* sides bounded by a limit (top categories, ranked shelves) are broadcast,
-  never the catalog or the review log.
+* sides bounded by a limit (top categories, ranked shelves) or by a
+  size check (id lists) are broadcast, never the catalog or the review log.
 """
 
 from __future__ import annotations
@@ -53,28 +53,35 @@ def recipe_category_counts(reviews: DataFrame, catalog: DataFrame) -> DataFrame:
             .agg(F.sum("review_count").alias("review_count")))
 
 
-def top_categories(reviews: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
-    """A9 + L3: the ``n`` categories with most reviews (ties by name)."""
-    return (recipe_category_counts(reviews, catalog)
-            .groupBy("recipecategory").agg(F.sum("review_count").alias("review_count"))
+def _top_categories(counts: DataFrame, n: int) -> DataFrame:
+    return (counts.groupBy("recipecategory").agg(F.sum("review_count").alias("review_count"))
             .orderBy(F.desc("review_count"), F.asc("recipecategory"))
             .limit(n))
 
 
+def _top_per_category(counts: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("recipecategory").orderBy(F.desc("review_count"), F.asc("recipeid"))
+    return counts.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k)
+
+
+def top_categories(reviews: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
+    """A9 + L3: the ``n`` categories with most reviews (ties by name)."""
+    return _top_categories(recipe_category_counts(reviews, catalog), n)
+
+
 def top_per_category(reviews: DataFrame, catalog: DataFrame, k: int = 5) -> DataFrame:
     """A10 + W3: rank recipes within each category by review count; keep
     rank ``n`` ≤ ``k``.  Ties break on recipe id (D12)."""
-    w = Window.partitionBy("recipecategory").orderBy(F.desc("review_count"), F.asc("recipeid"))
-    return (recipe_category_counts(reviews, catalog)
-            .withColumn("n", F.row_number().over(w))
-            .filter(F.col("n") <= k))
+    return _top_per_category(recipe_category_counts(reviews, catalog), k)
 
 
 def shelves(reviews: DataFrame, catalog: DataFrame, n_categories: int = 5, k: int = 5) -> DataFrame:
     """Q12: top ``k`` recipes in each of the top ``n_categories`` categories
-    with name and cover image (J7 A9 L3 A10 W3 J8 J9 L5)."""
-    tops = top_categories(reviews, catalog, n_categories).select("recipecategory")
-    ranked = (top_per_category(reviews, catalog, k)
+    with name and cover image (J7 A9 L3 A10 W3 J8 J9 L5).  The per-(recipe,
+    category) counts are built once and feed both rankings."""
+    counts = recipe_category_counts(reviews, catalog)
+    tops = _top_categories(counts, n_categories).select("recipecategory")
+    ranked = (_top_per_category(counts, k)
               .join(F.broadcast(tops), "recipecategory", "left_semi"))
     # At most n_categories * k rows remain: broadcast them, stream the catalog.
     attrs = catalog.select("recipeid", "name", "images")
