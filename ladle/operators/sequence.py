@@ -201,7 +201,7 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     pos = F.struct(*[F.col(c) for c in order])
     latest = (freq.groupBy(key).agg(F.max(pos).alias("_last"))
               .select(F.col("_last")[rid].alias(rid)))
-    kept = freq.join(broadcast_if_small(latest), rid, "left_anti")
+    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS), rid, "left_anti")
     if holdout:
         pool = freq
     else:
