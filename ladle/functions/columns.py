@@ -29,9 +29,11 @@ def _part(c: Column, pattern: str) -> Column:
 
 def duration_minutes(c: Column | str) -> Column:
     """``PT1H30M`` → 90.  Missing part or missing text is 0; days and
-    seconds are ignored."""
+    seconds are ignored.  A total beyond the int range is NULL rather than
+    an ANSI overflow error (the catalog cleaner then fills it with 0)."""
     c = F.col(c) if isinstance(c, str) else c
-    return (_part(c, HOURS_PATTERN) * 60 + _part(c, MINUTES_PATTERN)).alias("time")
+    return F.try_add(F.try_multiply(_part(c, HOURS_PATTERN), F.lit(60)),
+                     _part(c, MINUTES_PATTERN)).alias("time")
 
 
 def array_size_or_zero(c: Column | str) -> Column:

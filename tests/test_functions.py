@@ -5,10 +5,12 @@ from ladle.functions.columns import (array_size_or_zero, as_text, duration_minut
 
 
 def test_duration_minutes(spark):
-    rows = [("PT1H30M",), ("PT45M",), ("PT2H",), ("P1DT2H",), ("",), (None,), ("PT",), ("PT10H5M",)]
+    rows = [("PT1H30M",), ("PT45M",), ("PT2H",), ("P1DT2H",), ("",), (None,), ("PT",), ("PT10H5M",),
+            ("PT999999999H",), ("PT99999999999M",)]
     df = spark.createDataFrame(rows, "t string")
     got = [r[0] for r in df.select(duration_minutes("t")).collect()]
-    assert got == [90, 45, 120, 120, 0, 0, 0, 605]
+    # an int overflow is NULL, a part beyond int is a missing part (0)
+    assert got == [90, 45, 120, 120, 0, 0, 0, 605, None, 0]
 
 
 def test_array_size_null_is_zero(spark):
