@@ -55,3 +55,40 @@ def test_leads_match_brute_force(spark, rows, hot, parts):
             n2 = seq[i + 2] if i + 2 < len(seq) else None
             expect[r[2]] = (n1[3] if n1 else None, n2[3] if n2 else None, n1 is not None, n2 is not None)
     assert got == expect
+
+
+def _round9(x):
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal("1e-9"), rounding=ROUND_HALF_UP))
+
+
+_vec = st.lists(st.sampled_from([-1.0, -0.5, 0.0, 0.25, 0.5, 1.0]), min_size=3, max_size=3)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_vec, min_size=4, max_size=40), st.integers(1, 4), st.integers(1, 6))
+def test_ranked_neighbours_match_brute_force(spark, vecs, n_q, k):
+    import math
+
+    from ladle.operators import neighbours as NB
+
+    def unit(v):
+        n = math.sqrt(sum(x * x for x in v))
+        return [x / n for x in v] if n else [0.0, 0.0, 0.0]
+
+    items = [(i, unit(v)) for i, v in enumerate(vecs)]   # many exact duplicates -> ties
+    queries = items[:n_q]
+    c = spark.createDataFrame(items, "cand_id int, c_vec array<double>")
+    q = spark.createDataFrame([(f"q{i}", i, v) for i, v in queries], "review_id string, recipeid int, q_vec array<double>")
+    got = {(r.review_id, r.rn): r.cand_id for r in NB.ranked_neighbours(q, c, 3, k=k, n_queries=n_q).collect()}
+    expect = {}
+    for qi, qv in queries:
+        scored = []
+        for ci, cv in items:
+            if ci == qi:
+                continue
+            s = qv[0] * cv[0] + qv[1] * cv[1] + qv[2] * cv[2]
+            scored.append((-_round9(s), ci))
+        for rank, (_, ci) in enumerate(sorted(scored)[:k], start=1):
+            expect[(f"q{qi}", rank)] = ci
+    assert got == expect
