@@ -48,9 +48,10 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 def distinct_counts(reviews: DataFrame) -> DataFrame:
     """A4 + A5: number of ratings, rated recipes and authors.
 
-    ``distinct().count()`` counts NULL as one value, so it is added back.
-    Each distinct count is its own grouped aggregate (map-side de-duplication
-    per partition) rather than one Expand-based multi-distinct aggregate.
+    Like ``distinct().count()``, NULL counts as one value: ``groupBy`` keeps
+    the NULL group.  Each distinct count is its own grouped aggregate
+    (map-side de-duplication per partition) rather than one Expand-based
+    multi-distinct aggregate.
     """
     n_rows = reviews.agg(F.count(F.lit(1)).alias("value")).select(F.lit("n_ratings").alias("metric"), "value")
 
