@@ -64,12 +64,18 @@ def distinct_counts(reviews: DataFrame) -> DataFrame:
         n_distinct("authorid", "n_authors"))
 
 
-def missing_counts(df: DataFrame) -> DataFrame:
+def missing_counts(df: DataFrame, nan_only: bool = False) -> DataFrame:
     """Per column, rows that are NULL (or NaN for floating types);
-    one pass, one row."""
-    return df.select([
-        F.count(F.when(missing_flag(f.name, f.dataType), F.lit(1))).alias(f.name)
-        for f in df.schema.fields])
+    one pass, one row.
+
+    ``nan_only=True`` gives the numbers of the original report, which
+    counted ``when(missing, c)``: ``count`` skips the NULL that expression
+    returns for a NULL cell, so only NaN cells were ever counted."""
+    def flag(f):
+        if nan_only:
+            return missing_flag(f.name, f.dataType) & F.col(f.name).isNotNull()
+        return missing_flag(f.name, f.dataType)
+    return df.select([F.count(F.when(flag(f), F.lit(1))).alias(f.name) for f in df.schema.fields])
 
 
 def _per_recipe(reviews: DataFrame) -> DataFrame:

@@ -50,3 +50,10 @@ def test_review_length_null_stays_null(spark):
     from ladle.operators.clean import clean_reviews
     df = spark.createDataFrame([(1, "abc"), (2, None)], "recipeid int, review string")
     assert [r.reviewlength for r in clean_reviews(df).orderBy("recipeid").collect()] == [3, None]
+
+
+def test_missing_counts_both_modes(spark):
+    from ladle.operators.eda import missing_counts
+    df = spark.createDataFrame([(1, 1.0), (None, float("nan")), (3, None)], "a int, b double")
+    assert tuple(missing_counts(df).first()) == (1, 2)
+    assert tuple(missing_counts(df, nan_only=True).first()) == (0, 1)
