@@ -118,10 +118,14 @@ def load_model(path: str) -> ALSModel:
     return ALSModel.load(path)
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 5) -> DataFrame:
+def recommend_for_users(model: ALSModel, users: DataFrame | None, n: int = 5) -> DataFrame:
     """Top-``n`` items for each user in ``users`` (a DataFrame of ids,
     never a driver list).  Reviewed items are not excluded; users unknown
-    to the model produce no row."""
+    to the model produce no row.  ``users=None`` means every user the model
+    knows — the same rows as passing every author of its training log, with
+    no distinct over that log."""
+    if users is None:
+        return model.recommendForAllUsers(n)
     return model.recommendForUserSubset(users.select(USER).distinct(), n)
 
 
@@ -132,8 +136,11 @@ def known_users(model: ALSModel) -> DataFrame:
     return model.userFactors.select(F.col("id").alias(USER))
 
 
-def recommend_for_items(model: ALSModel, items: DataFrame, n: int = 5) -> DataFrame:
-    """Top-``n`` users for each item in ``items``."""
+def recommend_for_items(model: ALSModel, items: DataFrame | None, n: int = 5) -> DataFrame:
+    """Top-``n`` users for each item in ``items``; ``None`` means every
+    item the model knows."""
+    if items is None:
+        return model.recommendForAllItems(n)
     return model.recommendForItemSubset(items.select(ITEM).distinct(), n)
 
 

@@ -67,3 +67,16 @@ def test_random_split_fractions(spark):
     total = _ratings(spark).count()
     assert train.count() + test.count() == total
     assert 0.05 < test.count() / total < 0.15
+
+
+def test_all_users_equals_every_author(spark):
+    ratings = _ratings(spark)
+    model = R.fit_als(ratings, max_iter=3)
+    a = R.recommend_for_users(model, ratings, 3)
+    b = R.recommend_for_users(model, None, 3)
+    key = lambda df: sorted((r.authorid, tuple(x.recipeid for x in r.recommendations)) for r in df.collect())
+    assert key(a) == key(b)
+    ia = R.recommend_for_items(model, ratings, 2)
+    ib = R.recommend_for_items(model, None, 2)
+    ikey = lambda df: sorted((r.recipeid, tuple(x.authorid for x in r.recommendations)) for r in df.collect())
+    assert ikey(ia) == ikey(ib)
