@@ -55,3 +55,23 @@ def test_recipe_by_id(spark):
     cat = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "recipeid int, name string")
     assert [tuple(r) for r in S.recipe_by_id(cat, 1).collect()] == [(1, "a")]
     assert S.recipe_by_id(cat, 9).count() == 0
+
+
+def test_random_shelf_with_seed(spark):
+    cat = spark.createDataFrame([(i, f"r{i}", "A", "http://x" if i % 2 else None) for i in range(30)],
+                                "recipeid int, name string, recipecategory string, images string")
+    a = [r.recipeid for r in S.random_shelf(cat, 5, seed=3).collect()]
+    b = [r.recipeid for r in S.random_shelf(cat, 5, seed=3).collect()]
+    assert len(a) == 5 and len(set(a)) == 5 and a == b
+    flags = {r.recipeid: r.has_image for r in S.random_shelf(cat, 30, seed=3).collect()}
+    assert all(flags[i] == bool(i % 2) for i in range(30))
+
+
+def test_pick_detail_inner_join(spark):
+    picks = spark.createDataFrame([(1, 10, "a"), (2, 99, "z")], "authorid int, recipeid1 int, name1 string")
+    recipes = spark.createDataFrame(
+        [(10, "C", ["http://i"], ["p"], ["1"], ["s"])],
+        "recipeid int, recipecategory string, images array<string>, recipeingredientparts array<string>, "
+        "recipeingredientquantities array<string>, recipeinstructions array<string>")
+    rows = S.pick_detail(picks, recipes).collect()
+    assert [(r.authorid, r.recipeid1, r.has_image) for r in rows] == [(1, 10, True)]
