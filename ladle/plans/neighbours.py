@@ -10,7 +10,7 @@ from ladle.operators import neighbours as NB
 from ladle.operators import sequence as SQ
 from ladle.operators import storefront as S
 from ladle.plans.registry import query
-from ladle.session import ensure_checkpoint_dir, materialize
+from ladle.session import ensure_checkpoint_dir
 from ladle.plans.storefront import SHELVES_SQL
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql, unit_vector_sql
 from ladle.sources import files as IO
@@ -26,10 +26,12 @@ def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler
     sample → ranked neighbours → suggestions with score."""
     raw = fixture(spark, sf, "recipes")
     recipes = C.clean_recipes(raw)
-    # Read five times below (scaler fit, author counts, latest rows, sample,
-    # next-recipe probe): joined once and written as Parquet under the
-    # shared checkpoint directory.
-    feats = materialize(C.review_features(fixture(spark, sf, reviews), raw), "review-features")
+    # Read by several passes below (scaler fit, author counts, latest rows,
+    # sample, next-recipe probe).  The catalog side of this join is a
+    # size-checked broadcast, so each pass is a column-pruned scan of the log;
+    # writing the full-width table once measured no faster and costs more
+    # when the passes need few columns.
+    feats = C.review_features(fixture(spark, sf, reviews), raw)
     cols = FT.RECIPE_VECTOR_COLUMNS
     cand_model = FT.fit_scaler(recipes, cols)
     query_model = cand_model if shared_scaler else FT.fit_scaler(feats, cols)
