@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.session import ensure_checkpoint_dir
+
 # A side whose row count is bounded by a limit parameter is broadcast
 # only while the bound stays below this many rows.
 MAX_BROADCAST_ROWS = 100_000
@@ -21,12 +23,23 @@ def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_R
     return F.broadcast(df) if bound <= max_rows else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                       pin: bool = False) -> DataFrame:
     """Broadcast ``df`` only after checking its size.
 
     The check is a bounded scan (``limit(max_rows + 1).count()``), so it
     stops early on a big table; beyond the bound the join is left to a
     shuffle (AQE still splits skewed partitions there).
+
+    ``pin=True`` is for a ``df`` that is expensive to compute (an aggregate
+    over the fact table): its first ``max_rows + 1`` rows are checkpointed
+    once, and the check and the broadcast both read those rows, so the
+    aggregate is not computed twice.
     """
+    if pin:
+        ensure_checkpoint_dir(df.sparkSession)
+        head = df.limit(max_rows + 1).checkpoint(eager=True)
+        n = head.count()
+        return F.broadcast(head) if n <= max_rows else df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

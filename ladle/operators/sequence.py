@@ -68,11 +68,15 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     kdf = df.withColumn("_kv", _key_value(df, key)).withColumn("_kn", F.col(key).isNull())
     hot = (kdf.groupBy("_kv", "_kn").agg(F.count(F.lit(1)).alias("_cnt"))
            .filter(F.col("_cnt") > hot_key_rows).select("_kv", "_kn"))
-    n_hot = hot.limit(DIMENSION_BROADCAST_ROWS + 1).count()
+    # The hot list is an aggregate over the whole input: checkpoint its
+    # bounded head once, then count and broadcast from that.
+    ensure_checkpoint_dir(df.sparkSession)
+    head = hot.limit(DIMENSION_BROADCAST_ROWS + 1).checkpoint(eager=True)
+    n_hot = head.count()
     if n_hot == 0:
         cold = kdf
     else:
-        hot = F.broadcast(hot) if n_hot <= DIMENSION_BROADCAST_ROWS else hot
+        hot = F.broadcast(head) if n_hot <= DIMENSION_BROADCAST_ROWS else hot
         cold = kdf.join(hot, ["_kv", "_kn"], "left_anti")
     w = Window.partitionBy("_kv", "_kn").orderBy(*order)
     out = cold.select(*cols, F.lead(nxt, 1).over(w).alias(_LEAD1), F.lead(nxt, 2).over(w).alias(_LEAD2))
@@ -133,7 +137,7 @@ def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2)
     shuffled); above the bound AQE splits a skewed key's partition."""
     keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
             .filter(F.col("_cnt") > more_than).select(key))
-    return df.join(broadcast_if_small(keys, DIMENSION_BROADCAST_ROWS), key, "left_semi")
+    return df.join(broadcast_if_small(keys, DIMENSION_BROADCAST_ROWS, pin=True), key, "left_semi")
 
 
 def drop_latest(df: DataFrame, key: str = "authorid",
@@ -201,7 +205,7 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     pos = F.struct(*[F.col(c) for c in order])
     latest = (freq.groupBy(key).agg(F.max(pos).alias("_last"))
               .select(F.col("_last")[rid].alias(rid)))
-    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS), rid, "left_anti")
+    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS, pin=True), rid, "left_anti")
     if holdout:
         pool = freq
     else:
