@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_bounded, broadcast_if_small
-from ladle.session import ensure_checkpoint_dir
+from ladle.session import ensure_checkpoint_dir, materialize
 
 _LEAD1, _LEAD2 = "_lead1", "_lead2"
 
@@ -53,21 +53,35 @@ def _key_value(df: DataFrame, key: str):
 HOT_KEY_ROWS = 1_000_000
 
 
+def key_counts(df: DataFrame, key: str = "authorid") -> DataFrame:
+    """Rows per key (``key``, ``_cnt``), a partial aggregate written once
+    under the checkpoint directory: one row per key, read by every filter
+    that needs the counts instead of re-scanning the fact table."""
+    return materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt")), f"{key}-counts")
+
+
 def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
-          partitions: int | None = None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+          partitions: int | None = None, hot_key_rows: int = HOT_KEY_ROWS,
+          counts: DataFrame | None = None) -> DataFrame:
     """Add ``_lead1`` / ``_lead2``: structs ``(ok, v)`` of the next and
     second-next row of the same ``key`` in ``order``; NULL when absent.
 
-    Keys are counted first (a partial aggregate).  Rows of keys with at
-    most ``hot_key_rows`` rows take a plain window partitioned by key; rows
-    of hot keys take the range-fragment path.  The hot key list is bounded
-    by ``rows / hot_key_rows`` and broadcast after a size check.
+    Keys are counted first (a partial aggregate, or ``counts`` from
+    ``key_counts`` over these rows or over a superset that keeps every row
+    of each key).  Rows of keys with at most ``hot_key_rows`` rows take a
+    plain window partitioned by key; rows of hot keys take the
+    range-fragment path.  The hot key list is bounded by
+    ``rows / hot_key_rows`` and broadcast after a size check.
     """
     cols = df.columns
     nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
     kdf = df.withColumn("_kv", _key_value(df, key)).withColumn("_kn", F.col(key).isNull())
-    hot = (kdf.groupBy("_kv", "_kn").agg(F.count(F.lit(1)).alias("_cnt"))
-           .filter(F.col("_cnt") > hot_key_rows).select("_kv", "_kn"))
+    if counts is None:
+        hot = (kdf.groupBy("_kv", "_kn").agg(F.count(F.lit(1)).alias("_cnt"))
+               .filter(F.col("_cnt") > hot_key_rows).select("_kv", "_kn"))
+    else:
+        hot = (counts.filter(F.col("_cnt") > hot_key_rows)
+               .select(_key_value(counts, key).alias("_kv"), F.col(key).isNull().alias("_kn")))
     # The hot list is an aggregate over the whole input: checkpoint its
     # bounded head once, then count and broadcast from that.
     ensure_checkpoint_dir(df.sparkSession)
@@ -130,26 +144,31 @@ def _fragment_leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     return j.select(*cols, lead1.alias(_LEAD1), lead2.alias(_LEAD2))
 
 
-def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2) -> DataFrame:
+def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2,
+                      counts: DataFrame | None = None) -> DataFrame:
     """F5 + J3: rows whose key has more than ``more_than`` rows.  The count
-    is a partial aggregate; the filter is a left-semi join against the key
-    list, broadcast after a count check (then the big side is not
-    shuffled); above the bound AQE splits a skewed key's partition."""
-    keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-            .filter(F.col("_cnt") > more_than).select(key))
+    is a partial aggregate (or ``counts`` from ``key_counts``); the filter
+    is a left-semi join against the key list, broadcast after a count check
+    (then the big side is not shuffled); above the bound AQE splits a
+    skewed key's partition."""
+    if counts is None:
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+    keys = counts.filter(F.col("_cnt") > more_than).select(key)
     return df.join(broadcast_if_small(keys, DIMENSION_BROADCAST_ROWS, pin=True), key, "left_semi")
 
 
 def drop_latest(df: DataFrame, key: str = "authorid",
-                order: Sequence[str] = ("datesubmitted", "review_id")) -> DataFrame:
+                order: Sequence[str] = ("datesubmitted", "review_id"),
+                counts: DataFrame | None = None) -> DataFrame:
     """Every row except each key's last one in ``order``."""
-    return leads(df, key, order, order[-1]).filter(F.col(_LEAD1).isNotNull()).drop(_LEAD1, _LEAD2)
+    return (leads(df, key, order, order[-1], counts=counts)
+            .filter(F.col(_LEAD1).isNotNull()).drop(_LEAD1, _LEAD2))
 
 
 def next_item(df: DataFrame, key: str = "authorid",
               order: Sequence[str] = ("datesubmitted", "review_id"),
               value: str = "recipeid", out: str = "nextrecipeid",
-              holdout: bool = False) -> DataFrame:
+              holdout: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """W1 + W2: drop each key's latest row, then add the next row's
     ``value``.
 
@@ -158,7 +177,7 @@ def next_item(df: DataFrame, key: str = "authorid",
     ``holdout=True`` the lead is taken first and the removed row is the
     target of the row before it.
     """
-    l = leads(df, key, order, value).filter(F.col(_LEAD1).isNotNull())
+    l = leads(df, key, order, value, counts=counts).filter(F.col(_LEAD1).isNotNull())
     if holdout:
         target = F.col(_LEAD1)["v"]
     else:

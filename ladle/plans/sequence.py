@@ -30,32 +30,39 @@ def frequent_authors(spark, sf):
                                             + f"select {_sel(_COLS)} from kept",
                                             "recipes", "reviews"))
 def drop_latest(spark, sf):
-    f = SQ.frequent_key_rows(_features(spark, sf, "reviews"))
-    return SQ.drop_latest(f).select(*_COLS)
+    feats = _features(spark, sf, "reviews")
+    counts = SQ.key_counts(feats)
+    return SQ.drop_latest(SQ.frequent_key_rows(feats, counts=counts), counts=counts).select(*_COLS)
 
 
 @query("next_recipe", oracle=with_fixtures(features_sql("reviews") + next_recipe_sql("features")
                                             + f"select {_sel(_COLS)}, nextrecipeid from seq",
                                             "recipes", "reviews"))
 def next_recipe(spark, sf):
-    f = SQ.frequent_key_rows(_features(spark, sf, "reviews"))
-    return SQ.next_item(f).select(*_COLS, "nextrecipeid")
+    feats = _features(spark, sf, "reviews")
+    counts = SQ.key_counts(feats)  # one author count feeds both filters
+    f = SQ.frequent_key_rows(feats, counts=counts)
+    return SQ.next_item(f, counts=counts).select(*_COLS, "nextrecipeid")
 
 
 @query("next_recipe_holdout", oracle=with_fixtures(
     features_sql("reviews") + next_recipe_sql("features", holdout=True)
     + f"select {_sel(_COLS)}, nextrecipeid from seq", "recipes", "reviews"))
 def next_recipe_holdout(spark, sf):
-    f = SQ.frequent_key_rows(_features(spark, sf, "reviews"))
-    return SQ.next_item(f, holdout=True).select(*_COLS, "nextrecipeid")
+    feats = _features(spark, sf, "reviews")
+    counts = SQ.key_counts(feats)
+    f = SQ.frequent_key_rows(feats, counts=counts)
+    return SQ.next_item(f, holdout=True, counts=counts).select(*_COLS, "nextrecipeid")
 
 
 @query("next_recipe_log", oracle=with_fixtures(features_sql("review_log") + next_recipe_sql("features")
                                                 + f"select {_sel(_COLS)}, nextrecipeid from seq",
                                                 "recipes", "review_log"))
 def next_recipe_log(spark, sf):
-    f = SQ.frequent_key_rows(_features(spark, sf, "review_log"))
-    return SQ.next_item(f).select(*_COLS, "nextrecipeid")
+    feats = _features(spark, sf, "review_log")
+    counts = SQ.key_counts(feats)
+    f = SQ.frequent_key_rows(feats, counts=counts)
+    return SQ.next_item(f, counts=counts).select(*_COLS, "nextrecipeid")
 
 
 @query("next_recipe_sample", oracle=with_fixtures(

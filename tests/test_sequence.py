@@ -89,3 +89,15 @@ def test_random_sample_with_seed_is_valid(spark):
     assert len(out) == 4
     full = {r.review_id: r.nextrecipeid for r in SQ.next_item(SQ.frequent_key_rows(df)).collect()}
     assert all(full[r.review_id] == r.nextrecipeid for r in out)
+
+
+def test_shared_counts_give_same_result(spark):
+    df = _hot(spark, 6000)
+    counts = SQ.key_counts(df)
+    a = SQ.next_item(SQ.frequent_key_rows(df, counts=counts), counts=counts)
+    b = SQ.next_item(SQ.frequent_key_rows(df))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # and with a threshold that makes author 1 hot, counts drive the split
+    c = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", hot_key_rows=1000, counts=counts)
+    d = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", hot_key_rows=1000)
+    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
