@@ -208,8 +208,9 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     Only the ``n`` sampled rows need a next item, so the sample is drawn
     first and the sequence work is done for it alone:
 
-    1. each key's latest row comes from a partial ``max(struct(order))``
-       aggregate and is removed with an anti-join on the row id;
+    1. one author-grain aggregate (written once) gives each key's row count
+       (keys with more than two rows are kept, F5) and its latest row,
+       which is removed with an anti-join on the row id;
     2. the ``n`` rows are drawn from what is left (per-task top-n);
     3. the bounded sample is broadcast against the kept rows of the same
        keys that come later in ``order``; a partial ``min(struct)`` per
@@ -220,11 +221,15 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     switches the md5 order to ``rand(seed)`` (the reference's random pick).
     """
     rid = order[-1]
-    freq = frequent_key_rows(features, key)
     pos = F.struct(*[F.col(c) for c in order])
-    latest = (freq.groupBy(key).agg(F.max(pos).alias("_last"))
-              .select(F.col("_last")[rid].alias(rid)))
-    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS, pin=True), rid, "left_anti")
+    # One author-grain aggregate gives both the review count (F5) and the
+    # latest review (W1); written once, then filtered twice.
+    stats = materialize(features.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"),
+                                                  F.max(pos)[rid].alias("_last")), f"{key}-stats")
+    frequent = stats.filter(F.col("_cnt") > 2)
+    freq = features.join(broadcast_if_small(frequent.select(key), DIMENSION_BROADCAST_ROWS), key, "left_semi")
+    latest = frequent.select(F.col("_last").alias(rid))
+    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS), rid, "left_anti")
     if holdout:
         pool = freq
     else:
