@@ -101,3 +101,13 @@ def test_shared_counts_give_same_result(spark):
     c = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", hot_key_rows=1000, counts=counts)
     d = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", hot_key_rows=1000)
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_leads_with_date_key_and_null(spark):
+    import datetime as dt
+    day = dt.date(2024, 1, 1)
+    rows = [(day, i, f"a{i}", i) for i in range(4)] + [(None, 0, "n0", 7), (None, 1, "n1", 8)]
+    df = spark.createDataFrame(rows, "k date, datesubmitted int, review_id string, recipeid int")
+    got = SQ.leads(df, "k", ["datesubmitted", "review_id"], "recipeid", partitions=3, hot_key_rows=1)
+    m = {r.review_id: (r._lead1.v if r._lead1 else None) for r in got.collect()}
+    assert m == {"a0": 1, "a1": 2, "a2": 3, "a3": None, "n0": 8, "n1": None}
