@@ -227,9 +227,14 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     stats = materialize(features.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"),
                                                   F.max(pos)[rid].alias("_last")), f"{key}-stats")
     frequent = stats.filter(F.col("_cnt") > 2)
-    freq = features.join(broadcast_if_small(frequent.select(key), DIMENSION_BROADCAST_ROWS), key, "left_semi")
+    keys = frequent.select(key)
     latest = frequent.select(F.col("_last").alias(rid))
-    kept = freq.join(broadcast_if_small(latest, DIMENSION_BROADCAST_ROWS), rid, "left_anti")
+    # Both lists have one row per frequent author: one bounded count sizes both.
+    small = frequent.limit(DIMENSION_BROADCAST_ROWS + 1).count() <= DIMENSION_BROADCAST_ROWS
+    if small:
+        keys, latest = F.broadcast(keys), F.broadcast(latest)
+    freq = features.join(keys, key, "left_semi")
+    kept = freq.join(latest, rid, "left_anti")
     if holdout:
         pool = freq
     else:
