@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
@@ -121,5 +122,6 @@ def encoder(tokenizer_json: str) -> WordEncoder:
     """The worker's encoder of a vocabulary; it outlives the task."""
     key = hash(tokenizer_json)
     if key not in _encoders:
+        gc.disable()  # the caches hold no cycles, and collecting walks them again and again
         _encoders[key] = WordEncoder(tokenizer_json)
     return _encoders[key]
