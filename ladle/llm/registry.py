@@ -32,8 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from ladle.llm import (exact_dedup, mixing, packing, pii, quality,  # noqa: F401
-                           secrets, simhash, substring_dedup, token_counts, warc)
+    from ladle.llm import exact_dedup, mixing, packing, simhash, substring_dedup  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
