@@ -375,7 +375,7 @@ def op4_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(k) for k in KINDS])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
                        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))

@@ -181,7 +181,7 @@ def listed(found_spans: Column) -> Column:
 @query("op6_secret_scan")
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(BASE)]
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
                        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
