@@ -80,10 +80,6 @@ def dot(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return out
 
 
-def l2_norm(xs: Sequence[Column]) -> Column:
-    return F.sqrt(dot(xs, xs))
-
-
 def round_sim(c: Column) -> Column:
     return F.round(c, SIM_SCALE)
 

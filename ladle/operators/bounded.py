@@ -1,19 +1,17 @@
-"""Broadcast only what has a proven size bound."""
+"""Broadcast only what has a checked size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.session import ensure_checkpoint_dir
+from ladle.session import materialize
 
 # A side whose row count is bounded by a limit parameter is broadcast
 # only while the bound stays below this many rows.
 MAX_BROADCAST_ROWS = 100_000
-# A narrow dimension table (catalog attributes, key lists) is broadcast up
-# to this many rows after a count check: shipping it to every executor is
-# far cheaper than shuffling the fact table it joins.
-DIMENSION_BROADCAST_ROWS = 1_000_000
+# A measured side is broadcast up to this many bytes.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -23,23 +21,18 @@ def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_R
     return F.broadcast(df) if bound <= max_rows else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       pin: bool = False) -> DataFrame:
-    """Broadcast ``df`` only after checking its size.
+def size_in_bytes(df: DataFrame) -> int:
+    """Bytes of ``df``'s rows, measured as their JSON text plus a row header
+    (one distributed aggregate)."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
 
-    The check is a bounded scan (``limit(max_rows + 1).count()``), so it
-    stops early on a big table; beyond the bound the join is left to a
-    shuffle (AQE still splits skewed partitions there).
 
-    ``pin=True`` is for a ``df`` that is expensive to compute (an aggregate
-    over the fact table): its first ``max_rows + 1`` rows are checkpointed
-    once, and the check and the broadcast both read those rows, so the
-    aggregate is not computed twice.
-    """
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, pin: bool = False) -> DataFrame:
+    """Broadcast ``df`` only after measuring its bytes; beyond the bound the
+    join is left to a shuffle (AQE splits skewed partitions there).
+
+    ``pin=True`` is for a ``df`` that is expensive to compute: it is written
+    once, and the check and the join both read that table."""
     if pin:
-        ensure_checkpoint_dir(df.sparkSession)
-        head = df.limit(max_rows + 1).checkpoint(eager=True)
-        n = head.count()
-        return F.broadcast(head) if n <= max_rows else df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        df = materialize(df, "pinned")
+    return F.broadcast(df) if size_in_bytes(df) <= max_bytes else df

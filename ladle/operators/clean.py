@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_if_small
+from ladle.operators.bounded import broadcast_if_small
 from ladle.functions.columns import array_size_or_zero, duration_minutes, text_length
 
 # The nutrient and popularity columns the jobs keep.
@@ -38,10 +38,10 @@ def review_features(reviews: DataFrame, recipes: DataFrame) -> DataFrame:
     The reference writes a left join followed by ``time IS NOT NULL``;
     ``time`` is never NULL on a catalog row, so that is an inner join and
     is written as one (orphan reviews drop out).  The cleaned catalog is
-    narrow, so it is broadcast after a row-count check and the review log
+    narrow, so it is broadcast after its bytes are measured and the review log
     streams through without a shuffle (a hot recipe costs nothing extra);
     above the bound both sides are shuffled on ``recipeid`` and AQE splits
     skewed partitions.
     """
-    catalog = broadcast_if_small(clean_recipes(recipes), DIMENSION_BROADCAST_ROWS)
+    catalog = broadcast_if_small(clean_recipes(recipes))
     return clean_reviews(reviews).join(catalog, "recipeid", "inner")

@@ -21,11 +21,14 @@ from ladle.session import materialize
 # Attribute order of the recipe vector.
 RECIPE_VECTOR_COLUMNS = ["reviewcount", "calories", "fatcontent", "sodiumcontent",
                          "carbohydratecontent", "proteincontent", "instructionstep", "time"]
-# Attribute order of the author vector.
-AUTHOR_VECTOR_COLUMNS = ["avg_rating", "avg_reviewlength", "review_count",
-                         "avg_instructionlength", "avg_time", "avg_calories",
-                         "avg_fatcontent", "avg_sodiumcontent", "avg_carbohydratecontent",
-                         "avg_proteincontent"]
+# Attributes of the author vector in order, each with the column
+# it averages (None: the number of reviews).
+AUTHOR_ATTRIBUTES = {
+    "avg_rating": "rating", "avg_reviewlength": "reviewlength", "review_count": None,
+    "avg_instructionlength": "instructionstep", "avg_time": "time", "avg_calories": "calories",
+    "avg_fatcontent": "fatcontent", "avg_sodiumcontent": "sodiumcontent",
+    "avg_carbohydratecontent": "carbohydratecontent", "avg_proteincontent": "proteincontent"}
+AUTHOR_VECTOR_COLUMNS = list(AUTHOR_ATTRIBUTES)
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> StandardScalerModel:
@@ -58,17 +61,8 @@ def author_profile(features: DataFrame) -> DataFrame:
     """A1: nine averages and the review count per author.  Partial
     aggregation per task first, so a prolific author is one row per task
     before the shuffle."""
-    return features.groupBy("authorid").agg(
-        F.avg("rating").alias("avg_rating"),
-        F.avg("reviewlength").alias("avg_reviewlength"),
-        F.count(F.lit(1)).alias("review_count"),
-        F.avg("instructionstep").alias("avg_instructionlength"),
-        F.avg("time").alias("avg_time"),
-        F.avg("calories").alias("avg_calories"),
-        F.avg("fatcontent").alias("avg_fatcontent"),
-        F.avg("sodiumcontent").alias("avg_sodiumcontent"),
-        F.avg("carbohydratecontent").alias("avg_carbohydratecontent"),
-        F.avg("proteincontent").alias("avg_proteincontent"))
+    return features.groupBy("authorid").agg(*[
+        (F.avg(source) if source else F.count(F.lit(1))).alias(name) for name, source in AUTHOR_ATTRIBUTES.items()])
 
 
 def author_vectors(profile: DataFrame) -> DataFrame:

@@ -3,16 +3,17 @@
 Set-based, with no per-query driver loop and no query vector baked into
 the plan as literals:
 
-* the sample (bounded by its ``n``) is broadcast once — in chunks if ``n``
-  is above the broadcast bound — and the catalog streams past it (spread
-  over the cores first if it sits in fewer partitions): every catalog row
+* the sample is measured and broadcast — in chunks if its bytes are above
+  the broadcast bound — and the catalog streams past it (dealt over
+  ``spark.sql.shuffle.partitions`` tasks): every catalog row
   meets every query vector in the task that read it, and the catalog is
   never shuffled for the pairing;
 * the similarity is a flat sum of products (codegen, no UDF), rounded to
   ``SIM_SCALE`` places so ranks do not depend on summation order; only
   ``(query, candidate, sim)`` leaves the pairing;
-* ``row_number() <= k`` per query becomes a partial ``WindowGroupLimit``
-  in each task, so at most ``k`` rows per query and task reach the shuffle;
+* candidates are ranked in two levels: the best ``k`` of each of
+  ``RANK_BUCKETS`` candidate buckets (with a partial ``WindowGroupLimit`` in
+  each task), then the best ``k`` of a query's at most ``k * RANK_BUCKETS``;
 * one ``groupBy(query)`` reads the top three and the rank of the expected
   next recipe from the ranked rows; names are looked up afterwards for the
   few ids the (bounded, checkpointed) result mentions.
@@ -27,10 +28,12 @@ from pyspark.sql import functions as F
 
 from ladle.functions.columns import as_text, dot, round_sim
 from ladle.session import ensure_checkpoint_dir
-from ladle.operators.bounded import MAX_BROADCAST_ROWS, broadcast_bounded
+from ladle.operators.bounded import MAX_BROADCAST_BYTES, broadcast_bounded, size_in_bytes
 
 # Fixed value: length of the ranked list the score is read from.
 TOP_K = 1000
+# Candidate buckets of the first ranking level.
+RANK_BUCKETS = 64
 # Fixed value: number of suggestions reported per query.
 N_SUGGEST = 3
 
@@ -52,20 +55,20 @@ def _pair_scores(queries: DataFrame, candidates: DataFrame, dim: int | None, q_v
 def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int | None, k: int = TOP_K,
                       query_key: str = "review_id", q_vec: str = "q_vec", c_vec: str = "c_vec",
                       q_item: str = "recipeid", c_item: str = "cand_id",
-                      n_queries: int | None = None, keep: list[str] | None = None) -> DataFrame:
+                      keep: list[str] | None = None) -> DataFrame:
     """J13 + P13 + W4: the ``k`` most similar candidates per query, ranked by
     rounded similarity then candidate id; the query's own item is excluded (F4).
 
     Output: ``query_key``, ``keep`` columns, ``c_item``, ``sim``, ``rn``.
-    ``n_queries`` is the proven upper bound on ``queries`` (its sample
-    size); without it the queries are counted first.  Above
-    ``MAX_BROADCAST_ROWS`` the queries are split into chunks by a hash of
-    their key and each chunk is broadcast on its own; the union is exact.
+    The queries' bytes are measured; above ``MAX_BROADCAST_BYTES`` they are
+    split into chunks by a hash of their key and each chunk is broadcast on
+    its own; the union is exact.  The pairing itself is |queries| x
+    |candidates| products, as the task asks for.
     """
     keep = [query_key] + [c for c in (keep or []) if c != query_key]
-    candidates = spread(candidates)
-    bound = n_queries if n_queries is not None else queries.count()
-    chunks = math.ceil(2 * bound / MAX_BROADCAST_ROWS) if bound > MAX_BROADCAST_ROWS else 1
+    candidates = spread(candidates, c_item)
+    size = size_in_bytes(queries)
+    chunks = math.ceil(2 * size / MAX_BROADCAST_BYTES) if size > MAX_BROADCAST_BYTES else 1
     parts = []
     for c in range(chunks):
         q = queries if chunks == 1 else queries.filter(
@@ -74,16 +77,19 @@ def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int | None
     pairs = parts[0]
     for p in parts[1:]:
         pairs = pairs.unionByName(p)
-    w = Window.partitionBy(query_key).orderBy(F.desc("sim"), F.asc(c_item))
-    return pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    bucketed = pairs.withColumn("_bucket", F.pmod(F.xxhash64(F.col(c_item)), F.lit(RANK_BUCKETS)))
+    best = [F.desc("sim"), F.asc(c_item)]
+    first = Window.partitionBy(query_key, "_bucket").orderBy(*best)
+    some = bucketed.withColumn("_rb", F.row_number().over(first)).filter(F.col("_rb") <= k).drop("_rb", "_bucket")
+    w = Window.partitionBy(query_key).orderBy(*best)
+    return some.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it has fewer partitions than
-    cores (a catalog in one file would otherwise pair in a single task).
-    The pairing does |queries| times the work of this one shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal ``df`` over ``spark.sql.shuffle.partitions`` tasks by ``key`` (a
+    catalog in one file would otherwise pair in a single task).  The pairing
+    does |queries| times the work of this one shuffle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 _WORDS = ["first", "second", "third"]
@@ -112,7 +118,7 @@ def suggestions(sample: DataFrame, candidates: DataFrame, names: DataFrame, dim:
     """
     q = sample.select("review_id", "recipeid", "nextrecipeid", F.col("normfeatures").alias("q_vec"))
     c = candidates.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
-    ranked = ranked_neighbours(q, c, dim, k, n_queries=n_queries, keep=["nextrecipeid"])
+    ranked = ranked_neighbours(q, c, dim, k, keep=["nextrecipeid"])
     # At most n_queries rows, read twice below: materialise once.
     ensure_checkpoint_dir(sample.sparkSession)
     scored = score_suggestions(ranked, k=k).checkpoint(eager=True)
@@ -155,8 +161,7 @@ def as_text_result(result: DataFrame) -> DataFrame:
 
 
 def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
-                         key: str = "vec_id", vec: str = "embedding",
-                         n_queries: int | None = None) -> DataFrame:
+                         key: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """P13 on an embedding table: cosine top-``k`` of each query vector among
     all other items.  Vectors of any width are normalised and multiplied
     with higher-order array functions (JVM-side); the pairing, chunked
@@ -169,7 +174,6 @@ def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
                          .alias(name + "_vec"))
 
     ranked = ranked_neighbours(unit(queries, "q"), unit(items, "c"), None, k, query_key="q_id",
-                               q_vec="q_vec", c_vec="c_vec", q_item="q_id", c_item="c_id",
-                               n_queries=n_queries)
+                               q_vec="q_vec", c_vec="c_vec", q_item="q_id", c_item="c_id")
     return ranked.select(F.col("q_id").alias(key), F.col("rn").alias("rank"),
                          F.col("c_id").alias("neighbour_id"), F.round("sim", 6).alias("similarity"))

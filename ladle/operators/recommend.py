@@ -2,8 +2,9 @@
 
 ALS is MLlib's blocked alternating least squares: user and item factors
 live in blocks that are shuffled between executors each iteration.  The
-block count follows the cluster's core count, and long runs
-checkpoint their lineage to the session's checkpoint directory.
+block count is a parameter (MLlib makes user blocks x item blocks rating
+blocks, so it must not follow the core count), and long runs checkpoint
+their lineage to the session's checkpoint directory.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_if_small
+from ladle.operators.bounded import broadcast_if_small
 from ladle.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "authorid", "recipeid", "rating"
 
 # The full tuning grid of the original job (9 x 14 x 7 = 882
-# fits); pass them to ``tune_als`` to repeat that search.
+# fits), the default of ``tune_als``.
 FULL_GRID_RANKS = [1, 5, 10, 15, 20, 25, 50, 75, 100]
 FULL_GRID_REG_PARAMS = [0.000000001, 0.0000001, 0.00001, 0.01, 0.03, 0.1, 0.3, 1, 3, 10, 15, 25, 50, 100]
 FULL_GRID_MAX_ITERS = [5, 10, 15, 25, 50, 100, 150]
@@ -44,18 +45,25 @@ def random_split(df: DataFrame, train_fraction: float = 0.9, seed: int = 42) ->
     return train, test
 
 
-def _blocks(spark) -> int:
-    # One factor block per core: enough parallelism per iteration without
-    # paying per-block overhead on every one of the 2 x maxIter solves.
-    return max(2, spark.sparkContext.defaultParallelism)
+# MLlib's default; the job this mirrors leaves it so.
+ALS_BLOCKS = 10
+MAX_ALS_BLOCKS = 200
+RATINGS_PER_BLOCK = 20_000_000
+
+
+def blocks_for(n_ratings: int) -> int:
+    """Blocks for a rating log: MLlib's default, more only where a user or
+    item block would hold more than ``RATINGS_PER_BLOCK`` ratings, and never
+    more than ``MAX_ALS_BLOCKS`` (its square is the number of rating blocks)."""
+    return min(MAX_ALS_BLOCKS, max(ALS_BLOCKS, -(-n_ratings // RATINGS_PER_BLOCK)))
 
 
 def als_estimator(spark, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
-                  seed: int | None = 42, cold_start: str = "nan") -> ALS:
+                  seed: int | None = 42, cold_start: str = "nan", blocks: int = ALS_BLOCKS) -> ALS:
     ensure_checkpoint_dir(spark)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=USER, itemCol=ITEM,
               ratingCol=RATING, implicitPrefs=False, coldStartStrategy=cold_start,
-              numUserBlocks=_blocks(spark), numItemBlocks=_blocks(spark),
+              numUserBlocks=blocks, numItemBlocks=blocks,
               checkpointInterval=10)
     if seed is not None:
         als = als.setSeed(seed)
@@ -63,9 +71,9 @@ def als_estimator(spark, rank: int = 10, max_iter: int = 10, reg_param: float =
 
 
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
-            seed: int | None = 42) -> ALSModel:
+            seed: int | None = 42, blocks: int = ALS_BLOCKS) -> ALSModel:
     """M8: explicit-feedback ALS, rank 10, other parameters at MLlib defaults."""
-    est = als_estimator(train.sparkSession, rank, max_iter, reg_param, seed)
+    est = als_estimator(train.sparkSession, rank, max_iter, reg_param, seed, blocks=blocks)
     return est.fit(train.select(USER, ITEM, RATING))
 
 
@@ -87,15 +95,16 @@ def rmse_value(predictions: DataFrame) -> float:
     return ev.evaluate(predictions)
 
 
-def tune_als(train: DataFrame, ranks: Sequence[int], reg_params: Sequence[float],
-             max_iters: Sequence[int], train_ratio: float = 0.9, seed: int = 42,
-             parallelism: int = 2) -> tuple[ALSModel, DataFrame]:
+def tune_als(train: DataFrame, ranks: Sequence[int] = FULL_GRID_RANKS,
+             reg_params: Sequence[float] = FULL_GRID_REG_PARAMS,
+             max_iters: Sequence[int] = FULL_GRID_MAX_ITERS, train_ratio: float = 0.9, seed: int = 42,
+             parallelism: int = 2, blocks: int = ALS_BLOCKS) -> tuple[ALSModel, DataFrame]:
     """M11 + M12: grid search with a train/validation split; returns the best
     model and ``(rank, regParam, maxIter, rmse)`` ordered best first.  The
-    grid is an argument (``FULL_GRID_*`` holds the original 882 points);
+    grid is an argument whose default is the original's 882 points;
     ``parallelism`` fits several grid points at once."""
     spark = train.sparkSession
-    als = als_estimator(spark, cold_start="drop", seed=seed)
+    als = als_estimator(spark, cold_start="drop", seed=seed, blocks=blocks)
     grid = (ParamGridBuilder().addGrid(als.rank, list(ranks))
             .addGrid(als.regParam, list(reg_params)).addGrid(als.maxIter, list(max_iters)).build())
     ev = RegressionEvaluator(metricName="rmse", labelCol=RATING, predictionCol="prediction")
@@ -160,14 +169,17 @@ def wide_recommendations(recs: DataFrame, catalog: DataFrame, n: int, key: str =
     # posexplode_outer keeps a key whose array is empty (one row of NULLs).
     long = recs.select(key, F.posexplode_outer(array_col).alias("_pos", "_rec")).select(
         key, "_pos", F.col("_rec")[item].alias("_item"), F.col("_rec")[score].alias("_score"))
-    joined = long.join(broadcast_if_small(names, DIMENSION_BROADCAST_ROWS), "_item", "left")
-    aggs = []
+    joined = long.join(broadcast_if_small(names), "_item", "left")
+    # At most n picks per key: gathered as one list and read by position
+    # (a max over the text column would sort instead of hash).
+    picks = joined.groupBy(key).agg(F.collect_list(F.struct("_pos", "_item", "_name", "_score")).alias("_picks"))
+    cols = []
+    at_position = lambda i: F.get(F.filter("_picks", lambda p: p["_pos"] == i), F.lit(0))
     for i in range(n):
-        hit = F.col("_pos") == i
-        aggs += [F.max(F.when(hit, F.col("_item"))).alias(f"{item}{i + 1}"),
-                 F.max(F.when(hit, F.col("_name"))).alias(f"name{i + 1}"),
-                 F.max(F.when(hit, F.col("_score"))).alias(f"{score}{i + 1}")]
-    return joined.groupBy(key).agg(*aggs)
+        at = at_position(i)
+        cols += [at["_item"].alias(f"{item}{i + 1}"), at["_name"].alias(f"name{i + 1}"),
+                 at["_score"].alias(f"{score}{i + 1}")]
+    return picks.select(key, *cols)
 
 
 def wide_item_recommendations(recs: DataFrame, catalog: DataFrame, n: int) -> DataFrame:
@@ -177,5 +189,5 @@ def wide_item_recommendations(recs: DataFrame, catalog: DataFrame, n: int) -> Da
            .select("recipeid", "_c.name", "_c.recipecategory"))
     cols = [F.col("recommendations")[i][c].alias(f"{c}{i + 1}")
             for i in range(n) for c in (USER, "rating")]
-    return (recs.join(broadcast_if_small(cat, DIMENSION_BROADCAST_ROWS), "recipeid", "left")
+    return (recs.join(broadcast_if_small(cat), "recipeid", "left")
             .select("recipeid", "name", "recipecategory", *cols))

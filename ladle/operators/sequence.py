@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.operators.bounded import DIMENSION_BROADCAST_ROWS, broadcast_bounded, broadcast_if_small
+from ladle.operators.bounded import broadcast_bounded
 from ladle.session import ensure_checkpoint_dir, materialize
 
 _LEAD1, _LEAD2 = "_lead1", "_lead2"
@@ -70,55 +70,54 @@ def leads(df: DataFrame, key: str, order: Sequence[str], value: str,
     ``key_counts`` over these rows or over a superset that keeps every row
     of each key).  Rows of keys with at most ``hot_key_rows`` rows take a
     plain window partitioned by key; rows of hot keys take the
-    range-fragment path.  The hot key list is bounded by
-    ``rows / hot_key_rows`` and broadcast after a size check.
+    range-fragment path, in enough fragments (``2 * hot rows /
+    hot_key_rows``, unless ``partitions`` is given) that none holds more than
+    about ``hot_key_rows`` rows.  The hot key list, at most ``rows /
+    hot_key_rows`` keys, is written once; the joins with it are Spark's
+    choice from the table's bytes.
     """
     cols = df.columns
     nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
     kdf = df.withColumn("_kv", _key_value(df, key)).withColumn("_kn", F.col(key).isNull())
     if counts is None:
         hot = (kdf.groupBy("_kv", "_kn").agg(F.count(F.lit(1)).alias("_cnt"))
-               .filter(F.col("_cnt") > hot_key_rows).select("_kv", "_kn"))
+               .filter(F.col("_cnt") > hot_key_rows))
     else:
         hot = (counts.filter(F.col("_cnt") > hot_key_rows)
-               .select(_key_value(counts, key).alias("_kv"), F.col(key).isNull().alias("_kn")))
-    # The hot list is an aggregate over the whole input: checkpoint its
-    # bounded head once, then count and broadcast from that.
-    ensure_checkpoint_dir(df.sparkSession)
-    head = hot.limit(DIMENSION_BROADCAST_ROWS + 1).checkpoint(eager=True)
-    n_hot = head.count()
-    if n_hot == 0:
-        cold = kdf
-    else:
-        hot = F.broadcast(head) if n_hot <= DIMENSION_BROADCAST_ROWS else hot
-        cold = kdf.join(hot, ["_kv", "_kn"], "left_anti")
+               .select(_key_value(counts, key).alias("_kv"), F.col(key).isNull().alias("_kn"), "_cnt"))
+    hot = materialize(hot, "hot-keys")
+    n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_cnt")).first()
+    hot = hot.select("_kv", "_kn")
+    cold = kdf.join(hot, ["_kv", "_kn"], "left_anti") if n_hot else kdf
     w = Window.partitionBy("_kv", "_kn").orderBy(*order)
     out = cold.select(*cols, F.lead(nxt, 1).over(w).alias(_LEAD1), F.lead(nxt, 2).over(w).alias(_LEAD2))
     if n_hot:
-        hot_rows = kdf.join(hot, ["_kv", "_kn"], "left_semi").drop("_kv", "_kn")
-        out = out.unionByName(_fragment_leads(hot_rows, key, order, value, partitions))
+        split = kdf.join(hot, ["_kv", "_kn"], "left_semi").drop("_kv", "_kn")
+        n = partitions or max(2, -(-2 * hot_rows // max(1, hot_key_rows)))
+        out = out.unionByName(_fragment_leads(fragments(split, key, order, n), df.columns, order, value))
     return out
 
 
-def _fragment_leads(df: DataFrame, key: str, order: Sequence[str], value: str,
-                    partitions: int | None = None) -> DataFrame:
-    """Leads for rows of hot keys: range fragments + boundary patch."""
-    spark = df.sparkSession
-    cols = df.columns
-    nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
+def fragments(df: DataFrame, key: str, order: Sequence[str], partitions: int) -> DataFrame:
+    """``df`` range-partitioned on (key, order) into ``partitions`` fragments,
+    with ``_frag``, ``_kv`` and ``_kn``.
 
-    ensure_checkpoint_dir(spark)
-    # Both branches below must see the same fragment ids.  Range bounds are
-    # sampled per exchange, so the fragmented table is materialised once with
-    # a reliable checkpoint (shared checkpoint directory): every later read,
-    # and every recomputation after an executor loss, sees the same ids.
-    # Without an explicit count AQE may merge adjacent ranges of a small
-    # input; merged ranges are still contiguous, so fragments stay valid.
-    ranged = (df.repartitionByRange(*([partitions] if partitions else []), key, *order)
-              .withColumn("_frag", F.spark_partition_id())
-              .withColumn("_kv", _key_value(df, key))
-              .withColumn("_kn", F.col(key).isNull())
-              .checkpoint(eager=True))
+    Range bounds are sampled per exchange, so the fragmented table is
+    written once with a reliable checkpoint (shared checkpoint directory):
+    every reader, and every recomputation after an executor loss, sees the
+    same ids.  The count is explicit, so AQE merges no fragments."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(partitions, key, *order)
+            .withColumn("_frag", F.spark_partition_id())
+            .withColumn("_kv", _key_value(df, key))
+            .withColumn("_kn", F.col(key).isNull())
+            .checkpoint(eager=True))
+
+
+def _fragment_leads(ranged: DataFrame, cols: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """Leads for rows of hot keys from their ``fragments``: window per
+    fragment + boundary patch."""
+    nxt = F.struct(F.lit(True).alias("ok"), F.col(value).alias("v"))
     grp = ["_kv", "_kn", "_frag"]
     w = Window.partitionBy(*grp).orderBy(*order)
     local = (ranged.withColumn("_l1", F.lead(nxt, 1).over(w))
@@ -147,14 +146,14 @@ def _fragment_leads(df: DataFrame, key: str, order: Sequence[str], value: str,
 def frequent_key_rows(df: DataFrame, key: str = "authorid", more_than: int = 2,
                       counts: DataFrame | None = None) -> DataFrame:
     """F5 + J3: rows whose key has more than ``more_than`` rows.  The count
-    is a partial aggregate (or ``counts`` from ``key_counts``); the filter
-    is a left-semi join against the key list, broadcast after a count check
-    (then the big side is not shuffled); above the bound AQE splits a
-    skewed key's partition."""
+    is a partial aggregate written once (``counts`` from ``key_counts``);
+    the filter is a left-semi join against that table.  Spark broadcasts it
+    where its bytes allow (then the big side is not shuffled); otherwise AQE
+    splits a skewed key's partition."""
     if counts is None:
-        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+        counts = key_counts(df, key)
     keys = counts.filter(F.col("_cnt") > more_than).select(key)
-    return df.join(broadcast_if_small(keys, DIMENSION_BROADCAST_ROWS, pin=True), key, "left_semi")
+    return df.join(keys, key, "left_semi")
 
 
 def drop_latest(df: DataFrame, key: str = "authorid",
@@ -208,37 +207,30 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     Only the ``n`` sampled rows need a next item, so the sample is drawn
     first and the sequence work is done for it alone:
 
-    1. one author-grain aggregate (written once) gives each key's row count
-       (keys with more than two rows are kept, F5) and its latest row,
-       which is removed with an anti-join on the row id;
-    2. the ``n`` rows are drawn from what is left (per-task top-n);
+    1. one author-grain table (written once) gives each key's row count
+       (keys with more than two rows are kept, F5) and the id of its latest
+       row: the latest date by a hash aggregate, then the largest id among
+       the rows of that date;
+    2. one join with it on the key leaves the frequent keys' rows but their
+       latest, of which the ``n`` rows are drawn (per-task top-n);
     3. the bounded sample is broadcast against the kept rows of the same
        keys that come later in ``order``; a partial ``min(struct)`` per
-       sampled row yields its next item.  The big side is streamed, never
-       shuffled, so a prolific author costs no single task anything.
+       sampled row yields its next item, so a prolific author costs no
+       single task anything.
 
     Same rows and values as ``sample_rows(next_item(...), n)``; ``seed``
     switches the md5 order to ``rand(seed)`` (the reference's random pick).
     """
-    rid = order[-1]
-    pos = F.struct(*[F.col(c) for c in order])
-    # One author-grain aggregate gives both the review count (F5) and the
-    # latest review (W1); written once, then filtered twice.
-    stats = materialize(features.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"),
-                                                  F.max(pos)[rid].alias("_last")), f"{key}-stats")
-    frequent = stats.filter(F.col("_cnt") > 2)
-    keys = frequent.select(key)
-    latest = frequent.select(F.col("_last").alias(rid))
-    # Both lists have one row per frequent author: one bounded count sizes both.
-    small = frequent.limit(DIMENSION_BROADCAST_ROWS + 1).count() <= DIMENSION_BROADCAST_ROWS
-    if small:
-        keys, latest = F.broadcast(keys), F.broadcast(latest)
-    freq = features.join(keys, key, "left_semi")
-    kept = freq.join(latest, rid, "left_anti")
-    if holdout:
-        pool = freq
-    else:
-        pool = kept
+    first, rest, rid = order[0], list(order[1:]) or [order[0]], order[-1]
+    counts = features.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.max(first).alias("_first"))
+    frequent = counts.filter(F.col("_cnt") > 2).withColumnRenamed(key, "_of")
+    last = (features.select(key, *order)
+            .join(frequent, (F.col(key) == F.col("_of")) & F.col(first).eqNullSafe(F.col("_first")))
+            .groupBy("_of").agg(F.max(F.struct(*rest))[rid].alias("_last")))
+    stats = materialize(last, f"{key}-latest")
+    freq = features.join(stats, F.col(key) == F.col("_of")).drop("_of")
+    kept = freq.filter(F.col(rid) != F.col("_last")).drop("_last")
+    pool = freq.drop("_last") if holdout else kept
     # The sample is read three times below and again by every consumer; it
     # holds at most n rows, so it is materialised once (reliable checkpoint).
     ensure_checkpoint_dir(features.sparkSession)

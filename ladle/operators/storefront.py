@@ -8,8 +8,9 @@ listing is a plan over the full review log and catalog:
   meet the catalog in a join;
 * ranked top-k lists use ``row_number`` with a full tie-breaker, which
   Spark turns into a partial ``WindowGroupLimit`` before the shuffle;
-* sides bounded by a limit (top categories, ranked shelves) or by a
-  size check (id lists) are broadcast, never the catalog or the review log.
+* sides bounded by a limit (top categories, ranked shelves) or measured in
+  bytes (id lists) are broadcast; the catalog is cut to the ids a listing
+  shows by a semi-join before anything is looked up in it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.columns import first_element, has_image, is_ascii_digits
-from ladle.operators.bounded import broadcast_bounded, broadcast_if_small
+from ladle.operators.bounded import broadcast_if_small
+from ladle.session import materialize
 
 # Fixed value: padding for the shorter of the ingredient / quantity lists.
 PAD_TEXT = "not have information"
@@ -81,11 +83,14 @@ def shelves(reviews: DataFrame, catalog: DataFrame, n_categories: int = 5, k: in
     category) counts are built once and feed both rankings."""
     counts = recipe_category_counts(reviews, catalog)
     tops = _top_categories(counts, n_categories).select("recipecategory")
-    ranked = (_top_per_category(counts, k)
-              .join(F.broadcast(tops), "recipecategory", "left_semi"))
-    # At most n_categories * k rows remain: broadcast them, stream the catalog.
-    attrs = catalog.select("recipeid", "name", "images")
-    out = broadcast_bounded(ranked, n_categories * k).join(attrs, "recipeid", "left")
+    ranked = materialize(_top_per_category(counts, k)
+                         .join(F.broadcast(tops), "recipecategory", "left_semi"), "shelves")
+    # At most n_categories * k rows remain: the catalog is cut to their ids
+    # (the semi-join goes below its duplicate removal), and the few rows left
+    # are the build side of the lookup.
+    attrs = (catalog.join(F.broadcast(ranked.select("recipeid")), "recipeid", "left_semi")
+             .select("recipeid", "name", "images"))
+    out = ranked.join(F.broadcast(attrs), "recipeid", "left")
     # Shelf order, n descending within a category (at most n_categories * k rows).
     return (out.select("recipecategory", "n", "recipeid", "name", "images", "review_count")
             .orderBy("recipecategory", F.desc("n")))
@@ -144,6 +149,16 @@ def recipe_by_id(recipes: DataFrame, recipe_id: int, key: str = "recipeid") -> D
     return recipes.filter(F.col(key) == F.lit(recipe_id)).orderBy(F.asc_nulls_last("name")).limit(1)
 
 
+def recipes_by_ids(recipes: DataFrame, ids: DataFrame, key: str = "recipeid") -> DataFrame:
+    """F9 for a table of ids: each id with its first catalog row (by name),
+    NULLs where there is none.  The catalog is cut to the ids first."""
+    wanted = broadcast_if_small(ids.select(key).distinct(), pin=True)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last("name"))
+    first = (recipes.join(wanted, key, "left_semi").withColumn("_rn", F.row_number().over(w))
+             .filter(F.col("_rn") == 1).drop("_rn"))
+    return ids.select(key).join(first, key, "left")
+
+
 def users_without_recs(authors: DataFrame, recs: DataFrame) -> DataFrame:
     """authors with no recommendation row (anti-join)."""
     return authors.select("authorid").distinct().join(recs.select("authorid"), "authorid", "left_anti")
@@ -169,25 +184,44 @@ def instruction_rows(recipes: DataFrame) -> DataFrame:
     return recipes.select("recipeid", F.posexplode_outer("recipeinstructions").alias("pos", "step"))
 
 
-def detail_view(suggestions: DataFrame, recipes: DataFrame) -> DataFrame:
-    """Q13 (F9 J10 P6 P10): for each reviewed recipe in the neighbour
-    result, its own catalog entry and the catalog entry of its first
-    suggestion.  Missing matches stay NULL (D13) instead of raising.
-
-    The catalog is first cut to the ids the result mentions (a semi-join
-    against them, broadcast after a size check), so the lookups join two
-    small tables whatever the catalog size."""
-    base = suggestions.select("recipeid", "firstsuggestid", "firstsuggestname").dropDuplicates()
-    ids = base.select("recipeid").union(base.select(F.col("firstsuggestid").alias("recipeid"))).distinct()
-    cut = recipes.join(broadcast_if_small(ids), "recipeid", "left_semi").select(
-        "recipeid", "name", "recipecategory", first_element("images").alias("images"))
-    own = cut.select("recipeid", "name", "recipecategory", "images")
-    sug = cut.select(F.col("recipeid").alias("firstsuggestid"),
-                     F.col("recipecategory").alias("suggest_category"),
-                     F.col("images").alias("suggest_image"))
-    return (base.join(own, "recipeid", "left").join(sug, "firstsuggestid", "left")
-            .withColumn("has_image", has_image("images"))
-            .withColumn("suggest_has_image", has_image("suggest_image")))
+# The lists a detail page shows beside name, category and image.
+DETAIL_LISTS = ["recipeingredientparts", "recipeingredientquantities", "recipeinstructions"]
+
+
+def _entry(catalog: DataFrame, key: str, prefix: str = "") -> DataFrame:
+    """A detail page's entry: key, category, image and lists, named with a prefix."""
+    shown = ["recipecategory", "images", *DETAIL_LISTS]
+    return catalog.select(F.col("recipeid").alias(key), *[F.col(c).alias(prefix + c) for c in shown])
+
+
+def detail_view(suggestions: DataFrame, recipes: DataFrame, picks: DataFrame | None = None) -> DataFrame:
+    """Q13 (F9 J10 P6 P8 P9 P10): for each reviewed recipe in the neighbour
+    result its own catalog entry, that of its first suggestion (``suggest_``)
+    and, with ``picks`` (reviewerid, pickid), that of the reviewer's own pick
+    (``pick_``), each with its ingredient, quantity and instruction lists.
+    Missing matches stay NULL (D13) instead of raising.
+
+    The catalog is first cut to the ids the page mentions (a semi-join
+    against them, broadcast after its bytes are measured), so the lookups
+    join small tables whatever the catalog size."""
+    keep = ["recipeid", "firstsuggestid", "firstsuggestname"] + (["reviewerid"] if picks is not None else [])
+    base = suggestions.select(*keep).dropDuplicates()
+    if picks is not None:
+        base = base.join(picks.select("reviewerid", "pickid"), "reviewerid", "left")
+    base = materialize(base, "detail-base")
+    named = ["recipeid", "firstsuggestid"] + (["pickid"] if picks is not None else [])
+    ids = (base.select(F.explode(F.array(*[F.col(c) for c in named])).alias("recipeid"))
+           .filter(F.col("recipeid").isNotNull()).distinct())
+    cut = materialize(recipes.join(broadcast_if_small(ids), "recipeid", "left_semi").select(
+        "recipeid", "name", "recipecategory", first_element("images").alias("images"), *DETAIL_LISTS), "detail-catalog")
+    out = (base.join(cut, "recipeid", "left")
+           .join(_entry(cut, "firstsuggestid", "suggest_"), "firstsuggestid", "left")
+           .withColumn("has_image", has_image("images"))
+           .withColumn("suggest_has_image", has_image("suggest_images")))
+    if picks is not None:
+        out = (out.join(_entry(cut, "pickid", "pick_"), "pickid", "left")
+               .withColumn("pick_has_image", has_image("pick_images")))
+    return out
 
 
 def pick_detail(picks: DataFrame, recipes: DataFrame, pick_col: str = "recipeid1") -> DataFrame:

@@ -71,6 +71,18 @@ def source_profile(spark, sf):
     return IO.source_profile(part, "part").unionByName(IO.source_profile(line, "lineitem"))
 
 
+@query("rating_columns", oracle=with_fixtures("select recipeid, authorid, rating from reviews", "reviews"))
+def rating_columns(spark, sf):
+    # The rating job's load-time projection of the review log.
+    return IO.project(fixture(spark, sf, "reviews"), [c.upper() for c in IO.RATING_COLUMNS])
+
+
+@query("label_columns", oracle=with_fixtures("select recipeid, name, recipecategory from recipes", "recipes"))
+def label_columns(spark, sf):
+    # The rating job's projection of the catalog.
+    return IO.project(fixture(spark, sf, "recipes"), IO.RECIPE_LABEL_COLUMNS)
+
+
 @query("load_projection", oracle="""
 select cast(p_partkey as int) as p_partkey, p_name, p_type from part
 """)
@@ -80,31 +92,63 @@ def load_projection(spark, sf):
                            key="p_partkey")
 
 
+_ARRAYS = {"images": "Images", "recipeingredientparts": "RecipeIngredientParts",
+           "recipeingredientquantities": "RecipeIngredientQuantities", "recipeinstructions": "RecipeInstructions"}
 
-def _csv_export(spark, sf) -> str:
-    """The fixture catalog as the app's CSV export holds it: arrays as R
-    vectors (``c("a", "b")``, ``character(0)`` when empty), RFC 4180
-    quoting.  Written under the checkpoint directory."""
-    r = fixture(spark, sf, "recipes")
-    arr = F.col("images")
-    text = (F.when(arr.isNull(), F.lit(None).cast("string"))
+
+def _r_vector(name):
+    """An array as the app's CSV export holds it: ``c("a", NA)``,
+    ``character(0)`` when empty.  The element "1" is written as NA, so that
+    missing elements are part of the test."""
+    arr = F.col(name)
+    each = F.transform(arr, lambda x: F.when(x == "1", F.lit("NA")).otherwise(F.concat(F.lit('"'), x, F.lit('"'))))
+    return (F.when(arr.isNull(), F.lit(None).cast("string"))
             .when(F.size(arr) == 0, F.lit("character(0)"))
-            .otherwise(F.concat(F.lit("c("), F.array_join(
-                F.transform(arr, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", "), F.lit(")"))))
-    out = r.select(F.col("recipeid").alias("RecipeId"), F.col("name").alias("Name"),
-                   F.col("recipecategory").alias("RecipeCategory"), text.alias("Images"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/recipes-csv-{uuid.uuid4().hex}"
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+            .otherwise(F.concat(F.lit("c("), F.array_join(each, ", "), F.lit(")"))))
+
+
+def _export(spark, df, label) -> str:
+    """A header CSV with RFC 4180 quoting under the checkpoint directory."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/{label}-csv-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 
-@query("csv_catalog", oracle=with_fixtures("""
-select recipeid, name, recipecategory, images[1] as images from recipes
+def _listed(name):
+    """An array as text, missing elements shown."""
+    return F.array_join(F.transform(name, lambda x: F.coalesce(x, F.lit("<NA>"))), "|").alias(name)
+
+
+def _listed_sql(name):
+    return (f"array_to_string(list_transform({name}, lambda x: case when x = '1' then '<NA>' else x end), '|') "
+            f"as {name}")
+
+
+@query("csv_catalog", oracle=with_fixtures(f"""
+select recipeid, name, recipecategory, images[1] as first_image, {', '.join(map(_listed_sql, _ARRAYS))} from recipes
 """, "recipes"))
 def csv_catalog(spark, sf):
     # S2 + S5 + S6 + P6 + D10: header CSV scan with an explicit schema,
-    # lower-cased names, array text parsed on the executors, first image.
-    path = _csv_export(spark, sf)
-    df = IO.read_csv(spark, path, "RecipeId int, Name string, RecipeCategory string, Images string",
-                     ["Images"])
-    return df.select("recipeid", "name", "recipecategory", first_element("images").alias("images"))
+    # lower-cased names, array texts with NA elements parsed on the executors.
+    r = fixture(spark, sf, "recipes")
+    path = _export(spark, r.select(F.col("recipeid").alias("RecipeId"), F.col("name").alias("Name"),
+                                   F.col("recipecategory").alias("RecipeCategory"),
+                                   *[_r_vector(c).alias(n) for c, n in _ARRAYS.items()]), "recipes")
+    schema = "RecipeId int, Name string, RecipeCategory string, " + ", ".join(f"{n} string" for n in _ARRAYS.values())
+    df = IO.read_csv(spark, path, schema, list(_ARRAYS.values()))
+    return df.select("recipeid", "name", "recipecategory", first_element("images").alias("first_image"),
+                     *map(_listed, _ARRAYS))
+
+
+@query("csv_reviews", oracle=with_fixtures("""
+select review_id, recipeid, authorid, rating, review, cast(datesubmitted as timestamp) as datesubmitted from reviews
+""", "reviews"))
+def csv_reviews(spark, sf):
+    # S2 on the review log: written as CSV and read back with its types.
+    r = fixture(spark, sf, "reviews").withColumn("datesubmitted", F.col("datesubmitted").cast("timestamp"))
+    cols = {"review_id": "ReviewId", "recipeid": "RecipeId", "authorid": "AuthorId", "rating": "Rating",
+            "review": "Review", "datesubmitted": "DateSubmitted"}
+    path = _export(spark, r.select(*[F.col(c).alias(n) for c, n in cols.items()]), "reviews")
+    df = IO.read_csv(spark, path, "ReviewId string, RecipeId int, AuthorId int, Rating int, Review string, "
+                                  "DateSubmitted timestamp")
+    return df.withColumnRenamed("reviewid", "review_id").select(*cols)

@@ -10,13 +10,9 @@ from ladle.plans.registry import query
 from ladle.plans.sql_shapes import features_sql, round_cols, unit_vector_sql
 from ladle.sources.tables import fixture, with_fixtures
 
-_AVG = ["rating", "reviewlength", None, "instructionstep", "time", "calories", "fatcontent",
-        "sodiumcontent", "carbohydratecontent", "proteincontent"]
-
-
 def _profile_sql() -> str:
     parts = []
-    for name, src in zip(FT.AUTHOR_VECTOR_COLUMNS, _AVG):
+    for name, src in FT.AUTHOR_ATTRIBUTES.items():
         parts.append("count(*) as review_count" if src is None else f"avg({src}) as {name}")
     return f", profile as (select authorid, {', '.join(parts)} from features group by authorid)\n"
 
@@ -57,11 +53,21 @@ def recipe_vectors(spark, sf):
     return FT.explode_vector(vec.select("recipeid", "normfeatures"), "normfeatures", 8)
 
 
-@query("review_vectors", oracle=with_fixtures(
-    features_sql("review_log")
-    + unit_vector_sql("qv", "features", ["review_id"], FT.RECIPE_VECTOR_COLUMNS)
-    + f"select review_id, {round_cols('u', 8)} from qv", "recipes", "review_log"))
-def review_vectors(spark, sf):
-    feats = _features(spark, sf, "review_log")
-    vec = FT.unit_vectors(feats, FT.RECIPE_VECTOR_COLUMNS)
+def _review_vectors_sql(reviews):
+    return with_fixtures(features_sql(reviews) + unit_vector_sql("qv", "features", ["review_id"], FT.RECIPE_VECTOR_COLUMNS)
+                         + f"select review_id, {round_cols('u', 8)} from qv", "recipes", reviews)
+
+
+def _review_vectors(spark, sf, reviews):
+    vec = FT.unit_vectors(_features(spark, sf, reviews), FT.RECIPE_VECTOR_COLUMNS)
     return FT.explode_vector(vec.select("review_id", "normfeatures"), "normfeatures", 8)
+
+
+@query("review_vectors", oracle=_review_vectors_sql("review_log"))
+def review_vectors(spark, sf):
+    return _review_vectors(spark, sf, "review_log")
+
+
+@query("review_vectors_reviews", oracle=_review_vectors_sql("reviews"))
+def review_vectors_reviews(spark, sf):
+    return _review_vectors(spark, sf, "reviews")

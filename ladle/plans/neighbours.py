@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from ladle.operators import clean as C
 from ladle.operators import features as FT
 from ladle.operators import neighbours as NB
 from ladle.operators import sequence as SQ
 from ladle.operators import storefront as S
 from ladle.plans.registry import query
-from ladle.session import ensure_checkpoint_dir
+from ladle.session import ensure_checkpoint_dir, materialize
 from ladle.plans.storefront import SHELVES_SQL
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql, unit_vector_sql
 from ladle.sources import files as IO
@@ -26,13 +29,12 @@ def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler
     sample → ranked neighbours → suggestions with score."""
     raw = fixture(spark, sf, "recipes")
     recipes = C.clean_recipes(raw)
-    # Read by several passes below (scaler fit, author counts, latest rows,
-    # sample, next-recipe probe).  The catalog side of this join is a
-    # size-checked broadcast, so each pass is a column-pruned scan of the log;
-    # writing the full-width table once measured no faster and costs more
-    # when the passes need few columns.
-    feats = C.review_features(fixture(spark, sf, reviews), raw)
     cols = FT.RECIPE_VECTOR_COLUMNS
+    # Read by several passes below (scaler fit, author counts, latest rows,
+    # sample, next-recipe probe): the log meets the catalog once, and the
+    # columns that the passes need are written to the shared folder.
+    feats = materialize(C.review_features(fixture(spark, sf, reviews), raw).select(
+        "review_id", "authorid", "recipeid", "datesubmitted", "name", *cols), "review-features")
     cand_model = FT.fit_scaler(recipes, cols)
     query_model = cand_model if shared_scaler else FT.fit_scaler(feats, cols)
     candidates = FT.apply_scaler(recipes, cols, cand_model)
@@ -99,11 +101,8 @@ def suggestions_reviews(spark, sf):
 
 def _text_sql() -> str:
     base = suggestions_sql("review_log")
-    cols = ["reviewerid", "recipeid", "recipe_name", "firstsuggestid", "firstsuggestname",
-            "secondsuggestid", "secondsuggestname", "thirdsuggestid", "thirdsuggestname",
-            "score", "expect_id", "expect_recipe"]
     sel = ", ".join(c if c == "score" else f"coalesce(cast({c} as varchar), 'None') as {c}"
-                    for c in cols)
+                    for c in NB.TEXT_RESULT_COLUMNS)
     return f"select {sel} from ({base}) r"
 
 
@@ -112,8 +111,19 @@ def suggestions_text(spark, sf):
     return NB.as_text_result(suggestions_for(spark, sf, "review_log"))
 
 
-# Fixed parameters: embedding queries sampled by md5 order, neighbours kept.
-EMB_SAMPLE, EMB_K = 20, 3
+@query("suggestions_typed", oracle=f"""
+select {', '.join(NB.TEXT_RESULT_COLUMNS)} from ({suggestions_sql("review_log")}) r
+""")
+def suggestions_typed(spark, sf):
+    # S3 + S6 + D9: the text result written as the job writes it and read back typed.
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/suggestions-text-{uuid.uuid4().hex}"
+    IO.write_parquet(NB.as_text_result(suggestions_for(spark, sf, "review_log")), path)
+    return IO.read_text_results(spark, path)
+
+
+# Fixed parameters: every row whose id is divisible by EMB_EVERY is a query
+# against all rows; EMB_K neighbours are kept.
+EMB_EVERY, EMB_K = 50, 3
 
 
 @query("embedding_neighbours", oracle=f"""
@@ -124,7 +134,7 @@ with e as (
          case when sqrt(list_dot_product(v, v)) = 0 then list_transform(v, lambda x: 0.0)
               else list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) end as v
   from e)
-, q as (select * from u order by md5('e-' || cast(vec_id as varchar)), vec_id limit {EMB_SAMPLE})
+, q as (select * from u where vec_id % {EMB_EVERY} = 0)
 , ranked as (
   select q.vec_id, c.vec_id as neighbour_id, round(list_dot_product(q.v, c.v), 9) as sim,
          row_number() over (partition by q.vec_id
@@ -135,8 +145,7 @@ from ranked where rank <= {EMB_K}
 """)
 def embedding_neighbours(spark, sf):
     emb = base_table(spark, sf, "embeddings").select("vec_id", "embedding")
-    q = SQ.sample_rows(emb, EMB_SAMPLE, key="vec_id", salt="e-")
-    return NB.embedding_neighbours(q, emb, EMB_K, n_queries=EMB_SAMPLE)
+    return NB.embedding_neighbours(emb.filter(F.col("vec_id") % EMB_EVERY == 0), emb, EMB_K)
 
 
 # --- storefront views over the neighbour result (J6 J10 Q12 Q13) ----------
@@ -145,23 +154,66 @@ def _sugg_subquery() -> str:
     return f"({suggestions_sql('review_log')}) sugg"
 
 
-@query("detail_view", oracle=with_fixtures(f"""
-select s.recipeid, s.firstsuggestid, s.firstsuggestname, o.name, o.recipecategory, o.images,
-       g.recipecategory as suggest_category, g.images as suggest_image,
-       coalesce(starts_with(o.images, 'http'), false) as has_image,
-       coalesce(starts_with(g.images, 'http'), false) as suggest_has_image
-from (select distinct recipeid, firstsuggestid, firstsuggestname from {_sugg_subquery()}) s
-left join (select recipeid, name, recipecategory, images[1] as images from recipes) o
-  on o.recipeid = s.recipeid
-left join (select recipeid, recipecategory, images[1] as images from recipes) g
-  on g.recipeid = s.firstsuggestid
-""", "recipes"))
+# A fixed pick table: each author's best-rated recipe (ties by recipe, then review).
+_PICKS_SQL = """
+, picks as (
+  select authorid as reviewerid, recipeid as pickid from (
+    select authorid, recipeid, row_number() over (partition by authorid
+             order by rating desc, recipeid, review_id) as rn from review_log) p
+  where rn = 1)
+"""
+_LISTS = {"parts": "recipeingredientparts", "quantities": "recipeingredientquantities", "steps": "recipeinstructions"}
+
+
+def _picks(spark, sf):
+    w = Window.partitionBy("authorid").orderBy(F.desc("rating"), F.asc("recipeid"), F.asc("review_id"))
+    return (fixture(spark, sf, "review_log").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+            .select(F.col("authorid").alias("reviewerid"), F.col("recipeid").alias("pickid")))
+
+
+def _shown(prefix):
+    """Report columns of an entry: its lists as text."""
+    return [F.array_join(prefix + c, " | ").alias(prefix + n) for n, c in _LISTS.items()]
+
+
+def _shown_sql(alias, prefix):
+    return ", ".join(f"array_to_string({alias}.{c}, ' | ') as {prefix}{n}" for n, c in _LISTS.items())
+
+
+@query("detail_view", oracle=with_fixtures(_PICKS_SQL + f"""
+select s.reviewerid, s.recipeid, s.firstsuggestid, s.firstsuggestname, s.pickid,
+       o.name, o.recipecategory, o.images[1] as images, {_shown_sql("o", "")},
+       g.recipecategory as suggest_recipecategory, g.images[1] as suggest_images, {_shown_sql("g", "suggest_")},
+       p.recipecategory as pick_recipecategory, p.images[1] as pick_images, {_shown_sql("p", "pick_")},
+       coalesce(starts_with(o.images[1], 'http'), false) as has_image,
+       coalesce(starts_with(g.images[1], 'http'), false) as suggest_has_image,
+       coalesce(starts_with(p.images[1], 'http'), false) as pick_has_image
+from (select distinct r.reviewerid, r.recipeid, r.firstsuggestid, r.firstsuggestname, k.pickid
+      from ({suggestions_sql('review_log')}) r left join picks k on k.reviewerid = r.reviewerid) s
+left join recipes o on o.recipeid = s.recipeid
+left join recipes g on g.recipeid = s.firstsuggestid
+left join recipes p on p.recipeid = s.pickid
+""", "recipes", "review_log"))
 def detail_view(spark, sf):
     # As in the app: the neighbour job writes its result (S8) and the detail
     # page scans it (S3) before joining the catalog.
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ladle-tables/suggestions-{uuid.uuid4().hex}"
     IO.write_parquet(suggestions_for(spark, sf, "review_log"), path)
-    return S.detail_view(IO.read_results(spark, path), fixture(spark, sf, "recipes"))
+    out = S.detail_view(IO.read_results(spark, path), fixture(spark, sf, "recipes"), _picks(spark, sf))
+    return out.select("reviewerid", "recipeid", "firstsuggestid", "firstsuggestname", "pickid", "name",
+                      *[p + c for p in ("", "suggest_", "pick_") for c in ("recipecategory", "images", "has_image")],
+                      *[c for p in ("", "suggest_", "pick_") for c in _shown(p)])
+
+
+@query("pick_detail", oracle=with_fixtures(_PICKS_SQL + f"""
+select k.reviewerid, k.pickid, r.recipecategory, r.images[1] as images, {_shown_sql("r", "")},
+       coalesce(starts_with(r.images[1], 'http'), false) as has_image
+from picks k join recipes r on r.recipeid = k.pickid
+""", "recipes", "review_log"))
+def pick_detail(spark, sf):
+    # The user's pick with its lists, over the fixed pick table.
+    out = S.pick_detail(_picks(spark, sf), fixture(spark, sf, "recipes"), "pickid")
+    return out.select("reviewerid", "pickid", "recipecategory", "images", "has_image", *_shown(""))
 
 
 @query("storefront_shelves", oracle=with_fixtures(f"""

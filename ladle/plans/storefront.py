@@ -66,6 +66,19 @@ def shelves_top5(spark, sf):
     return S.shelves(fixture(spark, sf, "reviews"), _catalog(spark, sf), 5, 5)
 
 
+@query("recipe_lookup", oracle=with_fixtures("""
+select k.recipeid, f.name, f.recipecategory from (select cast(c_custkey as int) as recipeid from customer) k
+left join (
+  select recipeid, name, recipecategory,
+         row_number() over (partition by recipeid order by name nulls last) as rn from recipes) f
+  on f.recipeid = k.recipeid and f.rn = 1
+""", "recipes"))
+def recipe_lookup(spark, sf):
+    # a table of typed ids (customer keys; some name no recipe) looked up in the catalog.
+    ids = base_table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("recipeid"))
+    return S.recipes_by_ids(fixture(spark, sf, "recipes").select("recipeid", "name", "recipecategory"), ids)
+
+
 @query("category_options", oracle=with_fixtures("""
 select distinct recipecategory from recipes where recipecategory is not null
 """, "recipes"))

@@ -15,12 +15,34 @@ def test_csv_with_array_text(spark):
         f.write('2,"Soup","character(0)"\n')
         f.write('3,"Rice","[""x""]"\n')
         f.write('4,"Multi\nline",\n')
-    df = IO.read_csv(spark, p, "RecipeId int, Name string, Images string", ["Images"])
+    df = IO.read_csv(spark, p, "RecipeId int, Name string, Images string", ["Images"], multi_line=True)
     rows = {r.recipeid: (r.name, r.images) for r in df.collect()}
     assert rows[1] == ("Pad, Thai", ["http://a/1.jpg", "http://a/2.jpg"])
     assert rows[2][1] == [] and rows[3][1] == ["x"] and rows[4] == ("Multi\nline", None)
 
 
+def test_array_texts(spark):
+    cases = {'c("1", NA, "2")': ["1", None, "2"], "c(NA, NA)": [None, None], 'c("x,NA,y", "NA")': ["x,NA,y", "NA"],
+             "1:3": ["1", "2", "3"], 'c("a", 2:4, NA)': ["a", "2", "3", "4", None], "NA": None, "character(0)": [],
+             '"one"': ["one"], '["a", null, "b"]': ["a", None, "b"], 'c("say \\"hi\\"", "c(1)")': ['say "hi"', "c(1)"],
+             "c(1, 2.5)": ["1", "2.5"], "": None}
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string")
+    got = {r.t: r.a for r in df.select("t", IO.parse_text_array(df.t).alias("a")).collect()}
+    assert got == cases | {None: None}
+
+
+def test_text_keys_and_text_results(spark):
+    df = spark.createDataFrame([("7", "x"), ("None", "y"), ("1.5x", "z")], "RecipeId string, Name string")
+    assert [r.recipeid for r in IO.project(df, ["recipeid"]).collect()] == [7, None, None]
+    d = os.path.join(tempfile.mkdtemp(prefix="ladle-text-"), "res")
+    row = ("3", "7", "Soup", "None", "None", 0.5)
+    IO.write_parquet(spark.createDataFrame([row], "reviewerid string, recipeid string, recipe_name string, "
+                                                  "firstsuggestid string, firstsuggestname string, score double"), d)
+    back = IO.read_text_results(spark, d)
+    assert tuple(back.first()) == (3, 7, "Soup", None, None, 0.5)
+    assert dict(back.dtypes)["firstsuggestid"] == "int"
+
+
 def test_sink_and_result_scan(spark):
     d = os.path.join(tempfile.mkdtemp(prefix="ladle-out-"), "res")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "recipeid int, name string")
@@ -55,7 +77,7 @@ def test_broadcast_if_small_checks_size(spark):
     small = spark.range(5)
     big = spark.range(50)
     fact = spark.range(1000)
-    p1 = fact.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().sparkPlan().toString()
-    p2 = fact.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    p1 = fact.join(broadcast_if_small(small, 400), "id")._jdf.queryExecution().sparkPlan().toString()
+    p2 = fact.join(broadcast_if_small(big, 400), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "BroadcastHashJoin" in p1
     assert "broadcast" not in p2.lower()

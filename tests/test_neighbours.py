@@ -70,7 +70,7 @@ def test_similarities_bounded(spark):
     q = cat.limit(5).select(F.concat(F.lit("q"), F.col("recipeid").cast("string")).alias("review_id"),
                             "recipeid", F.col("normfeatures").alias("q_vec"))
     c = cat.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
-    ranked = NB.ranked_neighbours(q, c, 4, k=1000, n_queries=5, keep=["recipeid"])
+    ranked = NB.ranked_neighbours(q, c, 4, k=1000, keep=["recipeid"])
     stats = ranked.agg(F.min("sim"), F.max("sim"), F.max("rn"), F.count(F.lit(1))).first()
     assert -1 - 1e-9 <= stats[0] and stats[1] <= 1 + 1e-9
     assert stats[2] == 299 and stats[3] == 5 * 299
@@ -85,9 +85,10 @@ def test_chunked_broadcast_equals_single(spark, monkeypatch):
     q = cat.limit(30).select(F.concat(F.lit("q"), F.col("recipeid").cast("string")).alias("review_id"),
                              "recipeid", F.col("normfeatures").alias("q_vec"))
     c = cat.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
-    single = NB.ranked_neighbours(q, c, 3, k=7, n_queries=30)
-    monkeypatch.setattr(NB, "MAX_BROADCAST_ROWS", 4)
-    chunked = NB.ranked_neighbours(q, c, 3, k=7, n_queries=30)
+    single = NB.ranked_neighbours(q, c, 3, k=7)
+    monkeypatch.setattr(NB, "MAX_BROADCAST_BYTES", 800)
+    chunked = NB.ranked_neighbours(q, c, 3, k=7)
+    assert chunked._jdf.queryExecution().optimizedPlan().toString().count("Join") > 3
     cols = ["review_id", "cand_id", "rn", "sim"]
     a = sorted(map(tuple, single.select(cols).collect()))
     b = sorted(map(tuple, chunked.select(cols).collect()))

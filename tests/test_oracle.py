@@ -23,11 +23,8 @@ def test_oracle_match(spark, name):
     assert res.startswith("ok"), res
 
 
-@pytest.mark.parametrize("name", ROWS_ONLY)
-def test_rows_only_runs(spark, name):
-    df = queries()[name](spark, SMALL)
-    assert df.count() >= 0
-    assert len(df.columns) > 0
+def test_every_query_has_an_oracle():
+    assert ROWS_ONLY == []
 
 
 def test_entry_smoke(spark):

@@ -62,6 +62,10 @@ def test_tuning_small_grid(spark):
     assert best.rank == rows[0].rank
 
 
+def test_blocks_are_bounded():
+    assert [R.blocks_for(n) for n in (0, 10**6, 10**9, 10**12)] == [10, 10, 50, R.MAX_ALS_BLOCKS]
+
+
 def test_random_split_fractions(spark):
     train, test = R.random_split(_ratings(spark), 0.9, 42)
     total = _ratings(spark).count()

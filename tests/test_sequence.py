@@ -31,14 +31,30 @@ def test_leads_equal_window_under_skew(spark):
         assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
-def test_hot_key_is_split_over_fragments(spark):
-    df = _hot(spark)
-    hot = df.filter(F.col("authorid") == 1)
-    frag = SQ._fragment_leads(hot, "authorid", ["datesubmitted", "review_id"], "recipeid", partitions=12)
-    assert frag.count() == hot.count()
-    # the hot author's rows were spread over more than one range fragment
-    ranged = hot.repartitionByRange(12, "authorid", "datesubmitted", "review_id")
-    assert ranged.select(F.spark_partition_id()).distinct().count() > 1
+def test_hot_key_is_split_over_fragments(spark, monkeypatch):
+    # fragments as the operator makes them, AQE on: none above twice the threshold
+    df, seen, real, threshold = _hot(spark, 60000), [], SQ.fragments, 1000
+    monkeypatch.setattr(SQ, "fragments", lambda *a: seen.append(real(*a)) or seen[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        out = SQ.leads(df, "authorid", ["datesubmitted", "review_id"], "recipeid", hot_key_rows=threshold)
+        assert out.count() == df.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = [r["count"] for r in seen[0].groupBy("_frag").count().collect()]
+    assert sum(sizes) >= 20000 and max(sizes) <= 2 * threshold
+
+
+def test_review_ids_shared_by_authors_lose_no_row(spark):
+    rows = [(a, i, "z" if (a, i) in ((1, 3), (2, 0)) else f"{a}-{i}", 10 * a + i) for a in (1, 2) for i in range(4)]
+    rows += [(3, None, f"3-{i}", i) for i in range(4)]
+    df = spark.createDataFrame(rows, "authorid int, datesubmitted int, review_id string, recipeid int")
+    a = SQ.next_item_sample(df, 50, salt="s-").select("authorid", "review_id", "nextrecipeid")
+    b = SQ.next_item(SQ.frequent_key_rows(df)).select("authorid", "review_id", "nextrecipeid")
+    full = {tuple(r) for r in b.collect()}
+    assert {tuple(r)[:2] for r in a.collect()} == {r[:2] for r in full}
+    assert {tuple(r) for r in a.where("authorid < 3").collect()} == {r for r in full if r[0] < 3}
 
 
 def test_leads_null_key_and_tiny_fragments(spark):

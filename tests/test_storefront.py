@@ -57,6 +57,13 @@ def test_recipe_by_id(spark):
     assert S.recipe_by_id(cat, 9).count() == 0
 
 
+def test_recipes_by_ids(spark):
+    cat = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "recipeid int, name string")
+    ids = spark.createDataFrame([(1,), (9,), (2,), (1,), (None,)], "recipeid int")
+    got = sorted(map(str, (tuple(r) for r in S.recipes_by_ids(cat, ids).collect())))
+    assert got == sorted(map(str, [(1, "a"), (1, "a"), (2, "c"), (9, None), (None, None)]))
+
+
 def test_random_shelf_with_seed(spark):
     cat = spark.createDataFrame([(i, f"r{i}", "A", "http://x" if i % 2 else None) for i in range(30)],
                                 "recipeid int, name string, recipecategory string, images string")
