@@ -35,10 +35,7 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 def class_size(rest: int, capacity: int) -> int:
     """The largest ``capacity // j`` that is at most ``rest``."""
-    j = -(-capacity // rest)
-    while capacity // j > rest:
-        j += 1
-    return capacity // j
+    return capacity // (capacity // (rest + 1) + 1)
 
 
 class Packer:

@@ -24,7 +24,7 @@ def test_words_encode_like_whole_texts(messy_rows):
 def test_classes_are_reciprocal():
     for rest in range(1, 2049):
         size = class_size(rest, 2048)
-        assert size <= rest and 2048 // (2048 // size) >= size
+        assert size <= rest and 2048 // (2048 // size) >= size  # so many pieces fill a bin
         assert size == max(2048 // j for j in range(1, 2049) if 2048 // j <= rest)
 
 
