@@ -16,9 +16,14 @@ that repeat nothing.
    the chunks of an anchor meet in a shard of bounded bytes: suffix array by
    induced sorting, permuted common prefixes, and every window whose
    neighbour shares LENGTH bytes is repeated.
-4. An anchor with more chunks than a shard holds is spread over shards; each
-   shard then names its distinct windows by digest, and windows named by
-   several shards are repeated too.
+4. The chunks of an anchor that has more of them than a shard holds are cut
+   finer first: windows that have the anchor at a distance from 2^j to
+   2^(j+1) from one end share the 2^j bytes on that side of it and nearly all
+   that a window holds on the other, so these bytes join the anchor in the
+   key, and steps 2 and 3 are taken again with the finer chunks.
+5. Should a key still have more chunks than a shard holds, it is spread over
+   shards; each then names its distinct windows by digest, and windows named
+   by several shards are repeated too.
 """
 
 from __future__ import annotations
@@ -108,6 +113,13 @@ class Anchors:
 _anchors: dict[tuple, Anchors] = {}
 
 
+def _worker_anchors(*key: int) -> Anchors:
+    """One table of powers per worker and (length, gram, segment)."""
+    if key not in _anchors:
+        _anchors[key] = Anchors(*key)
+    return _anchors[key]
+
+
 def _digests(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     pairs = np.frombuffer(b"".join(blake2b(p, digest_size=16).digest() for p in parts), dtype=np.int64).reshape(-1, 2)
     return pairs[:, 0], pairs[:, 1]
@@ -138,10 +150,7 @@ def chunks(keyed: DataFrame, length: int, gram: int, segment: int = SEGMENT) ->
     successive windows from byte ``start``, all with this anchor; d1, d2 the
     chunk's digest."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (length, gram, segment)
-        if key not in _anchors:
-            _anchors[key] = Anchors(*key)
-        anchors, held, size = _anchors[key], [], 0
+        anchors, held, size = _worker_anchors(length, gram, segment), [], 0
         for batch in batches:
             for doc_id, th, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode("utf-8")
@@ -209,9 +218,76 @@ def _found(shard: pa.Table, piece: np.ndarray, start: np.ndarray, end: np.ndarra
                                  pa.array(start, pa.int64()), pa.array(end, pa.int64()), d1, d2, repeated], schema=_FOUND)
 
 
+def _finer_batch(anchors: Anchors, rows: list[tuple]) -> pa.RecordBatch:
+    """rows: (doc_id, th, start, windows, copies, anchor, bytes) of chunks;
+    their finer chunks with key, digest and bytes."""
+    data = b"".join(r[6] for r in rows)
+    head, _ = anchors.smallest(np.frombuffer(data, dtype=np.uint8))
+    sizes = np.array([len(r[6]) for r in rows])
+    windows = np.array([r[3] for r in rows])
+    offsets = np.cumsum(sizes) - sizes
+    piece = np.repeat(np.arange(len(rows)), windows)
+    at = np.repeat(offsets, windows) + np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
+    place = (head[at] & _PLACE).astype(np.int64)  # the anchor's first place in each window
+    room = anchors.length - anchors.gram          # bytes of a window beside its anchor
+    left = place - at
+    near = np.minimum(left, room - left)
+    code = 2 * np.ceil(np.log2(near + 1)).astype(np.int64) + (left > room - left)  # 2 * bit length + side
+    first = np.r_[True, (piece[1:] != piece[:-1]) | (code[1:] != code[:-1]) | (place[1:] != place[:-1])]
+    starts = np.flatnonzero(first)
+    counts = np.diff(np.r_[starts, len(piece)])
+    keys, parts = [], []
+    for p, c, g, n, k in zip(at[starts].tolist(), code[starts].tolist(), place[starts].tolist(), counts.tolist(),
+                             piece[starts].tolist()):
+        low, high = (1 << c // 2) >> 1, 1 << c // 2
+        short, far = low, max(0, room - high + 1)
+        before, after = (far, short) if c & 1 else (short, far)
+        context = data[g - before:g + anchors.gram + after]
+        keys.append(blake2b(b"%d,%d," % (rows[k][5], c) + context, digest_size=8).digest())
+        parts.append(data[p:p + n + anchors.length - 1])
+    d1, d2 = _digests(parts)
+    of = piece[starts]
+    column = lambda i: pa.array([r[i] for r in rows], pa.int64()).take(pa.array(of, pa.int64()))
+    start = np.array([r[2] for r in rows], dtype=np.int64)[of] + at[starts] - offsets[of]
+    return pa.RecordBatch.from_arrays(
+        [column(0), column(1), pa.array(start), pa.array(counts), column(4),
+         pa.array(np.frombuffer(b"".join(keys), dtype=np.int64)), pa.array(d1), pa.array(d2), pa.array(parts, pa.binary())],
+        names=["doc_id", "th", "start", "windows", "copies", "anchor", "d1", "d2", "bytes"])
+
+
+def finer_chunks(cut: DataFrame, length: int, gram: int, segment: int = SEGMENT) -> DataFrame:
+    """Chunks (doc_id, th, start, windows, copies, anchor, bytes) cut finer, with new anchors and digests."""
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, held, size = _worker_anchors(length, gram, segment), [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and size + len(row[6]) > segment + length - 1:
+                    yield _finer_batch(anchors, held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[6])
+        if held:
+            yield _finer_batch(anchors, held)
+
+    return (cut.select("doc_id", "th", "start", "windows", "copies", "anchor", "bytes")
+            .mapInArrow(refine, "doc_id long, th long, start long, windows long, copies long, anchor long, "
+                                "d1 long, d2 long, bytes binary"))
+
+
+def _several(pieces: DataFrame, length: int, periodic: bool) -> DataFrame:
+    """(anchor, bytes): the anchors whose chunks must be compared byte by byte, with the bytes to compare."""
+    n_bytes = F.sum(F.col("at.windows") + (length - 1)).cast("long").alias("bytes")
+    found = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("chunks"), n_bytes,
+                                         (F.max("periodic") if periodic else F.lit(False)).alias("periodic"))
+    return materialize(found.where("chunks > 1 or periodic").select("anchor", "bytes"), "substr-anchors")
+
+
 def repeated_spans(keyed: DataFrame, length: int, gram: int, shard_bytes: int) -> DataFrame:
     """(doc_id, th, start, end): byte spans, possibly overlapping, that cover
     exactly the bytes of repeated windows."""
+    limit = shard_bytes // 2  # bytes of one anchor that may share a shard with others
+    columns = ["doc_id", "th", "start", "end"]
+    span_end = (F.col("start") + F.col("windows") + (length - 1)).alias("end")
     rows = materialize(chunks(keyed, length, gram), "substr-chunks")
     shared = (rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("periodic").alias("periodic"))
               .where("n > 1 or periodic").select("anchor"))
@@ -219,40 +295,56 @@ def repeated_spans(keyed: DataFrame, length: int, gram: int, shard_bytes: int) -
     pieces = materialize(some.groupBy("anchor", "d1", "d2").agg(
         F.count(F.lit(1)).alias("copies"), F.max("periodic").alias("periodic"),
         F.min(F.struct("doc_id", "th", "start", "windows")).alias("at")), "substr-pieces")
-    span_end = F.col("start") + F.col("windows") + (length - 1)
-    equal = (some.join(pieces.where("copies > 1"), ["anchor", "d1", "d2"], "left_semi")
-             .select("doc_id", "th", "start", span_end.alias("end")))
-    n_bytes = F.sum(F.col("at.windows") + (length - 1))
-    mixed = materialize(pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("chunks"), n_bytes.alias("bytes"),
-                                                     F.max("periodic").alias("periodic"))
-                        .where("chunks > 1 or periodic").drop("periodic"), "substr-anchors")
-    total = mixed.agg(F.sum("bytes")).first()[0]
-    if not total:
-        return equal
-    shards = -(-total // shard_bytes)
-    heavy = F.col("bytes") > shard_bytes // 2
-    salt = F.pmod(F.xxhash64("at.doc_id", "at.th", "at.start"), F.ceil(F.col("bytes") / (shard_bytes // 2)))
-    refs = (pieces.join(mixed, "anchor")
-            .select(F.when(heavy, F.col("anchor")).alias("spread"),
-                    F.when(heavy, salt).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("part"),
-                    "copies", "at.*")
-            .groupBy("doc_id", "th").agg(F.collect_list(F.struct("spread", "part", "copies", "start", "windows")).alias("refs")))
+    spans = (some.join(pieces.where("copies > 1"), ["anchor", "d1", "d2"], "left_semi")
+             .select("doc_id", "th", "start", span_end))
+    mixed = _several(pieces, length, periodic=True)
+    if mixed.isEmpty():
+        return spans
+    refs = (pieces.join(mixed, "anchor").select("anchor", F.col("bytes").alias("held"), "copies", "at.*")
+            .groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "held", "copies", "start", "windows")).alias("refs")))
     same = F.col("d.th").eqNullSafe(F.col("r.th")) & F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
-    cut = (keyed.alias("d").join(refs.alias("r"), same)
-           .select("d.doc_id", "d.th", F.col("d.text").cast("binary").alias("raw"), F.explode("r.refs").alias("ref"))
-           .select("doc_id", "th", "ref.*", F.expr(f"substring(raw, int(ref.start) + 1, int(ref.windows) + {length - 1})")
-                   .alias("bytes")))
+    cut = materialize(
+        keyed.alias("d").join(refs.alias("r"), same)
+        .select("d.doc_id", "d.th", F.col("d.text").cast("binary").alias("raw"), F.explode("r.refs").alias("ref"))
+        .select("doc_id", "th", "ref.*", F.expr(f"substring(raw, int(ref.start) + 1, int(ref.windows) + {length - 1})")
+                .alias("bytes")), "substr-cut")
+    compared = cut.where(F.col("held") <= limit)
+    heavy = cut.where(F.col("held") > limit)
+    if not heavy.isEmpty():
+        fine = materialize(finer_chunks(heavy, length, gram), "substr-fine")
+        parts = materialize(fine.groupBy("anchor", "d1", "d2").agg(
+            F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies"),
+            F.min(F.struct("doc_id", "th", "start", "windows")).alias("at")), "substr-fine-pieces")
+        equal = fine.where("copies = 1").join(parts.where("n > 1"), ["anchor", "d1", "d2"], "left_semi")
+        spans = spans.unionByName(equal.select("doc_id", "th", "start", span_end))
+        at = parts.select("anchor", F.greatest("n", "copies").alias("copies"), "at.*")
+        again = (fine.drop("copies", "d1", "d2").join(
+            at.join(_several(parts, length, periodic=False).withColumnRenamed("bytes", "held"), "anchor")
+            .select("anchor", "held", "copies", F.col("doc_id").alias("o"), F.col("th").alias("p"), F.col("start").alias("q"))
+            .withColumnRenamed("anchor", "a"),
+            (F.col("anchor") == F.col("a")) & F.col("doc_id").eqNullSafe(F.col("o")) & (F.col("th") == F.col("p"))
+            & (F.col("start") == F.col("q"))).drop("a", "o", "p", "q"))
+        compared = compared.unionByName(again)
+    compared = materialize(compared, "substr-compared")
+    total = compared.agg(F.sum(F.octet_length("bytes"))).first()[0]
+    if not total:
+        return spans
+    spread = F.col("held") > limit
+    salt = F.pmod(F.xxhash64("doc_id", "th", "start"), F.ceil(F.col("held") / limit))
+    dealt = compared.select(
+        F.when(spread, F.col("anchor")).alias("spread"),
+        F.when(spread, salt).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(-(-total // shard_bytes)))).alias("part"),
+        "copies", "doc_id", "th", "start", "windows", "bytes")
 
     def repeats(shard: pa.Table) -> pa.Table:
         return shard_repeats(shard, length, shard.column("spread")[0].is_valid)
 
-    found = materialize(cut.groupBy("spread", "part").applyInArrow(
+    found = materialize(dealt.groupBy("spread", "part").applyInArrow(
         repeats, "doc_id long, th long, start long, end long, d1 long, d2 long, repeated boolean"), "substr-found")
     named = found.where("d1 is not null")
     several = named.groupBy("d1", "d2").count().where("count > 1").select("d1", "d2")
     across = named.where("not repeated").join(several, ["d1", "d2"], "left_semi")
-    columns = ["doc_id", "th", "start", "end"]
-    return equal.unionByName(found.where("d1 is null").select(*columns)).unionByName(across.select(*columns))
+    return spans.unionByName(found.where("d1 is null").select(*columns)).unionByName(across.select(*columns))
 
 
 def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH,

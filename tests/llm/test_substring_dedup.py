@@ -59,7 +59,7 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 20, 600])
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 3000, 600])
 def test_matches_brute_force(spark, shard_bytes):
     texts = corpus(shard_bytes)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, th string")
@@ -68,6 +68,17 @@ def test_matches_brute_force(spark, shard_bytes):
     assert [found[i] for i in range(len(texts))] == brute(texts, 40)
 
 
+def test_a_passage_in_every_document(spark):
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 120)))
+    texts = [noise() + passage + noise() for _ in range(150)] + [passage[:60] + noise(), noise() + passage[30:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = substring_dedup(docs, length=40, gram=8, shard_bytes=2000).collect()
+    found = {r.doc_id: (r.n_bytes, sum(s["end"] - s["start"] for s in r.spans), len(r.spans), bytes(r.kept)) for r in rows}
+    assert [found[i] for i in range(len(texts))] == brute(texts, 40)
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     text = "0123456789" * 3
     docs = spark.createDataFrame([(None, text), (None, text), (1, "q" * 20), (1, None)], "doc_id long, text string")
