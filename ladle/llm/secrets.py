@@ -32,11 +32,13 @@ KINDS = (*BASE, "random")
 
 CANDIDATE = r"([A-Za-z0-9+/_=-]{16,})"
 TRAIN_DOCS = 1000
-WORD_SAMPLE = r"([A-Za-z_][A-Za-z0-9_-]{7,})"
+# Ordinary identifiers: whole runs of letters; a run with digits may itself be an unlabelled secret.
+WORD_SAMPLE = r"(?<![A-Za-z0-9+/=_-])([A-Za-z_][A-Za-z_-]{7,})(?![A-Za-z0-9+/=_-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 STATES = len(ALPHABET) + 1   # the last state is any other character
 UNIFORM = 0.5                # share of the uniform string in the random model
 SMOOTH = 0.5
+PRIOR = 5.0                  # weight of a character's overall frequency in a row of steps
 MARGIN = 1.0                 # least mean log-likelihood ratio of a step
 BLOCK = 256
 
@@ -90,8 +92,8 @@ def _narrow(pattern: str, least: int) -> str:
 
 
 def found(docs: DataFrame, text: str, doc_id: str, train_docs: int) -> DataFrame:
-    """(doc_id, base, candidates, words): the base spans, the token runs that
-    touch none of them, and for the documents of the training sample their
+    """(doc_id, base, candidates, words): the base spans, the token runs with
+    a letter that touch none of them, and for the documents of the training sample their
     ordinary words."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")))
@@ -102,8 +104,8 @@ def found(docs: DataFrame, text: str, doc_id: str, train_docs: int) -> DataFrame
     runs = spans(F.col("whole"), CANDIDATE, 1, 16, len(BASE))
     words = F.regexp_extract_all("whole", F.lit(WORD_SAMPLE), F.lit(1))
     held = flat.select("doc_id", "key", "whole", base.alias("base"), runs.alias("runs"))
-    apart = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return held.select("doc_id", "base", apart.alias("candidates"), (F.col("key") <= last).alias("sampled"),
+    apart = F.filter("runs", lambda r: r["value"].rlike("[A-Za-z]") & ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    return held.select("doc_id", "base", apart.alias("candidates"),
                        F.when((F.col("key") <= last) & (F.size("base") == 0), words).alias("words"))
 
 
@@ -127,23 +129,29 @@ def train(rows: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
     documents that have none."""
     labelled = (rows.where("size(base) > 0").select(F.md5(F.col("doc_id").cast("string")).alias("key"), "base")
                 .orderBy("key", F.col("base")).limit(train_docs))
-    step = lambda strings, label: F.explode(_steps(strings)).alias("step")
-    random = labelled.select(step(F.transform("base", lambda b: b["value"]), 1)).groupBy("step").count()
-    plain = rows.where("words is not null").select(step(F.col("words"), 0)).groupBy("step").count()
-
-    def counts(df: DataFrame) -> list[list[float]]:
-        table_ = [[SMOOTH] * STATES for _ in range(STATES)]
-        for r in df.collect():  # at most STATES * STATES rows
+    counted = lambda df, strings: df.select(F.explode(_steps(strings)).alias("step")).groupBy("step").count()
+    random = counted(labelled, F.transform("base", lambda b: b["value"]))
+    plain = counted(rows.where("words is not null"), F.col("words"))
+
+    tables = []
+    for steps in (random, plain):
+        table_ = [[0.0] * STATES for _ in range(STATES)]
+        for r in steps.collect():  # at most STATES * STATES rows
             table_[r["step"] // STATES][r["step"] % STATES] += r["count"]
-        return table_
+        tables.append(table_)
+    if not all(any(map(any, t)) for t in tables):
+        return [0.0] * (STATES * STATES)
+    drawn, plain_ = (_conditional(t) for t in tables)
+    return [round(math.log((1 - UNIFORM) * x + UNIFORM / STATES) - math.log(y), 6)
+            for a, b in zip(drawn, plain_) for x, y in zip(a, b)]
+
 
-    ratio = []
-    for a, b in zip(counts(random), counts(plain)):
-        of_random, of_plain = sum(a), sum(b)
-        for x, y in zip(a, b):
-            drawn = (1 - UNIFORM) * x / of_random + UNIFORM / STATES
-            ratio.append(round(math.log(drawn) - math.log(y / of_plain), 6))
-    return ratio
+def _conditional(counts: list[list[float]]) -> list[list[float]]:
+    """P(next | state) of a table of step counts, each row drawn towards the
+    overall frequencies of the next characters."""
+    total = [sum(column) + SMOOTH for column in zip(*counts)]
+    overall = [t / sum(total) for t in total]
+    return [[(x + PRIOR * p) / (sum(row) + PRIOR) for x, p in zip(row, overall)] for row in counts]
 
 
 def mean_ratio(string: Column, ratio: list[float]) -> Column:
@@ -162,8 +170,8 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", train_docs
 
     * null or empty text: no spans; repeated rows are scanned each; a null
       doc_id stays null; empty table: no rows;
-    * without a training sample of either kind the counts are the smoothing
-      alone, no ratio exceeds the margin and nothing is added.
+    * without a training sample of either kind every ratio is 0 and nothing
+      is added.
     """
     rows = materialize(found(docs, text, doc_id, train_docs), "secret-spans")
     ratio = train(rows, train_docs)
