@@ -80,7 +80,7 @@ def test_ranked_neighbours_match_brute_force(spark, vecs, n_q, k):
     queries = items[:n_q]
     c = spark.createDataFrame(items, "cand_id int, c_vec array<double>")
     q = spark.createDataFrame([(f"q{i}", i, v) for i, v in queries], "review_id string, recipeid int, q_vec array<double>")
-    got = {(r.review_id, r.rn): r.cand_id for r in NB.ranked_neighbours(q, c, 3, k=k, n_queries=n_q).collect()}
+    got = {(r.review_id, r.rn): r.cand_id for r in NB.ranked_neighbours(q, c, 3, k=k).collect()}
     expect = {}
     for qi, qv in queries:
         scored = []
