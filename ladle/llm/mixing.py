@@ -11,7 +11,8 @@ range is sorted to place the cut at the exact word.  A target above the
 source's size repeats whole epochs before the cut.
 
 What is left is one row per source (epochs, cut key, words of the cut
-document), so applying the mix is a scan joined with a source-sized table.
+document), so applying the mix is a scan joined with a source-sized table,
+broadcast once its bytes are measured.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.registry import query, table
+from ladle.operators.bounded import broadcast_if_small
 from ladle.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -86,7 +88,7 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
             .withColumn("ranges", F.ceil(F.col("n_rows") / rows_per_range).cast("long"))
             .withColumnRenamed("source", "of"))
     top = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    ranged = (rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    ranged = (rows.join(broadcast_if_small(plan), F.col("source").eqNullSafe(F.col("of")))
               .withColumn("range", F.shiftright(top * F.col("ranges"), 32)))
     per_range = ranged.groupBy("of", "range").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     in_source = Window.partitionBy("of").orderBy("range")
@@ -134,7 +136,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     * a source without words has target 0; an empty table gives no rows.
     """
     rows = materialize(sized(docs, text, doc_id, source, seed), "mix-sized")
-    out = _taken(rows, cuts(rows, weights, max_epochs, rows_per_range))
+    out = _taken(rows, broadcast_if_small(cuts(rows, weights, max_epochs, rows_per_range), pin=True))
     return out.select("doc_id", "size", "source_size", "target",
                       (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
 
@@ -147,7 +149,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     ``n_chars`` (if there) is set anew where a text is cut.  A document of no
     words is part of no mix."""
     slim = materialize(sized(docs, text, doc_id, source, seed), "mix-sized")
-    cut = cuts(slim, weights, max_epochs, rows_per_range)
+    cut = broadcast_if_small(cuts(slim, weights, max_epochs, rows_per_range), pin=True)
     rows = _taken(sized(docs, text, doc_id, source, seed, row=True), cut)
     whole = F.col("epochs") + F.when(F.col("part") >= F.col("size"), 1).otherwise(0)
     words = F.when(F.col("part") < F.col("size"), F.col("part")).otherwise(F.lit(0))
