@@ -10,7 +10,8 @@ and every rerun gives the same thresholds.
 A document is an outlier if a rate lies beyond the far fence (quartile plus
 ``REACH`` times the spread between the quartiles) of its language and
 source; a source with fewer than ``MIN_DOCS`` documents takes the merged
-sketch of its language.  The thresholds are joined to the documents.
+sketch of its language.  The thresholds (one row per language and source,
+broadcast once its bytes are measured) are joined to the documents.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.registry import query, table
+from ladle.operators.bounded import broadcast_if_small
 from ladle.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -143,7 +145,7 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH)
 
 def judged(rows: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
     """``rows`` of ``measured`` (read twice, so written by the caller) with ``kept``."""
-    fences = thresholds(sketches(rows), min_docs, reach)
+    fences = broadcast_if_small(thresholds(sketches(rows), min_docs, reach), pin=True)
     outlier = F.lit(False)
     for r in RATES:
         outlier = outlier | (F.col(r) > F.col(f"{r}_high"))
