@@ -37,10 +37,10 @@ def final_plan(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[*]", 8)
     qs = queries()
     out = ["# Final physical plans of the headline queries", "",
-           f"Generated by `tests/plan_report.py` at `{sf}` (local[8], 8 shuffle partitions, AQE on).",
+           f"Generated by `tests/plan_report.py` at `{sf}` (8 shuffle partitions, AQE on).",
            "Plans of the Q7 and ALS queries start from checkpointed or materialised tables, so",
            "their earlier stages appear as `Scan ExistingRDD` / `Scan parquet` of those tables.", ""]
     for name in HEADLINE:
