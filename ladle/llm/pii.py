@@ -42,7 +42,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
-_ANCHOR = re.compile(r"[0-9]+|@|(?<![A-Za-z])(?:at|AT|At)(?![A-Za-z])")
+_MARK = re.compile(r"[0-9]+|@")
+# A spelt-out "at" counts where a host with a dot, spelt or not, follows.
+_SPELT = re.compile(r"(?:at|AT|At)(?![A-Za-z])\s*[)\]}>]?\s*[A-Za-z0-9-]+(?:\.[A-Za-z]|\s*[(\[{<]?\s*(?:dot|DOT|Dot)(?![A-Za-z]))")
 _HINT = r"@|[0-9]{2}"
 
 
@@ -93,6 +95,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def anchors(text: str, low: int = 0, high: int | None = None) -> list[tuple[int, int]]:
+    """(start, end) of digit runs, "@" and spelt-out "at", in order."""
+    high = len(text) if high is None else high
+    out = [m.span() for m in _MARK.finditer(text, low, high)]
+    for word in ("at", "AT", "At"):
+        at = text.find(word, low, high)
+        while at >= 0:
+            if not text[at - 1:at].isalpha() and _SPELT.match(text, at):
+                out.append((at, at + 2))
+            at = text.find(word, at + 2, high)
+    return sorted(out)
+
+
 # ---------------------------------------------------------------- features
 
 _BITS = ("bias", "at", "at_word", "dot_word", "dots1", "dots2", "dots3", "dots_more", "groups1", "groups2", "groups3",
@@ -132,7 +147,8 @@ class Window:
         """``taken``: spans that no segment may touch."""
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, low, high)]
         free = [all(b <= s or a >= e for a, b in taken) for s, e in self.tokens]
-        anchor = [f and bool(_ANCHOR.fullmatch(text, s, e)) for (s, e), f in zip(self.tokens, free)]
+        marks = set(anchors(text, low, high))
+        anchor = [f and t in marks for t, f in zip(self.tokens, free)]
         self.segments, rows = [], []
         for i, (start, _) in enumerate(self.tokens):
             held = False
@@ -284,13 +300,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray
     taken = [(a, b) for a, _, b in base]
     regions: list[list[int]] = []
     k, reach = 0, 0
-    for m in _ANCHOR.finditer(text):
-        while k < len(taken) and taken[k][0] < m.end():
+    for start, end in anchors(text):
+        while k < len(taken) and taken[k][0] < end:
             reach = max(reach, taken[k][1])
             k += 1
-        if m.start() < reach:
+        if start < reach:
             continue
-        low, high = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        low, high = max(0, start - CONTEXT), min(len(text), end + CONTEXT)
         if regions and low <= regions[-1][1]:
             regions[-1][1] = high
         else:
