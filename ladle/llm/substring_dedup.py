@@ -310,8 +310,10 @@ def repeated_spans(keyed: DataFrame, length: int, gram: int, shard_bytes: int) -
                 .alias("bytes")), "substr-cut")
     compared = cut.where(F.col("held") <= limit)
     heavy = cut.where(F.col("held") > limit)
-    if not heavy.isEmpty():
-        fine = materialize(finer_chunks(heavy, length, gram), "substr-fine")
+    heavy_bytes = heavy.agg(F.sum(F.octet_length("bytes"))).first()[0]
+    if heavy_bytes:
+        dealt = heavy.repartition(-(-heavy_bytes // shard_bytes), "doc_id", "th", "start")  # a shard's bytes a task
+        fine = materialize(finer_chunks(dealt, length, gram), "substr-fine")
         parts = materialize(fine.groupBy("anchor", "d1", "d2").agg(
             F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies"),
             F.min(F.struct("doc_id", "th", "start", "windows")).alias("at")), "substr-fine-pieces")
