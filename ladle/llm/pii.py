@@ -1,7 +1,7 @@
 """Personal data by a semi-Markov conditional random field.
 
 Fixed patterns give the base spans, found in linear time.  Around every digit
-run, "@" or spelt-out "at" that no base span covers, a semi-Markov CRF scores
+run, "@" or spelt-out "at" near a dot that no base span covers, a semi-Markov CRF scores
 whole candidate segments (up to ``MAX_TOKENS`` tokens) by features of the
 whole span: digits and their grouping, separators, checksums, octet ranges,
 neighbours.  Dynamic programming over the tokens then chooses boundaries and
@@ -20,6 +20,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 _MARK = re.compile(r"[0-9]+|@")
-# A spelt-out "at" counts where a host with a dot, spelt or not, follows.
-_SPELT = re.compile(r"(?:at|AT|At)(?![A-Za-z])\s*[)\]}>]?\s*[A-Za-z0-9-]+(?:\.[A-Za-z]|\s*[(\[{<]?\s*(?:dot|DOT|Dot)(?![A-Za-z]))")
+_AT = re.compile(r"(?<![A-Za-z])[Aa][Tt](?![A-Za-z])")
+_DOT = re.compile(r"\.|(?<![A-Za-z])[Dd][Oo][Tt](?![A-Za-z])")
 _HINT = r"@|[0-9]{2}"
 
 
@@ -95,16 +96,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def anchors(text: str, low: int = 0, high: int | None = None) -> list[tuple[int, int]]:
-    """(start, end) of digit runs, "@" and spelt-out "at", in order."""
-    high = len(text) if high is None else high
-    out = [m.span() for m in _MARK.finditer(text, low, high)]
-    for word in ("at", "AT", "At"):
-        at = text.find(word, low, high)
-        while at >= 0:
-            if not text[at - 1:at].isalpha() and _SPELT.match(text, at):
-                out.append((at, at + 2))
-            at = text.find(word, at + 2, high)
+def _reaches(text: str, start: int, place: int) -> bool:
+    """Whether a segment from the token at ``start`` can hold the one at ``place``."""
+    for m in islice(_TOKEN.finditer(text, start), MAX_TOKENS):
+        if m.start() >= place:
+            return m.start() == place
+    return False
+
+
+def anchors(text: str) -> list[tuple[int, int]]:
+    """(start, end) of digit runs, "@" and spelt-out "at", in order.
+
+    An "at" counts where one segment can hold it and a "." or a "dot": no
+    other segment without a digit or "@" can be of any type (``possible``)."""
+    out = [m.span() for m in _MARK.finditer(text)]
+    words = [m.span() for m in _AT.finditer(text)]
+    if not words:
+        return out
+    dots = _DOT.finditer(text)
+    before, after = -1, next(dots, None)
+    for start, end in words:
+        while after and after.start() < start:
+            before, after = after.start(), next(dots, None)
+        if before >= 0 and _reaches(text, before, start) or after and _reaches(text, start, after.start()):
+            out.append((start, end))
     return sorted(out)
 
 
@@ -140,31 +155,52 @@ def features(text: str, start: int, end: int, n_tokens: int) -> np.ndarray:
         g == 4 and all(len(p) == 4 for p in groups)), dtype=np.float64)
 
 
+def possible(text: str, tokens: list[tuple[int, int]], anchor: list[bool], limit: list[int]) -> list[tuple[int, int]]:
+    """(first token, last + 1) of the segments that hold an anchor and that some type may have.
+
+    The rest is barred from every type, so it needs no features.  ``limit``:
+    the greatest end of the segments from each token on."""
+    shown = [text[a:b] for a, b in tokens]
+    digit = [t[0] in "0123456789" for t in shown]
+    marks = np.array([anchor, [t == "@" or t.lower() == "at" for t in shown], [t == "." or t.lower() == "dot" for t in shown],
+                      [t[0].isalpha() for t in shown], digit, [len(t) if d else 0 for t, d in zip(shown, digit)]],
+                     dtype=np.int64).reshape(6, -1)
+    sums = np.concatenate([np.zeros((6, 1), np.int64), marks.cumsum(axis=1)], axis=1)
+    first = np.arange(len(tokens))
+    lengths = np.maximum(np.array(limit, dtype=np.int64) - first, 0)
+    i = np.repeat(first, lengths)
+    j = np.arange(len(i)) - np.repeat(lengths.cumsum() - lengths, lengths) + i + 1
+    held, ats, dots, letters, groups, digits = sums[:, j] - sums[:, i]
+    kept = (held > 0) & ((ats > 0) & (dots > 0) | (letters == 0) & ((groups == 4) | (digits >= 7) & (digits <= 19)))
+    return list(zip(i[kept].tolist(), j[kept].tolist()))
+
+
 class Window:
     """A text's part around anchors: its tokens and scored segments."""
 
-    def __init__(self, text: str, low: int, high: int, taken: list[tuple[int, int]]):
-        """``taken``: spans that no segment may touch."""
+    def __init__(self, text: str, low: int, high: int, taken: list[tuple[int, int]],
+                 marks: set[tuple[int, int]] | None = None):
+        """``taken``: spans that no segment may touch; ``marks``: the text's anchors."""
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, low, high)]
         free = [all(b <= s or a >= e for a, b in taken) for s, e in self.tokens]
-        marks = set(anchors(text, low, high))
+        marks = set(anchors(text)) if marks is None else marks
         anchor = [f and t in marks for t, f in zip(self.tokens, free)]
-        self.segments, rows = [], []
-        for i, (start, _) in enumerate(self.tokens):
-            held = False
-            for j in range(i, min(i + MAX_TOKENS, len(self.tokens))):
-                if not free[j] or (j > i and "\n" in text[self.tokens[j - 1][1]:self.tokens[j][0]]):
-                    break
-                held = held or anchor[j]
-                if held:
-                    self.segments.append((i, j + 1))
-                    rows.append(features(text, start, self.tokens[j][1], j + 1 - i))
+        n = len(self.tokens)
+        limit, stop = [0] * n, n  # no segment from a token on may pass its limit
+        for i in range(n - 1, -1, -1):
+            if not free[i]:
+                stop = i
+            elif i + 1 < n and "\n" in text[self.tokens[i][1]:self.tokens[i + 1][0]]:
+                stop = i + 1
+            limit[i] = min(stop, i + MAX_TOKENS)
+        self.segments = possible(text, self.tokens, anchor, limit)
+        rows = [features(text, self.tokens[i][0], self.tokens[j - 1][1], j - i) for i, j in self.segments]
         self.x = np.array(rows) if rows else np.empty((0, len(_BITS)))
         has = lambda *names: self.x[:, [_BITS.index(b) for b in names]].any(axis=1)
         bare = has("letters_none")
-        possible = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more"), bare & has("groups4"),
-                    bare & has("digits_14_19"), bare & has("digits_7_9", "digits_10_15"))
-        self.barred = np.where(np.array(possible).T, 0.0, -1e4)
+        typed = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more"), bare & has("groups4"),
+                 bare & has("digits_14_19"), bare & has("digits_7_9", "digits_10_15"))
+        self.barred = np.where(np.array(typed).T, 0.0, -1e4)
 
     def scores(self, weights: np.ndarray, margin: float = 0.0) -> np.ndarray:
         """(segment, type) scores; a type whose marks a span lacks is barred."""
@@ -300,7 +336,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray
     taken = [(a, b) for a, _, b in base]
     regions: list[list[int]] = []
     k, reach = 0, 0
-    for start, end in anchors(text):
+    marks = anchors(text)
+    for start, end in marks:
         while k < len(taken) and taken[k][0] < end:
             reach = max(reach, taken[k][1])
             k += 1
@@ -311,10 +348,10 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray
             regions[-1][1] = high
         else:
             regions.append([low, high])
-    out = []
+    out, marks = [], set(marks)
     for low, high in regions:
         near = [t for t in taken if t[1] > low and t[0] < high] if taken else []
-        w = Window(text, low, high, near)
+        w = Window(text, low, high, near, marks)
         if w.segments:
             out += w.spans(decode(w, w.scores(weights, margin)))
     return out

@@ -97,3 +97,47 @@ def test_query_over_messy_rows(messy, messy_rows, weights):
     assert len(found) == len(messy_rows)
     assert P.find(messy.limit(0)).collect() == []
     assert P.train(messy.limit(0)).shape == weights.shape
+
+
+DISGUISED = ("jane at example[.]com", "jane at example . com", "jane at example (.) com", "jane [at] [example] [dot] com",
+             "jane(at)(example)(dot)com", "jane_at_example_dot_com", "jane -at- example -dot- com", "jane at <example.com>",
+             "jane at exämple.com", "j.doe at mail", "é at é.fr", "jane aT example dOt com")
+
+
+def unguarded(text):
+    """(start, end) of every segment around a digit, "@" or any "at" that a type may have, its features read."""
+    tokens = [m.span() for m in re.finditer(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]", text)]
+    out = set()
+    for i, (a, _) in enumerate(tokens):
+        for j in range(i, min(i + P.MAX_TOKENS, len(tokens))):
+            b = tokens[j][1]
+            s, f = text[a:b], dict(zip(P._BITS, P.features(text, a, b, j + 1 - i)))
+            if "\n" in s:
+                break
+            bare = f["letters_none"] and (f["groups4"] or f["digits_14_19"] or f["digits_7_9"] or f["digits_10_15"])
+            marked = (f["at"] or f["at_word"]) and (f["dot_word"] or f["dots1"] or f["dots2"] or f["dots3"] or f["dots_more"])
+            if (bare or marked) and re.search(r"[0-9@]|(?<![A-Za-z])at(?![A-Za-z])", s, re.I):
+                out.add((a, b))
+    return out
+
+
+def test_the_guard_keeps_every_segment_that_a_type_may_have():
+    rng = random.Random(8)
+    parts = ["at", "At", "aT", "dot", "DOT", ".", "com", "_", "(", "]", "é", " ", " ", "\n", "a b c d e f", "7", "555-0199", "@"]
+    texts = [*DISGUISED, *("".join(rng.choice(parts) for _ in range(rng.randint(2, 30))) for _ in range(600))]
+    for text in texts:
+        w = P.Window(text, 0, len(text), [])
+        assert {(w.tokens[i][0], w.tokens[j - 1][1]) for i, j in w.segments} == unguarded(text), text
+
+
+def test_spelt_out_addresses_are_scored():
+    weights = P.np.zeros((len(P.KINDS), len(P._BITS)))
+    weights[0, 0] = 10.0
+    for text in DISGUISED:
+        assert [k for _, k, _ in P.added_spans(text, P.base_spans(text), weights)] == [0], text
+    assert P.added_spans("look at this. " + "no host here at all " * 9, [], weights * 0) == []
+
+
+def test_anchors_of_long_texts_stay_linear():
+    for text in ("at " * 200_000 + ".", ". " * 200_000 + "at", "at a b c d e f g h i j k l m . " * 10_000):
+        P.anchors(text)
