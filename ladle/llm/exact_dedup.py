@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.llm.registry import query, table
+from ladle.llm.ties import one_of_each
 from ladle.session import materialize
 
 SALTS = 16
@@ -74,7 +75,8 @@ def combine(rows: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def _decide(docs: DataFrame, text: str, doc_id: str, salts: int, digest, row: bool) -> DataFrame:
-    """The rows of ``signed`` (without content) with their class's best and group_size."""
+    """The rows of ``signed`` with their class's best and group_size; the
+    content is left null where the digest alone names the class."""
     combined = combine(signed(docs, text, doc_id, digest), salts)
     classes = materialize(combined.groupBy("sha").agg(
         F.count(F.lit(1)).alias("contents"), F.max("best").alias("best"),
@@ -82,13 +84,13 @@ def _decide(docs: DataFrame, text: str, doc_id: str, salts: int, digest, row: bo
     rows = signed(docs, text, doc_id, digest, row)
     carried = ["doc_id", "sha", "rank", *(["row"] if row else [])]
     # Every row has a class; the left join spares a null test that would hash each text twice.
-    looked_up = rows.select(*carried).join(classes, "sha", "left")
+    looked_up = rows.select(*carried).join(classes, "sha", "left").withColumn("content", F.lit(None).cast("string"))
     collided = classes.where("contents > 1").select("sha")
     if collided.isEmpty():
         return looked_up.drop("contents")
     exact = combined.join(collided, "sha", "left_semi")  # several contents under one digest: ask the content
     return (looked_up.where("contents = 1").drop("contents")
-            .unionByName(rows.select("content", *carried).join(exact, ["sha", "content"]).drop("content")))
+            .unionByName(rows.select("content", *carried).join(exact, ["sha", "content"])))
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
@@ -112,10 +114,13 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                      salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``exact_dedup`` keeps."""
-    rows = _decide(docs, text, doc_id, salts, _sha256, row=True)
-    return rows.where(F.col("rank") == F.col("best")).select("row.*")
+                      salts: int = SALTS, digest=_sha256) -> DataFrame:
+    """One row of ``docs``, all columns, of each class of ``exact_dedup``.
+
+    Rows that tie there (a repeated doc_id, or null ones, at the same length)
+    are told apart by the number they are written with."""
+    rows = _decide(docs, text, doc_id, salts, digest, row=True)
+    return one_of_each(rows.where(F.col("rank") == F.col("best")), ["sha", "content"], "exact-kept")
 
 
 ORACLE = r"""

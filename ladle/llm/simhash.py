@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ladle.llm.batches import bounded_batches
 from ladle.llm.components import components
 from ladle.llm.registry import query, table
+from ladle.llm.ties import one_of_each
 from ladle.session import materialize
 
 SHINGLE = 3
@@ -189,6 +190,18 @@ def links(fps: DataFrame, radius: int = RADIUS, largest: int = LARGEST) -> DataF
     return edges
 
 
+def _rooted(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int, largest: int, row: bool) -> DataFrame:
+    """``near_duplicates`` with the fingerprint ``root`` that tells the components apart."""
+    rows = fingerprints(docs, text, doc_id, shingle, row)
+    slim = materialize(rows.select("doc_id", "fp"), "simhash-fps")
+    distinct = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    of = components(links(distinct.select("fp"), radius, largest)).withColumnRenamed("node", "fp")
+    rooted = distinct.join(of, "fp", "left").withColumn("root", F.coalesce("component", "fp"))
+    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    by_fp = materialize(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-components")
+    return (rows if row else slim).join(by_fp, "fp")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
                     radius: int = RADIUS, largest: int = LARGEST, row: bool = False) -> DataFrame:
     """(doc_id, fp, component_id[, row]) of every row; ``component_id`` is the
@@ -201,22 +214,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     * rows that repeat a doc_id are rows of their own fingerprints;
     * empty table: no rows.
     """
-    rows = fingerprints(docs, text, doc_id, shingle, row)
-    slim = materialize(rows.select("doc_id", "fp"), "simhash-fps")
-    distinct = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    of = components(links(distinct.select("fp"), radius, largest)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(of, "fp", "left").withColumn("root", F.coalesce("component", "fp"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = materialize(rooted.join(named, "root").select("fp", "component_id"), "simhash-components")
-    return (rows if row else slim).join(by_fp, "fp")
+    return _rooted(docs, text, doc_id, shingle, radius, largest, row).drop("root")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
                          radius: int = RADIUS, largest: int = LARGEST) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id names their component
-    (with a null doc_id only where no member has one)."""
-    return (near_duplicates(docs, text, doc_id, shingle, radius, largest, row=True)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("row.*"))
+    """One row of ``docs``, all columns, of each component: one whose doc_id
+    names it (with a null doc_id only where no member has one).
+
+    Rows that tie there (repeated or null doc_ids, be their texts equal or
+    not) are told apart by the number they are written with."""
+    rows = _rooted(docs, text, doc_id, shingle, radius, largest, row=True)
+    return one_of_each(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), ["root"], "simhash-kept")
 
 
 @query("op8_simhash_near_dedup")

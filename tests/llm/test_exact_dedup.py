@@ -45,3 +45,16 @@ def test_kept_rows_keep_their_columns(messy):
     assert kept.columns == messy.columns
     assert kept.where("text = 'x'").count() == 1
     assert drop_exact_copies(messy.limit(0)).collect() == [] == exact_dedup(messy.limit(0)).collect()
+
+
+def test_every_group_leaves_one_row(spark, messy, messy_rows):
+    content = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    weak = lambda c: F.substring(F.sha2(c.cast("binary"), 256), 1, 1)
+    rows = [*[(None, "no id")] * 1000, *[(4, "loaded again")] * 3, (5, "a b"), (5, "a\tb"), (None, "a b"), (9, "alone"),
+            *[(None, "")] * 2, (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    want = Counter({(None, "noid"): 1, (4, "loadedagain"): 1, (5, "ab"): 1, (9, "alone"): 1, (None, ""): 1})
+    for options in ({}, {"digest": weak}):
+        assert Counter((r.doc_id, content(r.text)) for r in drop_exact_copies(docs, **options).collect()) == want
+        kept = Counter(content(r.text) for r in drop_exact_copies(messy, **options).collect())
+        assert kept == Counter({content(r[1]) for r in messy_rows})

@@ -96,3 +96,16 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "u long, v long")
     assert {r.component for r in components(edges).collect()} == {0}
     assert components(edges.limit(0)).collect() == []
+
+
+def test_every_component_leaves_one_row(spark, messy, messy_rows):
+    base = " ".join(f"w{i}" for i in range(400))
+    near = next(t for i in range(400) if (t := base.replace(f"w{i} ", "changed ", 1)) != base
+                and 0 < (plain_fingerprint(t) ^ plain_fingerprint(base)).bit_count() <= 3)
+    rows = [*[(3, base)] * 5, (3, near), (8, near), (None, base),  # the representative's id repeats, also with another text
+            *[(None, "no id of this text at all")] * 1000, *[(None, "another text without any id")] * 2, (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = drop_near_duplicates(docs).collect()
+    label = brute([plain_fingerprint(t) for _, t in rows])
+    assert len(kept) == len(set(label)) and [r.doc_id for r in kept if r.doc_id is not None] == [3]
+    assert drop_near_duplicates(messy).count() == len(set(brute([plain_fingerprint(r[1]) for r in messy_rows])))
