@@ -71,10 +71,13 @@ def als_estimator(spark, rank: int = 10, max_iter: int = 10, reg_param: float =
 
 
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
-            seed: int | None = 42, blocks: int = ALS_BLOCKS) -> ALSModel:
-    """M8: explicit-feedback ALS, rank 10, other parameters at MLlib defaults."""
+            seed: int | None = 42, blocks: int | None = None) -> ALSModel:
+    """M8: explicit-feedback ALS, rank 10, other parameters at MLlib defaults;
+    ``blocks`` follows the counted ratings unless given."""
+    ratings = train.select(USER, ITEM, RATING)
+    blocks = blocks_for(ratings.count()) if blocks is None else blocks
     est = als_estimator(train.sparkSession, rank, max_iter, reg_param, seed, blocks=blocks)
-    return est.fit(train.select(USER, ITEM, RATING))
+    return est.fit(ratings)
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:
@@ -98,12 +101,14 @@ def rmse_value(predictions: DataFrame) -> float:
 def tune_als(train: DataFrame, ranks: Sequence[int] = FULL_GRID_RANKS,
              reg_params: Sequence[float] = FULL_GRID_REG_PARAMS,
              max_iters: Sequence[int] = FULL_GRID_MAX_ITERS, train_ratio: float = 0.9, seed: int = 42,
-             parallelism: int = 2, blocks: int = ALS_BLOCKS) -> tuple[ALSModel, DataFrame]:
+             parallelism: int = 2, blocks: int | None = None) -> tuple[ALSModel, DataFrame]:
     """M11 + M12: grid search with a train/validation split; returns the best
     model and ``(rank, regParam, maxIter, rmse)`` ordered best first.  The
     grid is an argument whose default is the original's 882 points;
-    ``parallelism`` fits several grid points at once."""
+    ``parallelism`` fits several grid points at once; ``blocks`` follows the
+    counted ratings unless given."""
     spark = train.sparkSession
+    blocks = blocks_for(train.count()) if blocks is None else blocks
     als = als_estimator(spark, cold_start="drop", seed=seed, blocks=blocks)
     grid = (ParamGridBuilder().addGrid(als.rank, list(ranks))
             .addGrid(als.regParam, list(reg_params)).addGrid(als.maxIter, list(max_iters)).build())

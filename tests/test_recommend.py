@@ -3,9 +3,11 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ladle.operators import recommend as R
+from ladle.plans import recommend as plans
 from ladle.sources.tables import fixture
 from tests.conftest import SMALL
 
@@ -66,6 +68,19 @@ def test_blocks_are_bounded():
     assert [R.blocks_for(n) for n in (0, 10**6, 10**9, 10**12)] == [10, 10, 50, R.MAX_ALS_BLOCKS]
 
 
+@pytest.mark.parametrize("name", ["als_rmse", "als_tuning"])
+def test_fitted_blocks_follow_the_ratings(spark, monkeypatch, name):
+    fitted, fit = [], R.ALS.fit
+    monkeypatch.setattr(R.ALS, "fit", lambda self, *a: fitted.append(self) or fit(self, *a))
+    monkeypatch.setattr(plans, "TUNE_RANKS", [2])
+    monkeypatch.setattr(plans, "TUNE_REGS", [0.1])
+    monkeypatch.setattr(plans, "TUNE_ITERS", [1])
+    train, _ = plans._split(plans._ratings(spark, SMALL))
+    monkeypatch.setattr(R, "RATINGS_PER_BLOCK", -(-train.count() // 13))
+    getattr(plans, name)(spark, SMALL).collect()
+    assert fitted and {(e.getNumUserBlocks(), e.getNumItemBlocks()) for e in fitted} == {(13, 13)}
+
+
 def test_random_split_fractions(spark):
     train, test = R.random_split(_ratings(spark), 0.9, 42)
     total = _ratings(spark).count()
