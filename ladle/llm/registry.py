@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from ladle.llm import (exact_dedup, mixing, packing, pii, quality, secrets,  # noqa: F401
+    from ladle.llm import (decontaminate, exact_dedup, mixing, packing, pii, quality, secrets,  # noqa: F401
                            simhash, substring_dedup, token_counts, warc)
 
 
