@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     from ladle.llm import (decontaminate, exact_dedup, mixing, packing, pii, prefix_trie, quality, secrets,  # noqa: F401
-                           simhash, substring_dedup, token_counts, warc)
+                           simhash, substring_dedup, token_alignment, token_counts, warc)
 
 
 def queries() -> dict[str, QueryFn]:
