@@ -1,12 +1,16 @@
 """Harmonic packing of tokenised documents into fixed-length sequences.
 
-Lengths fall into reciprocal-capacity classes: a class of piece size
-``capacity // j`` fills its bins with a fixed count of ``j`` pieces, so a bin
-is complete by counting and no worker needs to know another's bins.
-Documents may be cut, so each is cut greedily at the class sizes (whole
-sequences first, then the largest class size that still fits the rest) and
-every complete bin wastes less than one piece's rounding.  When a task ends,
-its incomplete bins are strung together and cut at the capacity: one padded
+Lengths are partitioned into reciprocal-capacity classes: a length in
+(capacity / (j + 1), capacity / j] is of class j, and j documents of that class
+fill a bin, whatever their lengths; so a bin is complete by counting and no
+worker needs to know another's bins.  Of a document longer than a sequence
+whole sequences are cut first; what remains is classed like a document.
+
+A complete bin leaves a gap of less than one of its documents.  As cutting is
+free, the bins with the widest gaps are dissolved again, just as many as it
+takes, and their documents cut to fill the gaps of the others: every sequence
+is full, and all documents but those few stay whole.  When a task ends, its
+incomplete bins are strung together and cut at the capacity: one padded
 sequence per task is all that remains.
 
 One narrow stage, no shuffle: a lost executor's tasks are simply rerun.
@@ -14,14 +18,17 @@ One narrow stage, no shuffle: a lost executor's tasks are simply rerun.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm.batches import bounded_batches
+from ladle.llm.batches import bounded_batches, text_slices
 from ladle.llm.registry import query, table
 from ladle.llm.tokens import encoder
 
@@ -33,63 +40,94 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def class_size(rest: int, capacity: int) -> int:
-    """The largest ``capacity // j`` that is at most ``rest``."""
-    return capacity // (capacity // (rest + 1) + 1)
+def class_of(length: int, capacity: int) -> int:
+    """The j with capacity / (j + 1) < length <= capacity / j."""
+    return capacity // length
+
+
+class Piece(NamedTuple):
+    doc_id: int | None
+    start: int
+    ids: np.ndarray
+    total: int
 
 
 class Packer:
-    """Bins of one task.  Pending pieces are bounded by one incomplete bin per class."""
+    """Bins of one task.  What waits is bounded: one incomplete bin per class
+    and less than one dissolved bin."""
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.next_sequence = capacity, first_sequence
-        self.open: dict[int, list[tuple]] = {}
-        self.rows: list[tuple] = []
-        self.sizes: dict[int, int] = {}
+        self.open: dict[int, list[Piece]] = {}
+        self.complete: list[list[Piece]] = []
+        self.filler: deque[Piece] = deque()
+        self.rows: list[tuple[Piece, int, int]] = []
 
-    def _emit(self, pieces: list[tuple]) -> None:
+    def _emit(self, pieces: list[Piece]) -> None:
         offset = 0
-        for doc_id, start, ids, total in pieces:
-            n = len(ids) // 4
-            self.rows.append((doc_id, start, n, ids, total, self.next_sequence, offset))
-            offset += n
+        for piece in pieces:
+            self.rows.append((piece, self.next_sequence, offset))
+            offset += len(piece.ids)
         self.next_sequence += 1
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        total, start = len(ids) // 4, 0
-        while start < total:
-            rest = total - start
-            if rest >= self.capacity:
-                size = self.capacity
-            else:
-                size = self.sizes.get(rest) or self.sizes.setdefault(rest, class_size(rest, self.capacity))
-            pieces = self.open.setdefault(size, [])
-            pieces.append((doc_id, start, ids[4 * start:4 * (start + size)], total))
-            if len(pieces) == self.capacity // size:
-                self._emit(pieces)
-                del self.open[size]
-            start += size
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        total, capacity = len(ids), self.capacity
+        rest = total % capacity
+        for start in range(0, total - rest, capacity):
+            self._emit([Piece(doc_id, start, ids[start:start + capacity], total)])
+        if rest:
+            j = class_of(rest, capacity)
+            pieces = self.open.setdefault(j, [])
+            pieces.append(Piece(doc_id, total - rest, ids[total - rest:].copy(), total))  # not the batch it lies in
+            if len(pieces) == j:
+                self.complete.append(self.open.pop(j))
+
+    def _cut(self, room: int) -> list[Piece]:
+        """At most ``room`` ids off the front of the filler."""
+        out = []
+        while room and self.filler:
+            piece = self.filler.popleft()
+            if len(piece.ids) > room:
+                self.filler.appendleft(Piece(piece.doc_id, piece.start + room, piece.ids[room:], piece.total))
+                piece = piece._replace(ids=piece.ids[:room])
+            out.append(piece)
+            room -= len(piece.ids)
+        return out
+
+    def fill(self) -> None:
+        """Emit the complete bins, those with the widest gaps dissolved to fill the others."""
+        used = [sum(len(p.ids) for p in b) for b in self.complete]
+        order = sorted(range(len(used)), key=used.__getitem__)
+        gaps, supply = sum(self.capacity - n for n in used), sum(len(p.ids) for p in self.filler)
+        dissolved = 0
+        while supply < gaps:  # the widest gap first; dissolving all leaves no gap
+            b = order[dissolved]
+            gaps, supply = gaps - (self.capacity - used[b]), supply + used[b]
+            self.filler.extend(self.complete[b])
+            dissolved += 1
+        for b in order[dissolved:]:
+            self._emit(self.complete[b] + self._cut(self.capacity - used[b]))
+        self.complete = []
 
     def close(self) -> None:
         """String the incomplete bins together, largest pieces first."""
-        room, sequence = self.capacity, []
-        for size in sorted(self.open, reverse=True):
-            for doc_id, start, ids, total in self.open[size]:
-                while ids:
-                    part, ids = ids[:4 * room], ids[4 * room:]
-                    sequence.append((doc_id, start, part, total))
-                    start += len(part) // 4
-                    room -= len(part) // 4
-                    if not room:
-                        self._emit(sequence)
-                        room, sequence = self.capacity, []
-        if sequence:
-            self._emit(sequence)
+        self.fill()
+        for j in sorted(self.open):
+            self.filler.extend(self.open[j])
         self.open.clear()
+        while self.filler:
+            self._emit(self._cut(self.capacity))
 
     def flush(self) -> pa.RecordBatch:
-        columns = zip(*self.rows) if self.rows else [()] * len(_ARROW)
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+        pieces = [r[0] for r in self.rows]
+        sizes = np.array([len(p.ids) for p in pieces], np.int64)
+        flat = np.concatenate([p.ids for p in pieces]) if pieces else np.empty(0, "<u4")
+        ids = pa.Array.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(np.r_[0, np.cumsum(4 * sizes)].astype(np.int32)),
+                                                               pa.py_buffer(flat)])
+        number = lambda values: pa.array(values, pa.int64())
+        out = pa.RecordBatch.from_arrays([number([p.doc_id for p in pieces]), number([p.start for p in pieces]), number(sizes), ids,
+                                          number([p.total for p in pieces]), number([r[1] for r in self.rows]),
+                                          number([r[2] for r in self.rows])], schema=_ARROW)
         self.rows = []
         return out
 
@@ -102,27 +140,31 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str =
 
     A document is its text's ids, then ``end_id``; a null or empty text is
     ``end_id`` alone.  A null doc_id stays null, rows that repeat an id are
-    packed each; a text of any length is cut as often as it needs; an empty
+    packed each; a text longer than a sequence is cut as often as it needs; an empty
     table gives no rows.  Other columns of ``docs`` are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:  # a fixed vocabulary, the same for any input
         vocabulary = spark.sparkContext.broadcast(f.read())
-    end = end_id.to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary.value)
+        encode = encoder(vocabulary.value).encode
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
-            texts = encode(batch.column(1).to_pylist())
-            for key, ids in zip(batch.column(0).to_pylist(), texts):
-                packer.add(key, ids + end)
-            yield packer.flush()
+            for keys, texts in text_slices(batch):
+                ids, offsets = encode(texts)
+                ids = np.insert(ids, offsets[1:], end_id)
+                offsets = (offsets + np.arange(len(offsets))).tolist()
+                for key, a, b in zip(keys.to_pylist(), offsets[:-1], offsets[1:]):
+                    packer.add(key, ids[a:b])
+                packer.fill()
+                yield packer.flush()
         packer.close()
         yield packer.flush()
 
-    return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
             .mapInArrow(packed, SCHEMA))
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import gc
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHED_WORDS = 400_000  # a generation; two are kept
-LONGEST_CACHED = 64
+CACHE_BYTES = 160 << 20  # of one worker's words and parts
+ENTRY_BYTES = 250        # of a cached word beside its text and ids, estimated
 JOINED_WORDS = 20_000
+LONGEST_CACHED = 64
 # ASCII marks that never join a letter's token; the apostrophe may ("'s"), and
 # "<", "|", ">" may belong to a special token.
-_MARKS = b".,;:!?#$%&*()[]{}=+-/\""
+_MARKS = ".,;:!?#$%&*()[]{}=+-/\""
 
 
 class Recent(dict):
@@ -37,13 +39,13 @@ class Recent(dict):
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Token ids of whole texts.
 
     The vocabulary drops white space and marks the end of every run of
     letters, so no token crosses white space or the step from a letter to a
     mark: a text's ids are those of its words in turn, and a word's are those
     of its stem and of its closing marks.  Words and stems recur, so each is
-    encoded once per worker while the (bounded) caches last.
+    encoded once per worker while the cache, bounded by bytes, lasts.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -53,8 +55,13 @@ class WordEncoder:
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._words = Recent(CACHED_WORDS)
-        self._parts = Recent(CACHED_WORDS)
+        self._clear()
+
+    def _clear(self) -> None:
+        self._slots: dict[str, int] = {}
+        self._parts: dict[str, bytes] = {"": b""}
+        self._ids, self._at = np.empty(0, "<u4"), np.zeros(1, np.int64)
+        self.held_bytes = 0
 
     def _encode_each(self, parts: list[str]) -> None:
         encoded = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
@@ -73,46 +80,56 @@ class WordEncoder:
             flat, ends = ids.tobytes(), ends.tolist()
             self._parts.update((p, flat[a:b]) for p, a, b in zip(some, [0, *ends], ends))
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         split, letters, others = [], set(), set()
         for word in words:
-            stem = word.rstrip(_MARKS)
-            text, marks = stem.decode("utf-8"), ""
-            if len(stem) < len(word):
-                if text and text[-1].lower()[-1].isalpha() and b"|" not in word:
-                    marks = word[len(stem):].decode("ascii")
+            text, marks = word.rstrip(_MARKS), ""
+            if len(text) < len(word):
+                if text and text[-1].lower()[-1].isalpha() and "|" not in word:
+                    marks = word[len(text):]
                     others.add(marks)
                 else:
-                    text = word.decode("utf-8")
+                    text = word
             if text.isalpha():
                 if text.isascii():
                     text = text.lower()
                 letters.add(text)
             else:
                 others.add(text)
-            split.append((word, text, marks))
+            split.append((text, marks))
         known = self._parts
-        absent = set(known.missing(letters | others))
-        self._encode_letters(list(absent & letters))
-        self._encode_each(list(absent - letters))
-        self._words.update((w, known[p] + known[m] if m else known[p]) for w, p, m in split)
-        for word, part, _ in split:
-            if len(word) > LONGEST_CACHED:
-                known.pop(part, None)
+        self._encode_letters([p for p in letters if p not in known])
+        self._encode_each([p for p in others - letters if p not in known])
+        made = [known[p] + known[m] if m else known[p] for p, m in split]
+        self._slots.update(zip(words, range(len(self._slots), len(self._slots) + len(words))))
+        self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(made), "<u4")])
+        self._at = np.r_[self._at, self._at[-1] + np.cumsum([len(m) // 4 for m in made])]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of a string array without nulls: text i has ids[offsets[i]:offsets[i + 1]]."""
+        split = pc.ascii_split_whitespace(texts)
+        of_text = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self._slots]
+        cost = 3 * sum(map(len, new)) + ENTRY_BYTES * len(new)
+        if new and self.held_bytes + cost > CACHE_BYTES and self._slots:
+            self._clear()
+            new, cost = words, 3 * sum(map(len, words)) + ENTRY_BYTES * len(words)
+        if new:
+            self.held_bytes += cost
+            self._learn(new)
+        slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        sizes = self._at[slots + 1] - self._at[slots]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self._ids[np.arange(total) + np.repeat(self._at[slots] - ends + sizes, sizes)]
+        return ids, np.r_[0, ends][of_text - of_text[0]]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode("utf-8").split() for t in texts]
-        fresh: set[bytes] = set()
-        for w in words:
-            fresh.update(w)
-        new = self._words.missing(fresh)
-        self._learn(new)
-        known = self._words
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > LONGEST_CACHED:
-                del known[w]
-        return out
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
+        ids, offsets = self.encode(pa.array([t or "" for t in texts], pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -122,6 +139,6 @@ def encoder(tokenizer_json: str) -> WordEncoder:
     """The worker's encoder of a vocabulary; it outlives the task."""
     key = hash(tokenizer_json)
     if key not in _encoders:
-        gc.disable()  # the caches hold no cycles, and collecting walks them again and again
+        _encoders.clear()
         _encoders[key] = WordEncoder(tokenizer_json)
     return _encoders[key]
