@@ -254,8 +254,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     groups = (per_row.select("group", "windows").dropDuplicates(["group"])
               .select("group", F.explode("windows").alias("id")).join(named, "id").select("group", "item_id").distinct()
               .groupBy("group").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("items")))
-    return (found.where("start is null").select("row", "doc_id", "n_words")
-            .join(per_row.select("row", "n_hit", "group"), "row", "left").join(groups, "group", "left")
+    # Only rows with hits look their items up: the others have no group to meet in.
+    hit = per_row.select("row", "n_hit", "group").join(groups, "group", "left").drop("group")
+    return (found.where("start is null").select("row", "doc_id", "n_words").join(hit, "row", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
