@@ -77,6 +77,11 @@ def ranked_neighbours(queries: DataFrame, candidates: DataFrame, dim: int | None
     pairs = parts[0]
     for p in parts[1:]:
         pairs = pairs.unionByName(p)
+    return ranked(pairs, query_key, c_item, k)
+
+
+def ranked(pairs: DataFrame, query_key: str, c_item: str, k: int) -> DataFrame:
+    """The best ``k`` of each query's pairs with their rank ``rn``, in two levels."""
     bucketed = pairs.withColumn("_bucket", F.pmod(F.xxhash64(F.col(c_item)), F.lit(RANK_BUCKETS)))
     best = [F.desc("sim"), F.asc(c_item)]
     first = Window.partitionBy(query_key, "_bucket").orderBy(*best)
@@ -107,21 +112,22 @@ def score_suggestions(ranked: DataFrame, query_key: str = "review_id", c_item: s
 
 
 def suggestions(sample: DataFrame, candidates: DataFrame, names: DataFrame, dim: int,
-                n_queries: int, k: int = TOP_K) -> DataFrame:
+                n_queries: int, k: int = TOP_K, neighbours=ranked_neighbours) -> DataFrame:
     """Q7: neighbour suggestions with score for each sampled review.
 
     ``sample``: review_id, authorid, recipeid, name, nextrecipeid, normfeatures
     (query space; at most ``n_queries`` rows).  ``candidates``: recipeid,
     normfeatures (catalog space).  ``names``: recipeid, name — the catalog.
     Queries whose every candidate is excluded still appear, with NULL
-    suggestions and score 0.
+    suggestions and score 0.  ``neighbours`` finds the ranked candidates
+    (``pivots.pruned`` gives the same rows with fewer comparisons).
     """
     q = sample.select("review_id", "recipeid", "nextrecipeid", F.col("normfeatures").alias("q_vec"))
     c = candidates.select(F.col("recipeid").alias("cand_id"), F.col("normfeatures").alias("c_vec"))
-    ranked = ranked_neighbours(q, c, dim, k, keep=["nextrecipeid"])
+    found = neighbours(q, c, dim, k, keep=["nextrecipeid"])
     # At most n_queries rows, read twice below: materialise once.
     ensure_checkpoint_dir(sample.sparkSession)
-    scored = score_suggestions(ranked, k=k).checkpoint(eager=True)
+    scored = score_suggestions(found, k=k).checkpoint(eager=True)
     base = sample.select("review_id", "authorid", "recipeid", "name", "nextrecipeid")
     out = base.join(broadcast_bounded(scored, n_queries), "review_id", "left").withColumn(
         "score", F.coalesce("score", F.lit(0.0)))
@@ -160,20 +166,21 @@ def as_text_result(result: DataFrame) -> DataFrame:
                            for c in TEXT_RESULT_COLUMNS])
 
 
+def unit_vectors(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
+    """(name_id, name_vec): vectors of any width scaled to length one; a zero vector stays zero."""
+    v = F.transform(F.col(vec), lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
+    return df.select(F.col(key).alias(name + "_id"),
+                     F.transform(v, lambda x: F.when(norm == 0, F.lit(0.0)).otherwise(x / norm)).alias(name + "_vec"))
+
+
 def embedding_neighbours(queries: DataFrame, items: DataFrame, k: int = 3,
-                         key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+                         key: str = "vec_id", vec: str = "embedding", neighbours=ranked_neighbours) -> DataFrame:
     """P13 on an embedding table: cosine top-``k`` of each query vector among
     all other items.  Vectors of any width are normalised and multiplied
     with higher-order array functions (JVM-side); the pairing, chunked
     broadcast and partial top-k are those of ``ranked_neighbours``."""
-    def unit(df, name):
-        v = F.transform(F.col(vec), lambda x: x.cast("double"))
-        norm = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
-        return df.select(F.col(key).alias(name + "_id"),
-                         F.transform(v, lambda x: F.when(norm == 0, F.lit(0.0)).otherwise(x / norm))
-                         .alias(name + "_vec"))
-
-    ranked = ranked_neighbours(unit(queries, "q"), unit(items, "c"), None, k, query_key="q_id",
-                               q_vec="q_vec", c_vec="c_vec", q_item="q_id", c_item="c_id")
-    return ranked.select(F.col("q_id").alias(key), F.col("rn").alias("rank"),
+    found = neighbours(unit_vectors(queries, key, vec, "q"), unit_vectors(items, key, vec, "c"), None, k, query_key="q_id",
+                       q_vec="q_vec", c_vec="c_vec", q_item="q_id", c_item="c_id")
+    return found.select(F.col("q_id").alias(key), F.col("rn").alias("rank"),
                          F.col("c_id").alias("neighbour_id"), F.round("sim", 6).alias("similarity"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ladle.operators import clean as C
 from ladle.operators import features as FT
 from ladle.operators import neighbours as NB
+from ladle.operators import pivots as PV
 from ladle.operators import sequence as SQ
 from ladle.operators import storefront as S
 from ladle.plans.registry import query
@@ -24,7 +25,8 @@ SAMPLE_SIZE = 50
 SAMPLE_SALT = "7-"
 
 
-def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler: bool = False):
+def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler: bool = False,
+                    neighbours=NB.ranked_neighbours):
     """Q7 end to end: features → vectors in two spaces (D5) → next-recipe
     sample → ranked neighbours → suggestions with score."""
     raw = fixture(spark, sf, "recipes")
@@ -41,7 +43,7 @@ def suggestions_for(spark, sf, reviews: str, n: int = SAMPLE_SIZE, shared_scaler
     sample = SQ.next_item_sample(feats, n, salt=SAMPLE_SALT)
     sample = FT.apply_scaler(sample, cols, query_model)
     return NB.suggestions(sample, candidates, recipes.select("recipeid", "name"),
-                          dim=len(cols), n_queries=n)
+                          dim=len(cols), n_queries=n, neighbours=neighbours)
 
 
 def _dot(n: int) -> str:
@@ -99,6 +101,12 @@ def suggestions_reviews(spark, sf):
     return suggestions_for(spark, sf, "reviews")
 
 
+@query("suggestions_pruned", oracle=suggestions_sql("reviews"))
+def suggestions_pruned(spark, sf):
+    # J13 + W4 by pivots: the same rows, most candidates never compared.
+    return suggestions_for(spark, sf, "reviews", neighbours=PV.pruned)
+
+
 def _text_sql() -> str:
     base = suggestions_sql("review_log")
     sel = ", ".join(c if c == "score" else f"coalesce(cast({c} as varchar), 'None') as {c}"
@@ -126,7 +134,7 @@ def suggestions_typed(spark, sf):
 EMB_EVERY, EMB_K = 50, 3
 
 
-@query("embedding_neighbours", oracle=f"""
+_EMB_SQL = f"""
 with e as (
   select vec_id, cast(embedding as double[]) as v from embeddings)
 , u as (
@@ -142,12 +150,21 @@ with e as (
   from q join u c on c.vec_id <> q.vec_id)
 select vec_id, cast(rank as int) as rank, neighbour_id, round(sim, 6) as similarity
 from ranked where rank <= {EMB_K}
-""")
+"""
+
+
+@query("embedding_neighbours", oracle=_EMB_SQL)
 def embedding_neighbours(spark, sf):
     emb = base_table(spark, sf, "embeddings").select("vec_id", "embedding")
     return NB.embedding_neighbours(emb.filter(F.col("vec_id") % EMB_EVERY == 0), emb, EMB_K)
 
 
+@query("embedding_neighbours_pruned", oracle=_EMB_SQL)
+def embedding_neighbours_pruned(spark, sf):
+    emb = base_table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return NB.embedding_neighbours(emb.filter(F.col("vec_id") % EMB_EVERY == 0), emb, EMB_K, neighbours=PV.pruned)
+
+
 # --- storefront views over the neighbour result (J6 J10 Q12 Q13) ----------
 
 def _sugg_subquery() -> str:
