@@ -11,6 +11,7 @@ from ladle.functions.columns import first_element
 from ladle.operators import clean as C
 from ladle.plans.registry import query
 from ladle.sources import files as IO
+from ladle.sources.csv_ranges import read_csv_ranges
 from ladle.session import ensure_checkpoint_dir
 from ladle.sources.tables import fixture, with_fixtures
 
@@ -152,3 +153,19 @@ def csv_reviews(spark, sf):
     df = IO.read_csv(spark, path, "ReviewId string, RecipeId int, AuthorId int, Rating int, Review string, "
                                   "DateSubmitted timestamp")
     return df.withColumnRenamed("reviewid", "review_id").select(*cols)
+
+
+@query("csv_reviews_ranges", oracle=with_fixtures("""
+select review_id, recipeid, authorid, rating, replace(review, 'a', 'a"' || chr(10) || 'b') as review,
+       cast(datesubmitted as timestamp) as datesubmitted from reviews
+""", "reviews"))
+def csv_reviews_ranges(spark, sf):
+    # S2 with quotes and line breaks inside the review cells, read by byte ranges.
+    r = fixture(spark, sf, "reviews").withColumn("datesubmitted", F.col("datesubmitted").cast("timestamp"))
+    cols = {"review_id": "ReviewId", "recipeid": "RecipeId", "authorid": "AuthorId", "rating": "Rating",
+            "review": "Review", "datesubmitted": "DateSubmitted"}
+    broken = r.withColumn("review", F.replace("review", F.lit("a"), F.lit('a"\nb')))
+    path = _export(spark, broken.select(*[F.col(c).alias(n) for c, n in cols.items()]), "reviews")
+    df = read_csv_ranges(spark, path, "ReviewId string, RecipeId int, AuthorId int, Rating int, Review string, "
+                                      "DateSubmitted timestamp")
+    return df.withColumnRenamed("reviewid", "review_id").select(*cols)
