@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_BYTES = 160 << 20  # of one worker's words and parts
-ENTRY_BYTES = 250        # of a cached word beside its text and ids, estimated
+CACHE_BYTES = 96 << 20   # of one worker's stems and marks
+ENTRY_BYTES = 200        # of a cached one beside its text and ids, estimated
 JOINED_WORDS = 20_000
+ENCODED_AT_ONCE = 4096
 LONGEST_CACHED = 64
 # ASCII marks that never join a letter's token; the apostrophe may ("'s"), and
 # "<", "|", ">" may belong to a special token.
@@ -44,8 +45,8 @@ class WordEncoder:
     The vocabulary drops white space and marks the end of every run of
     letters, so no token crosses white space or the step from a letter to a
     mark: a text's ids are those of its words in turn, and a word's are those
-    of its stem and of its closing marks.  Words and stems recur, so each is
-    encoded once per worker while the cache, bounded by bytes, lasts.
+    of its stem and of its closing marks.  Stems recur, so each is encoded
+    once per worker while the cache, bounded by bytes, lasts.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -58,73 +59,87 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._slots: dict[str, int] = {}
-        self._parts: dict[str, bytes] = {"": b""}
-        self._ids, self._at = np.empty(0, "<u4"), np.zeros(1, np.int64)
+        self._slots: dict[str, int] = {"": 0}
+        self._ids, self._at = np.empty(0, "<u4"), np.zeros(2, np.int32)
         self.held_bytes = 0
 
-    def _encode_each(self, parts: list[str]) -> None:
-        encoded = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self._parts.update((p, np.asarray(e.ids, dtype="<u4").tobytes()) for p, e in zip(parts, encoded))
+    def _encode_each(self, parts: list[str]) -> list[np.ndarray]:
+        out = []
+        for i in range(0, len(parts), ENCODED_AT_ONCE):
+            encoded = self._tokenizer.encode_batch_fast(parts[i:i + ENCODED_AT_ONCE], add_special_tokens=False)
+            out += [np.asarray(e.ids, dtype="<u4") for e in encoded]
+        return out
 
-    def _encode_letters(self, parts: list[str]) -> None:
-        """Encode runs of letters in one call and part the ids at the word ends."""
+    def _encode_letters(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of runs of letters, encoded in one call and parted at the word ends."""
+        ids, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
         for i in range(0, len(parts), JOINED_WORDS):
             some = parts[i:i + JOINED_WORDS]
             joined = self._tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids = np.asarray(joined.ids, dtype="<u4")
-            ends = (np.flatnonzero(self._ends[ids]) + 1) * 4
+            found = np.asarray(joined.ids, dtype="<u4")
+            ends = np.flatnonzero(self._ends[found]) + 1
             if len(ends) != len(some):  # a letter that lower-cases to more than letters
-                self._encode_each(some)
-                continue
-            flat, ends = ids.tobytes(), ends.tolist()
-            self._parts.update((p, flat[a:b]) for p, a, b in zip(some, [0, *ends], ends))
-
-    def _learn(self, words: list[str]) -> None:
-        split, letters, others = [], set(), set()
+                each = self._encode_each(some)
+                found, ends = np.concatenate(each), np.cumsum([len(e) for e in each])
+            ids.append(found)
+            sizes.append(np.diff(ends, prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, parts: list[str]) -> None:
+        letters = [p for p in parts if p.isalpha()]
+        others = [p for p in parts if not p.isalpha()]
+        ids, sizes = self._encode_letters(letters)
+        each = self._encode_each(others)
+        self._slots.update(zip(letters + others, range(len(self._slots), len(self._slots) + len(parts))))
+        self._ids = np.concatenate([self._ids, ids, *each])
+        grown = np.r_[sizes, np.array([len(e) for e in each], np.int64)]
+        self._at = np.concatenate([self._at, (self._at[-1] + np.cumsum(grown)).astype(np.int32)])
+
+    @staticmethod
+    def _split(words: list[str]) -> tuple[list[str], list[str]]:
+        """Each word's stem (lower-cased if ASCII letters) and closing marks."""
+        stems, marks = [], []
         for word in words:
-            text, marks = word.rstrip(_MARKS), ""
-            if len(text) < len(word):
-                if text and text[-1].lower()[-1].isalpha() and "|" not in word:
-                    marks = word[len(text):]
-                    others.add(marks)
+            stem, mark = word.rstrip(_MARKS), ""
+            if len(stem) < len(word):
+                if stem and stem[-1].lower()[-1].isalpha() and "|" not in word:
+                    mark = word[len(stem):]
                 else:
-                    text = word
-            if text.isalpha():
-                if text.isascii():
-                    text = text.lower()
-                letters.add(text)
-            else:
-                others.add(text)
-            split.append((text, marks))
-        known = self._parts
-        self._encode_letters([p for p in letters if p not in known])
-        self._encode_each([p for p in others - letters if p not in known])
-        made = [known[p] + known[m] if m else known[p] for p, m in split]
-        self._slots.update(zip(words, range(len(self._slots), len(self._slots) + len(words))))
-        self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(made), "<u4")])
-        self._at = np.r_[self._at, self._at[-1] + np.cumsum([len(m) // 4 for m in made])]
+                    stem = word
+            stems.append(stem.lower() if stem.isascii() and stem.isalpha() else stem)
+            marks.append(mark)
+        return stems, marks
+
+    def _slots_of(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self._slots.__getitem__, parts), np.int32, len(parts))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a string array without nulls: text i has ids[offsets[i]:offsets[i + 1]]."""
         split = pc.ascii_split_whitespace(texts)
         of_text = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self._slots]
-        cost = 3 * sum(map(len, new)) + ENTRY_BYTES * len(new)
-        if new and self.held_bytes + cost > CACHE_BYTES and self._slots:
+        stems, marks = self._split(coded.dictionary.to_pylist())
+        distinct = {*stems, *marks}
+        new = [p for p in distinct if p not in self._slots]
+        if self.held_bytes and self.held_bytes + self._cost(new) > CACHE_BYTES:
             self._clear()
-            new, cost = words, 3 * sum(map(len, words)) + ENTRY_BYTES * len(words)
+            new = [p for p in distinct if p]
         if new:
-            self.held_bytes += cost
+            self.held_bytes += self._cost(new)
             self._learn(new)
-        slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        word = coded.indices.to_numpy()
+        slots = np.stack([self._slots_of(stems)[word], self._slots_of(marks)[word]], axis=1).ravel()
         sizes = self._at[slots + 1] - self._at[slots]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self._ids[np.arange(total) + np.repeat(self._at[slots] - ends + sizes, sizes)]
-        return ids, np.r_[0, ends][of_text - of_text[0]]
+        at = np.repeat((self._at[slots] - ends + sizes).astype(np.int32), sizes)
+        at += np.arange(total, dtype=np.int32)
+        ids = self._ids[at]
+        return ids, np.r_[0, ends][2 * (of_text - of_text[0])]
+
+    @staticmethod
+    def _cost(parts: list[str]) -> int:
+        return 3 * sum(map(len, parts)) + ENTRY_BYTES * len(parts)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
