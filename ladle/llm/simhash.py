@@ -59,9 +59,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(2 * votes > count).tobytes(), "big")
 
 
+def _text_key(text: str) -> Column:
+    """Names a text: rows of equal texts have equal fingerprints."""
+    return F.sha2(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")), 256)
+
+
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                 shingle: int = SHINGLE, row: bool = False) -> DataFrame:
-    """(doc_id, fp), fp the fingerprint's 64 bits as a signed long; with ``row`` the input row as well."""
+                 shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp), fp the fingerprint's 64 bits as a signed long; if ``keyed`` the text's digest ``key`` as well."""
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -69,7 +74,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         values = np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts))
         return type(texts)(values.view(np.int64))
 
-    carried = [F.struct("*").alias("row")] if row else []
+    carried = [_text_key(text).alias("key")] if keyed else []
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        signed(F.col(f"`{text}`")).alias("fp"), *carried)
 
@@ -191,15 +196,21 @@ def links(fps: DataFrame, radius: int = RADIUS, largest: int = LARGEST) -> DataF
 
 
 def _rooted(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int, largest: int, row: bool) -> DataFrame:
-    """``near_duplicates`` with the fingerprint ``root`` that tells the components apart."""
-    rows = fingerprints(docs, text, doc_id, shingle, row)
-    slim = materialize(rows.select("doc_id", "fp"), "simhash-fps")
+    """``near_duplicates`` with the fingerprint ``root`` that tells the components apart.
+
+    Texts are read for their fingerprints once; a row finds its fingerprint
+    again by its text's digest."""
+    slim = materialize(fingerprints(docs, text, doc_id, shingle, keyed=row), "simhash-fps")
     distinct = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     of = components(links(distinct.select("fp"), radius, largest)).withColumnRenamed("node", "fp")
     rooted = distinct.join(of, "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = materialize(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-components")
-    return (rows if row else slim).join(by_fp, "fp")
+    if not row:
+        return slim.join(by_fp, "fp")
+    by_key = slim.select("key", "fp").distinct().join(by_fp, "fp")
+    return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), _text_key(text).alias("key"), F.struct("*").alias("row"))
+            .join(by_key, "key").drop("key"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
