@@ -71,7 +71,7 @@ def rebuilt(conversations: DataFrame, shared: int = 20, leads: int = 4) -> DataF
                         F.transform("turns", lambda t: t["words"]).alias("words"))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Of sorted (path, conv_id, words): the ids of a path joined, some at a time."""
     held: tuple | None = None
     out: list[tuple] = []
@@ -89,7 +89,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for path, conv_id, words in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and (held[0] != path or len(held[1]) == IDS_IN_PIECE):
+            if held and (held[0] != path or len(held[1]) == most):
                 close()
                 held = None
             if held:
@@ -134,12 +134,12 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
-def folded(sequences: DataFrame) -> DataFrame:
+def folded(sequences: DataFrame, ids_in_piece: int = IDS_IN_PIECE) -> DataFrame:
     """(path, words, n, conv_id, ends): each distinct sequence once, with the
     number and smallest id of its conversations and the digest of their ids."""
     pieces = (sequences.select("path", "conv_id", "words").repartitionByRange("path", "conv_id")
               .sortWithinPartitions("path", "conv_id")
-              .mapInArrow(_pieces, "path binary, first long, n long, ids string, words array<int>"))
+              .mapInArrow(lambda batches: _pieces(batches, ids_in_piece), "path binary, first long, n long, ids string, words array<int>"))
     return (pieces.repartition("path").sortWithinPartitions("path", "first").mapInArrow(_digested, _SEQUENCE))
 
 
@@ -208,7 +208,7 @@ def _prefix(depth: Column) -> Column:
     return F.substring("path", F.lit(1), (depth * ID).cast("int"))
 
 
-def prefix_trie(sequences: DataFrame, container: int = CONTAINER) -> DataFrame:
+def prefix_trie(sequences: DataFrame, container: int = CONTAINER, ids_in_piece: int = IDS_IN_PIECE) -> DataFrame:
     """Nodes of the trie of ``sequences`` (conv_id, path, words): conv_id (the
     smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256.  A node is the first ``depth`` turns of
@@ -221,7 +221,7 @@ def prefix_trie(sequences: DataFrame, container: int = CONTAINER) -> DataFrame:
     A task holds one container, of ``container`` turns or one sequence.
     """
     bounded_batches(sequences.sparkSession, 4096)
-    live = materialize(folded(sequences).withColumn("depth", F.size("words")), "trie-sequences")
+    live = materialize(folded(sequences, ids_in_piece).withColumn("depth", F.size("words")), "trie-sequences")
     level, heads, settled = 0, [], []
     while True:
         at = F.lit(level)

@@ -5,7 +5,6 @@ import zlib
 
 import pytest
 
-from ladle.llm import prefix_trie as T
 from ladle.llm.prefix_trie import COLUMNS, prefix_trie, rebuilt
 
 
@@ -68,10 +67,9 @@ def test_against_brute_force(spark, container):
     assert run(spark, rows, container=container) == want
 
 
-def test_many_copies_fold_in_pieces(spark, monkeypatch):
+def test_many_copies_fold_in_pieces(spark):
     rows = [(c, t, "user", f"copy {t}") for c in range(0, 20 * 300, 20) for t in range(3)]
-    monkeypatch.setattr(T, "IDS_IN_PIECE", 7)
-    assert run(spark, rows) == brute(rebuild(rows))
+    assert run(spark, rows, ids_in_piece=7) == brute(rebuild(rows))
 
 
 def test_turnless_and_empty(spark):
