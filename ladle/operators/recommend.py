@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.bounded import broadcast_if_small
+from ladle.operators.products import top_products
 from ladle.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "authorid", "recipeid", "rating"
@@ -158,6 +159,18 @@ def recommend_for_items(model: ALSModel, items: DataFrame | None, n: int = 5) ->
     return model.recommendForItemSubset(items.select(ITEM).distinct(), n)
 
 
+def recommend_bounded(model: ALSModel, n: int = 5, for_items: bool = False) -> DataFrame:
+    """M13 / M14 for every known user (or item) without the blocked cross join:
+    the same layout and rows as ``recommendForAllUsers`` / ``-Items``, found by
+    norm-ordered blocks (``products.top_products``); ties are ordered by id."""
+    users, items = model.userFactors, model.itemFactors
+    (asked, key), (held, other) = ((items, ITEM), (users, USER)) if for_items else ((users, USER), (items, ITEM))
+    found = top_products(asked, held, n)
+    pairs = F.transform(F.arrays_zip("best_ids", "best"), lambda p: F.struct(
+        p["best_ids"].cast("int").alias(other), p["best"].cast("float").alias("rating")))
+    return found.select(F.col("id").cast("int").alias(key), pairs.alias("recommendations"))
+
+
 def wide_recommendations(recs: DataFrame, catalog: DataFrame, n: int, key: str = USER,
                          item: str = ITEM, score: str = "rating",
                          array_col: str = "recommendations") -> DataFrame:

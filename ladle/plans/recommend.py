@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ladle.operators import products as P
 from ladle.operators import recommend as R
 from ladle.operators import storefront as S
 from ladle.plans.registry import query
 from ladle.session import ensure_checkpoint_dir, materialize
-from ladle.sources.tables import fixture, with_fixtures
+from ladle.sources.tables import base_table, fixture, with_fixtures
 
 SPLIT_SALT = "als-"
 N_RECS = 5
@@ -190,6 +191,57 @@ def als_top5_wide(spark, sf):
         F.min(F.coalesce(F.col("before") >= F.col("r"), F.lit(True))).alias("descending")))
 
 
+# Inner products as they are (no scaling): queries are the vectors whose id is divisible by 50.
+@query("top_products", oracle=f"""
+with e as (select vec_id, cast(embedding as double[]) as v from embeddings)
+, ranked as (
+  select q.vec_id, c.vec_id as item_id, list_dot_product(q.v, c.v) as product,
+         row_number() over (partition by q.vec_id order by list_dot_product(q.v, c.v) desc, c.vec_id) as rank
+  from e q join e c on q.vec_id % 50 = 0)
+select vec_id, cast(rank as int) as rank, item_id, round(product, 6) as product from ranked where rank <= {N_RECS}
+""")
+def top_products(spark, sf):
+    # M13's search on vectors of any norm: all items, exact, by norm-ordered blocks.
+    emb = base_table(spark, sf, "embeddings").select("vec_id", "embedding")
+    found = P.top_products(emb.where("vec_id % 50 = 0"), emb, N_RECS, "vec_id", "vec_id", "embedding", "embedding")
+    return (found.select(F.col("id").alias("vec_id"), F.posexplode(F.arrays_zip("best_ids", "best")).alias("i", "p"))
+            .select("vec_id", (F.col("i") + 1).alias("rank"), F.col("p.best_ids").alias("item_id"),
+                    F.round("p.best", 6).alias("product")))
+
+
+def _agreement(found, want, key, other):
+    """Per key: as many picks as MLlib's, each rating within 1e-5 of its, and the ids the same but where ratings tie."""
+    def long(df, name):
+        return df.select(key, F.posexplode("recommendations").alias("i", "r")).select(
+            key, "i", F.col(f"r.{other}").alias(f"{name}_id"), F.col("r.rating").cast("double").alias(f"{name}_rating"))
+
+    both = long(found, "a").join(long(want, "b"), [key, "i"], "full")
+    near = F.abs(F.col("a_rating") - F.col("b_rating")) < 1e-5 * (1 + F.abs("b_rating"))
+    return both.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("picks"), F.min(F.coalesce(near, F.lit(False))).alias("ratings_agree"))
+
+
+@query("als_top5_bounded", oracle=with_fixtures(_SPLIT_SQL + f"""
+select distinct authorid, cast(least({N_RECS}, (select count(distinct recipeid) from train)) as int) as picks,
+       true as ratings_agree
+from train
+""", "reviews"))
+def als_top5_bounded(spark, sf):
+    """M13 by bounded inner products against MLlib's blocked cross join, rank by rank."""
+    model = R.fit_als(_split(_ratings(spark, sf))[0])
+    return _agreement(R.recommend_bounded(model, N_RECS), R.recommend_for_users(model, None, N_RECS), "authorid", "recipeid")
+
+
+@query("als_item_users_bounded", oracle=with_fixtures(_SPLIT_SQL + f"""
+select distinct recipeid, cast(least({N_RECS}, (select count(distinct authorid) from train)) as int) as picks,
+       true as ratings_agree
+from train
+""", "reviews"))
+def als_item_users_bounded(spark, sf):
+    """M14 likewise."""
+    model = R.fit_als(_split(_ratings(spark, sf))[0])
+    return _agreement(R.recommend_bounded(model, N_RECS, for_items=True), R.recommend_for_items(model, None, N_RECS), "recipeid", "authorid")
+
+
 @query("als_item_users", oracle=with_fixtures(_SPLIT_SQL + f"""
 , cat as (select recipeid, min(struct_pack(name := name, recipecategory := recipecategory)) as c
           from recipes group by recipeid)
