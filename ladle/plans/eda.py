@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ladle.operators import bitmaps as B
 from ladle.operators import eda as E
 from ladle.plans.registry import query
+from ladle.session import materialize
 from ladle.sources.tables import fixture, with_fixtures
 
 
@@ -112,6 +116,48 @@ def distinct_counts(spark, sf):
     return E.distinct_counts(_reviews(spark, sf))
 
 
+# Ids as they are, negated for every third row and missing for every seventh.
+_SIGNED = """case when recipeid % 7 = 0 then null when recipeid % 3 = 0 then -recipeid else recipeid end"""
+
+
+@query("distinct_by_bitmap", oracle=with_fixtures(f"""
+select 'n_recipes' as metric, (select count(*) from (select distinct recipeid from reviews)) as value
+union all select 'n_authors', (select count(*) from (select distinct authorid from reviews))
+union all select 'n_signed', (select count(*) from (select distinct {_SIGNED} from reviews))
+""", "reviews"))
+def distinct_by_bitmap(spark, sf):
+    # A5 + A6 as bitmaps; NULL is one value and negative ids have bits of their own.
+    r = _reviews(spark, sf).withColumn("signed", F.expr(_SIGNED))
+    parts = [B.distinct_count(B.id_state(r, c)).select(F.lit(n).alias("metric"), "value")
+             for c, n in (("recipeid", "n_recipes"), ("authorid", "n_authors"), ("signed", "n_signed"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _by_month(spark, sf):
+    r = fixture(spark, sf, "reviews").select("authorid", F.date_format("datesubmitted", "yyyy-MM").alias("month"))
+    return materialize(B.id_state(r, "authorid", ["month"]), "author-bitmaps")
+
+
+@query("authors_by_quarter", oracle=with_fixtures("""
+select concat(strftime(datesubmitted, '%Y'), '-', quarter(datesubmitted)) as quarter, count(distinct authorid) as authors
+from reviews group by 1
+""", "reviews"))
+def authors_by_quarter(spark, sf):
+    # Quarters from the saved states of their months: the log is not read again.
+    quarter = F.concat(F.substring("month", 1, 4), F.lit("-"), F.ceil(F.substring("month", 6, 2).cast("int") / 3).cast("string"))
+    months = _by_month(spark, sf).withColumn("quarter", quarter)
+    return B.distinct_count(B.merged(months, ["quarter"]), ["quarter"], "authors")
+
+
+@query("new_authors_by_month", oracle=with_fixtures("""
+select month, count(*) as new_authors from (
+  select authorid, min(strftime(datesubmitted, '%Y-%m')) as month from reviews group by authorid) t
+group by month
+""", "reviews"))
+def new_authors_by_month(spark, sf):
+    return B.new_per_period(_by_month(spark, sf), "month", "new_authors")
+
+
 @query("missing_counts", oracle=with_fixtures("""
 select count(*) filter (where recipeid is null) as recipeid,
        count(*) filter (where authorid is null) as authorid,
