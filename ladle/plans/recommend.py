@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ladle.operators import factorize as FZ
 from ladle.operators import products as P
 from ladle.operators import recommend as R
 from ladle.operators import storefront as S
@@ -136,6 +137,20 @@ def als_predict(spark, sf):
     return predicted.select("review_id", "authorid", "recipeid", "rating", finite.alias("finite"))
 
 
+@query("als_normal_equations", oracle=with_fixtures(_SPLIT_SQL + """
+select 'authorid' as side, count(distinct authorid) as ids, true as as_mllib from train
+""", "reviews"))
+def als_normal_equations(spark, sf):
+    """M8 by mergeable partial sums: MLlib's user factors are solved again from
+    its item factors, no user's ratings in one task."""
+    train = materialize(_split(_ratings(spark, sf))[0], "train")
+    model = R.fit_als(train)
+    solved = FZ.solve_side(train, model.itemFactors, "authorid", "recipeid", model.rank, 0.1)
+    both = solved.join(model.userFactors.withColumnRenamed("features", "theirs"), "id", "full")
+    apart = F.aggregate(F.zip_with("features", "theirs", lambda a, b: F.abs(a - b).cast("double")), F.lit(0.0), lambda s, x: F.greatest(s, x))
+    return both.agg(F.lit("authorid").alias("side"), F.count("id").alias("ids"), F.min(F.coalesce(apart < 5e-3, F.lit(False))).alias("as_mllib"))
+
+
 @query("als_rmse", oracle=with_fixtures(_SPLIT_SQL + """
 select count(*) as n, true as agrees, true as beats_zero from test
 where authorid in (select authorid from train) and recipeid in (select recipeid from train)
