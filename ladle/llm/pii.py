@@ -2,17 +2,21 @@
 
 Fixed patterns give the base spans, found in linear time.  Around every digit
 run, "@" or spelt-out "at" near a dot that no base span covers, a semi-Markov CRF scores
-whole candidate segments (up to ``MAX_TOKENS`` tokens) by features of the
-whole span: digits and their grouping, separators, checksums, octet ranges,
-neighbours.  Dynamic programming over the tokens then chooses boundaries and
-types jointly; tokens of no entity score nothing, so only segments that hold
-an anchor need scoring and texts of any length are decoded window by window.
+whole candidate segments (up to ``MAX_TOKENS`` tokens, as many as 19 digits
+written one by one) by features of the whole span: digits and their grouping,
+separators, checksums, octet ranges, neighbours.  Dynamic programming over the
+tokens then chooses boundaries and types jointly; tokens of no entity score
+nothing, so only segments that hold an anchor need scoring.  A window reaches
+as far as any segment around its anchors: over the tokens without letters
+around a digit run, ``MAX_TOKENS`` either way of an "at".
 
 The weights are trained here, by exact segmental likelihood, on windows of a
-bounded sample of documents (``TRAIN_DOCS`` by md5 of the id): the base spans
-are the labels, half of them rewritten the way people dodge patterns
-(spelt-out marks, other separators, no plus), and near misses (broken
-checksums, octets above 255, short numbers) are left unlabelled.
+bounded sample of documents (``TRAIN_DOCS`` by md5 of the id).  The base spans
+are labels as they stand; values of every kind, generated from digits and from
+words of the window, are set in beside them in each form by which people dodge
+patterns (spelt-out or bracketed marks, other separators, no plus), all forms in
+turn and so equally often; near misses (broken checksums, octets above 255,
+short numbers, an "at" in prose) are left unlabelled.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 400
 TRAIN_WINDOWS = 300
 EPOCHS = 12
-MAX_TOKENS = 12
-CONTEXT = 60          # characters on either side of an anchor
+MAX_TOKENS = 40
+CONTEXT = 60          # characters of text on either side of a training span
 MARGIN = 1.5          # log-odds a segment must have over no entity
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -129,15 +133,36 @@ _BITS = ("bias", "at", "at_word", "dot_word", "dots1", "dots2", "dots3", "dots_m
          "groups4", "groups_more", "digits_few", "digits_7_9", "digits_10_15", "digits_14_19", "digits_many", "luhn",
          "octets", "plus", "parens", "dashes", "spaces", "letters_none", "letters_few", "letters_many", "starts_digit",
          "starts_letter", "starts_mark", "ends_digit", "ends_letter", "ends_mark", "cut_left", "cut_right", "mark_left",
-         "mark_right", "even_groups", "other_marks", "one_token", "at_inside", "tail_word", "groups_equal_4")
+         "mark_right", "even_groups", "other_marks", "one_token", "at_inside", "tail_word", "groups_equal_4", "two_words",
+         "sentence_dot", "at_first", "long", "zeros_first", "brackets", "spaced_dots", "tail_short", "groups_3_3_4",
+         "goes_on_left", "goes_on_right", "digits_left", "digits_right", "only_words",
+         "open_end", "free_digits", "odd_marks", "many_ats", "dot_after", "marks_run")
+
+
+_DIGIT_RUN, _LETTER, _LETTER_RUN = re.compile("[0-9]+"), re.compile(r"[^\W\d_]"), re.compile("[a-z]+")
+_ALL_TAIL, _SHORT_TAIL = re.compile("[A-Za-z]+$"), re.compile(r"(?<![A-Za-z])[A-Za-z]{2,6}$")
+_AT_FIRST = re.compile(r"[^A-Za-z0-9]*at(?![A-Za-z])", re.IGNORECASE)
+_OTHER_MARK = re.compile(r"[^\w \-.+()@%\[\]]")
+_TWO_WORDS = re.compile(r"(?<![A-Za-z])(?!(?:at|dot)(?![A-Za-z]))[A-Za-z]+[^\S\n]+(?!(?:at|dot)(?![A-Za-z]))[A-Za-z]", re.IGNORECASE)
+_GOES_ON_LEFT = re.compile(r"(?:(?<![A-Za-z])(?:at|dot)|[.@_])[\])> ]{0,3}$", re.IGNORECASE)
+_GOES_ON_RIGHT = re.compile(r"[^\S\n]?[\[(<]?(?:(?:at|dot)(?![A-Za-z])|[.@_][\])]?[^\S\n]?[A-Za-z0-9])", re.IGNORECASE)
+_FREE_DIGITS = re.compile(r"(?<![A-Za-z0-9_])[0-9]+(?![A-Za-z0-9_])")
+_ODD_MARK = re.compile(r"[^A-Za-z0-9\s._%+@\[\]()<>-]")
+_AT_ANY = re.compile(r"@|(?<![A-Za-z])at(?![A-Za-z])", re.IGNORECASE)
+_DOT_AFTER = re.compile(r"(?:@|(?<![A-Za-z])at(?![A-Za-z])).*?(?:[A-Za-z0-9][\])]?\s?[\[(]?\.|(?<![A-Za-z])dot(?![A-Za-z]))", re.IGNORECASE)
+_MARKS_RUN = re.compile(r"([^A-Za-z0-9\s])\1")
+_OPEN_END = re.compile(r"^(?:[.@]|(?:at|dot)(?![A-Za-z]))|(?:[.@]|(?<![A-Za-z])(?:at|dot))$", re.IGNORECASE)
+_DIGITS_LEFT = re.compile(r"[0-9][ .()/\[\]-]{1,3}$")
+_DIGITS_RIGHT = re.compile(r"[ .()/\[\]-]{1,3}[0-9]")
+_SENTENCE_DOT = re.compile(r"\S\.\s")
 
 
 def features(text: str, start: int, end: int, n_tokens: int) -> np.ndarray:
     """What the whole span looks like, as 0/1 features."""
     s = text[start:end]
-    digits, groups = _digits(s), re.findall("[0-9]+", s)
-    letters, dots = sum(c.isalpha() for c in s), s.count(".")
-    words = {w.lower() for w in re.findall("[A-Za-z]+", s)}
+    groups = _DIGIT_RUN.findall(s)
+    digits, letters, dots = "".join(groups), len(_LETTER.findall(s)), s.count(".")
+    words = set(_LETTER_RUN.findall(s.lower())) if letters else ()
     left, right = text[start - 1:start], text[end:end + 1]
     after = text[end + 1:end + 2]
     n, g = len(digits), len(groups)
@@ -150,9 +175,16 @@ def features(text: str, start: int, end: int, n_tokens: int) -> np.ndarray:
         "0" <= s[0] <= "9", s[0].isalpha(), not s[0].isalnum(), "0" <= s[-1] <= "9", s[-1].isalpha(), not s[-1].isalnum(),
         left.isalnum() or left in "@_" and left != "", right.isalnum() or right in "@_" and right != "",
         left != "" and left in ".-+/:", right != "" and right in ".-/:" and after.isalnum(),
-        g > 1 and len({len(p) for p in groups}) == 1, any(not c.isalnum() and c not in " .-+()@_%[]" for c in s),
-        n_tokens == 1, 0 < at < len(s) - 1, bool(words) and len(re.findall("[A-Za-z]+$", s)) == 1,
-        g == 4 and all(len(p) == 4 for p in groups)), dtype=np.float64)
+        g > 1 and len({len(p) for p in groups}) == 1, _OTHER_MARK.search(s) is not None,
+        n_tokens == 1, 0 < at < len(s) - 1, bool(words) and _ALL_TAIL.search(s) is not None,
+        g == 4 and all(len(p) == 4 for p in groups), bool(words) and _TWO_WORDS.search(s) is not None, _SENTENCE_DOT.search(s) is not None,
+        bool(words) and _AT_FIRST.match(s) is not None, n_tokens > 12, s[:2] == "00", "[" in s or "(" in s,
+        " . " in s, bool(words) and _SHORT_TAIL.search(s) is not None,
+        [len(p) for p in groups][-3:] == [3, 3, 4], _GOES_ON_LEFT.search(text, max(0, start - 8), start) is not None,
+        _GOES_ON_RIGHT.match(text, end) is not None, _DIGITS_LEFT.search(text, max(0, start - 4), start) is not None,
+        _DIGITS_RIGHT.match(text, end) is not None, bool(words) and "." not in s and "@" not in s,
+        _OPEN_END.search(s) is not None, _FREE_DIGITS.search(s) is not None, _ODD_MARK.search(s) is not None,
+        bool(words) and len(_AT_ANY.findall(s)) > 1, bool(words) and _DOT_AFTER.search(s) is not None, _MARKS_RUN.search(s) is not None), dtype=np.float64)
 
 
 def possible(text: str, tokens: list[tuple[int, int]], anchor: list[bool], limit: list[int]) -> list[tuple[int, int]]:
@@ -162,16 +194,23 @@ def possible(text: str, tokens: list[tuple[int, int]], anchor: list[bool], limit
     the greatest end of the segments from each token on."""
     shown = [text[a:b] for a, b in tokens]
     digit = [t[0] in "0123456789" for t in shown]
-    marks = np.array([anchor, [t == "@" or t.lower() == "at" for t in shown], [t == "." or t.lower() == "dot" for t in shown],
-                      [t[0].isalpha() for t in shown], digit, [len(t) if d else 0 for t, d in zip(shown, digit)]],
-                     dtype=np.int64).reshape(6, -1)
-    sums = np.concatenate([np.zeros((6, 1), np.int64), marks.cumsum(axis=1)], axis=1)
+    low = [t.lower() for t in shown]
+    word = ["a" <= t[0] <= "z" and t not in ("at", "dot") for t in low]
+    apart = [False] + [b < c for (_, b), (c, _) in zip(tokens, tokens[1:])]  # white space before the token
+    # An address has one "at".  Where none goes on: two words side by side, or a dot that ends a sentence.
+    broken = [k > 0 and apart[k] and (word[k] and word[k - 1] or low[k - 1] == "." and k > 1 and not apart[k - 1]) for k in range(len(low))]
+    marks = np.array([anchor, [t == "@" or t == "at" for t in low], [t == "." or t == "dot" for t in low],
+                      [t[0].isalpha() for t in shown], digit, [len(t) if d else 0 for t, d in zip(shown, digit)], broken],
+                     dtype=np.int64).reshape(7, -1)
+    sums = np.concatenate([np.zeros((7, 1), np.int64), marks.cumsum(axis=1)], axis=1)
     first = np.arange(len(tokens))
     lengths = np.maximum(np.array(limit, dtype=np.int64) - first, 0)
     i = np.repeat(first, lengths)
     j = np.arange(len(i)) - np.repeat(lengths.cumsum() - lengths, lengths) + i + 1
-    held, ats, dots, letters, groups, digits = sums[:, j] - sums[:, i]
-    kept = (held > 0) & ((ats > 0) & (dots > 0) | (letters == 0) & ((groups == 4) | (digits >= 7) & (digits <= 19)))
+    held, ats, dots, letters, groups, digits = (sums[:6, j] - sums[:6, i])
+    inner = np.array([t not in ("at", "dot", ".", "@") for t in low] or [True])  # an address neither begins nor ends with these
+    whole = (sums[6, j] == sums[6, i + 1]) & inner[i] & inner[j - 1] if len(i) else i
+    kept = (held > 0) & ((ats == 1) & (dots > 0) & whole | (letters == 0) & ((groups == 4) | (digits >= 7) & (digits <= 19)))
     return list(zip(i[kept].tolist(), j[kept].tolist()))
 
 
@@ -198,7 +237,8 @@ class Window:
         self.x = np.array(rows) if rows else np.empty((0, len(_BITS)))
         has = lambda *names: self.x[:, [_BITS.index(b) for b in names]].any(axis=1)
         bare = has("letters_none")
-        typed = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more"), bare & has("groups4"),
+        typed = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more") & ~has("two_words", "sentence_dot", "open_end", "many_ats"),
+                 bare & has("groups4"),
                  bare & has("digits_14_19"), bare & has("digits_7_9", "digits_10_15"))
         self.barred = np.where(np.array(typed).T, 0.0, -1e4)
 
@@ -261,58 +301,93 @@ def decode(window: Window, scores: np.ndarray) -> list[tuple[int, int]]:
 
 # ---------------------------------------------------------------- training
 
-def _disguise(rng: random.Random, kind: int, s: str) -> str:
-    """The same datum in a form that the patterns miss."""
-    if kind == 0:
-        local, host = s.split("@", 1)
-        mark = rng.choice((" at ", " @ ", "(at)", " [at] "))
-        return local + mark + (host.replace(".", rng.choice((" dot ", ".", "."))))
-    if kind == 1:
-        return s.replace(".", rng.choice((" . ", "[.]")))
-    if kind == 2:
-        n = _digits(s)
-        sep = rng.choice((".", "  ", " - "))
-        return sep.join(n[i:i + 4] for i in range(0, len(n), 4))
-    n = _digits(s)
-    tail = n[-10:]
-    return rng.choice((f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}",
-                       f"{tail[:3]}.{tail[3:6]}.{tail[6:]}"))
-
-
-def _near_miss(rng: random.Random) -> str:
+def forms(rng: random.Random, words: list[str]) -> list[tuple[int, str]]:
+    """A value of every kind in each form that the patterns miss, as (kind, text)."""
+    n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: rng.choice(words)
+    local = rng.choice((word(), f"{word()}.{word()}", f"{word()}{n(2)}", f"{word()}_{word()}"))
+    hosts = [word() for _ in range(rng.randint(1, 3))] + [rng.choice(("com", "org", "net", "de", "info", word()[:3]))]
+    host = ".".join(hosts)
+    octets = [str(rng.randint(0, 255)) for _ in range(4)]
+    while not luhn(card := n(rng.choice((15, 16, 16, 16, 19)))):
+        pass
+    fours = [card[i:i + 4] for i in range(0, len(card), 4)]
+    a, b, c = n(3), n(3), n(4)
+    emails = [f"{local} at {' dot '.join(hosts)}", f"{local} at {host}", f"{local} [at] {host}", f"{local}(at){host}",
+              f"{local} @ {host}", f"{local.replace('.', ' dot ')} at {' dot '.join(hosts)}", f"{local}[at]{'[dot]'.join(hosts)}",
+              f"{local}@{' . '.join(hosts)}", f"{local} (at) {' (dot) '.join(hosts)}"]
+    ips = ["[.]".join(octets), " . ".join(octets), "(.)".join(octets), " .".join(octets)]
+    cards = [".".join(fours), "  ".join(fours), " - ".join(fours), " - ".join(card), "/".join(fours)]
+    phones = [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.randint(1, 9)}{n(1)} {a} {b}{c}", f"00{n(2)}-{a}-{b}-{c}",
+              f"{a} {b} {c}", " - ".join(a + b + c)]
+    return [(k, x) for k, found in enumerate((emails, ips, cards, phones)) for x in found]
+
+
+def _near_miss(rng: random.Random, words: list[str]) -> str:
     n = "".join(rng.choice("0123456789") for _ in range(20))
     card = n[:16] if not luhn(n[:16]) else n[:15] + str((int(n[15]) + 1) % 10)
+    w, m = lambda: rng.choice(words), rng.choice("!%*#?$&|") * 2
     return rng.choice((card, f"{card[:4]} {card[4:8]} {card[8:12]} {card[12:]}", f"{n[:3]}.{300 + int(n[3:5])}.{n[5:7]}.{n[7:9]}",
                        f"{n[0]}.{n[1]}.{n[2]}", f"20{n[:2]}-0{n[2]}-1{n[3]}", f"{n[:2]}:{n[2:4]}", n[:6], f"{n[:3]}-{n[3:7]}",
-                       f"{n[:2]} at {n[2:4]}", f"at {n[:4]}", n[:12], n, f"{n[:5]}.{n[5:7]}", f"@{n[:3]}"))
+                       f"{n[:2]} at {n[2:4]}", f"at {n[:4]}", n[:12], n, f"{n[:5]}.{n[5:7]}", f"@{n[:3]}",
+                       f"{w()} {w()} at {w()} {w()}. {w()}", f"at {w()}. {w()}", f"{w()} at 1{n[0]}.{n[1]}0", f"{n[:2]}, {n[2:4]}, {n[4:6]}, {n[6:8]}",
+                       f"20{n[:2]}.0{n[2]}.1{n[3]} 1{n[4]}:{n[5:7]}", f"{n[:1]},{n[1:4]},{n[4:7]}.{n[7:9]}", f"{n[:4]}-{n[4:8]}", f"{w()}.{w()} at {n[:3]}",
+                       f"{n[0]}.{n[1]}.{n[2]}.{n[3]}{n[4]}{n[5]}{n[6]}", f"({n[:4]}) {n[4:6]}", f"{w()}.{w()}.{w()}",
+                       f"www.{w()}.com at {w()} {n[:2]}", f"{w()}.{m} at{m} {w()}{m} {w()}", f"{w()},{m} AT{m} {w()}.{m} {w()}{m}",
+                       f"{m} at {w()}.{m} {w()}"))
 
 
-def examples(windows: list[str], seed: int = 1) -> list[tuple[Window, np.ndarray]]:
-    """Training windows with their gold (segment, type) indicators."""
-    rng, out = random.Random(seed), []
+_WORDS = ["word", "other", "name", "place"]  # for windows without any
+
+
+def examples(windows: list[str], seed: int = 1, values: int = 3) -> list[tuple[Window, np.ndarray]]:
+    """Training windows with their gold (segment, type) indicators: each text
+    with ``values`` generated ones.  A value that no segment covers is an error."""
+    rng, out, waiting = random.Random(seed), [], []
     for text in windows:
-        parts, gold, at = [], [], 0
-        length = 0
-        for start, kind, end in base_spans(text):
+        base = base_spans(text)
+        words = [w for w in re.findall("[A-Za-z]{3,9}", text) if w.lower() not in ("at", "dot")] or _WORDS
+        parts, gold, length, at = [], [], 0, 0
+
+        def say(piece: str, kind: int | None = None) -> None:
+            nonlocal length
+            if kind is not None:
+                gold.append((length, kind, length + len(piece)))  # noqa: B023
+            parts.append(piece)  # noqa: B023
+            length += len(piece)
+
+        for start, kind, end in base:
             if start < at:
                 continue
-            s = text[start:end]
-            shown = _disguise(rng, kind, s) if rng.random() < 0.5 else s
-            gap = text[at:start] + (f"{_near_miss(rng)} " if rng.random() < 0.7 else "")
-            parts += [gap, shown]
-            gold.append((length + len(gap), kind, length + len(gap) + len(shown)))
-            length += len(gap) + len(shown)
+            say(text[at:start])
+            say(text[start:end], kind)
             at = end
-        parts += [text[at:at + CONTEXT], f" {_near_miss(rng)}."]
-        w = Window("".join(parts), 0, len("".join(parts)), [])
-        if not w.segments:
-            continue
+        say(text[at:at + CONTEXT])
+        for _ in range(values):
+            if not waiting:
+                waiting = forms(rng, words)
+                rng.shuffle(waiting)
+            kind, value = waiting.pop()
+            lead = rng.choice((" ", ": ", " <", ", ", "\n", " (", '" '))
+            say(f" {rng.choice(words)} {_near_miss(rng, words)}, {rng.choice(words)} {rng.choice(words)}{lead}")
+            if not base_spans(value):
+                say(value, kind)
+            say(rng.choice((". ", " ", ", ", ") ", "\n", "; ", '" ')) + f"{rng.choice(words)} {rng.choice(words)}")
+        whole = "".join(parts)
+        w = Window(whole, 0, len(whole), [])
         y = np.zeros((len(w.segments), len(KINDS)))
         place = {(w.tokens[i][0], w.tokens[j - 1][1]): k for k, (i, j) in enumerate(w.segments)}
+        at = -1
         for start, kind, end in gold:
-            if (start, end) in place:
+            if start < at:
+                continue
+            at = end
+            if (start, end) in place and w.barred[place[start, end], kind] == 0:
                 y[place[start, end], kind] = 1
-        out.append((w, y))
+            elif kind != 0 or "@" not in whole[start:end]:  # a base address may begin or end inside a token
+                raise ValueError(f"no segment of type {KINDS[kind]} covers {whole[start:end]!r}")
+        if w.segments:
+            out.append((w, y))
     return out
 
 
@@ -330,6 +405,38 @@ def fit(windows: list[str], epochs: int = EPOCHS, penalty: float = 1e-3) -> np.n
     return weights
 
 
+def _kind_of(c: str) -> int:
+    return 1 if "a" <= c <= "z" or "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 0
+
+
+def _onward(text: str, at: int, bare: bool) -> int:
+    """The end of the tokens after ``at`` that a segment may reach; ``bare``: none with letters."""
+    end = at
+    for m in islice(_TOKEN.finditer(text, at), MAX_TOKENS - 1):
+        if bare and _kind_of(text[m.start()]) == 1 or text.find("\n", end, m.start()) >= 0:
+            break
+        end = m.end()
+    return end
+
+
+def _back(text: str, at: int, bare: bool) -> int:
+    """The start of the tokens before ``at`` that a segment may reach."""
+    start = at
+    for _ in range(MAX_TOKENS - 1):
+        end = start
+        while end and text[end - 1].isspace() and text[end - 1] != "\n":
+            end -= 1
+        if not end or text[end - 1] == "\n":
+            break
+        kind = _kind_of(text[end - 1])
+        if bare and kind == 1:
+            break
+        start = end - 1
+        while kind and start and _kind_of(text[start - 1]) == kind:
+            start -= 1
+    return start
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray,
                 margin: float = MARGIN) -> list[tuple[int, int, int]]:
     """(start, kind, end) of segments beside the base spans."""
@@ -343,11 +450,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray
             k += 1
         if start < reach:
             continue
-        low, high = max(0, start - CONTEXT), min(len(text), end + CONTEXT)
-        if regions and low <= regions[-1][1]:
-            regions[-1][1] = high
-        else:
-            regions.append([low, high])
+        # Only a segment with an "at" may hold letters.
+        bare = "0" <= text[start] <= "9"
+        low, high = _back(text, start, bare), _onward(text, end, bare)
+        while regions and low <= regions[-1][1]:  # an "at" may reach back over earlier regions
+            before = regions.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        regions.append([low, high])
     out, marks = [], set(marks)
     for low, high in regions:
         near = [t for t in taken if t[1] > low and t[0] < high] if taken else []
@@ -363,20 +472,21 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", train_doc
           train_windows: int = TRAIN_WINDOWS) -> np.ndarray:
     """Weights from at most ``train_windows`` windows of the ``train_docs``
     documents with the smallest md5 of their id among those that may hold
-    personal data.  A table without any gives weights that add nothing."""
+    personal data, and on generated values, which alone are left in a table without any."""
     bounded_batches(docs.sparkSession, 128)
     hinted = (docs.select(F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))).alias("key"),
                           F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(_HINT)))
     last = hinted.select("key").orderBy("key").limit(train_docs).agg(F.max("key")).first()[0]
-    if last is None:
-        return np.zeros((len(KINDS), len(_BITS))) - 100.0 * np.eye(1, len(_BITS))
+    if last is None:  # generated values in plain words
+        return fit([" ".join(_WORDS)] * 40)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, places, parts = [], [], []
             for key, whole in zip(*(c.to_pylist() for c in batch.columns)):
                 done = 0
-                for start, _, end in base_spans(whole):
+                found = base_spans(whole) or [(m.start(), 0, m.end()) for m in islice(re.finditer(_HINT, whole), 1)]
+                for start, _, end in found:
                     if start >= done and end - start < 200:
                         done = end + CONTEXT
                         keys.append(key)

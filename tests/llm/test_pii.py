@@ -4,6 +4,7 @@ import re
 import pytest
 
 from ladle.llm import pii as P
+from tests.conftest import MEDIUM
 
 digits = lambda s: re.sub("[^0-9]", "", s)
 
@@ -116,6 +117,8 @@ def unguarded(text):
                 break
             bare = f["letters_none"] and (f["groups4"] or f["digits_14_19"] or f["digits_7_9"] or f["digits_10_15"])
             marked = (f["at"] or f["at_word"]) and (f["dot_word"] or f["dots1"] or f["dots2"] or f["dots3"] or f["dots_more"])
+            # An address has one "at", neither begins nor ends with a separator, and is no piece of prose.
+            marked = marked and not (f["two_words"] or f["sentence_dot"] or f["open_end"] or f["many_ats"])
             if (bare or marked) and re.search(r"[0-9@]|(?<![A-Za-z])at(?![A-Za-z])", s, re.I):
                 out.add((a, b))
     return out
@@ -130,12 +133,57 @@ def test_the_guard_keeps_every_segment_that_a_type_may_have():
         assert {(w.tokens[i][0], w.tokens[j - 1][1]) for i, j in w.segments} == unguarded(text), text
 
 
-def test_spelt_out_addresses_are_scored():
-    weights = P.np.zeros((len(P.KINDS), len(P._BITS)))
-    weights[0, 0] = 10.0
-    for text in DISGUISED:
-        assert [k for _, k, _ in P.added_spans(text, P.base_spans(text), weights)] == [0], text
-    assert P.added_spans("look at this. " + "no host here at all " * 9, [], weights * 0) == []
+@pytest.fixture(scope="module")
+def trained(spark):
+    return P.train(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+
+
+def test_every_disguise_is_found_by_trained_weights(spark, trained):
+    """Held-out values of every kind and form, set into texts of the corpus."""
+    rng = random.Random(77)
+    words = "river alpha stone maria copper jonas wind paper light".split()
+    texts = [r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(400).collect() if r.text and not P.base_spans(r.text)]
+    shown, found = {}, {}
+    for _ in range(40):
+        for form, (kind, value) in enumerate(P.forms(rng, words)):
+            if P.base_spans(value):
+                continue
+            base = rng.choice(texts)
+            cut = rng.choice([m.start() for m in re.finditer(" ", base)] or [0])
+            text = f"{base[:cut]} {value} {base[cut:].lstrip()}"
+            hit = (cut + 1, kind, cut + 1 + len(value)) in P.added_spans(text, P.base_spans(text), trained)
+            shown[kind, form] = shown.get((kind, form), 0) + 1
+            found[kind, form] = found.get((kind, form), 0) + hit
+    assert len(shown) >= 20 and {k for k, _ in shown} == {0, 1, 2, 3}
+    poor = {k: (found[k], n) for k, n in shown.items() if n >= 10 and found[k] < 0.85 * n}
+    assert not poor and sum(found.values()) > 0.95 * sum(shown.values())
+
+
+def test_little_is_added_to_clean_documents(spark, trained):
+    rows = [r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect() if r.text]
+    added = [(P.KINDS[k], t[a:b]) for t in rows for a, k, b in P.added_spans(t, P.base_spans(t), trained)]
+    assert sum(k == "email" for k, _ in added) <= 2 and len(added) <= 0.01 * len(rows), added
+    for clean in ("He looked at the dog. It ran.", "see example.com at page 12.", "at 10.30 or 11.45", "version 1.2.3 of 4.5",
+                  "on 2024-01-15 at 12:30 we met 23 people", "10, 20, 30, 40 points", "price 1,234.56", "this!! AT!! that!! end.!!"):
+        assert P.added_spans(clean, P.base_spans(clean), trained) == [], clean
+
+
+def test_windows_reach_as_far_as_segments(trained):
+    """Long entities, digits one by one, and an "at" that reaches back over digits, in long lines."""
+    for kind, value in ((2, " - ".join("4111111111111111")), (3, " - ".join("4155550199")), (1, "10[.]20[.]30[.]40"),
+                        (0, "jonas85 at stone dot alpha dot com")):
+        for before, after in (("", ""), ("word " * 300, " word" * 300), ("7 words, ", ", end")):
+            text = before + value + after
+            assert (len(before), kind, len(before) + len(value)) in P.added_spans(text, P.base_spans(text), trained), (value, before[:9])
+
+
+def test_training_needs_no_sample_and_refuses_lost_values(spark, monkeypatch):
+    nothing = spark.createDataFrame([(1, "no data here")], "doc_id long, text string")
+    text = "mail jane at stone dot com now"
+    assert [k for _, k, _ in P.added_spans(text, [], P.train(nothing))] == [0]
+    monkeypatch.setattr(P, "MAX_TOKENS", 5)
+    with pytest.raises(ValueError, match="no segment of type"):
+        P.examples(["some words here"] * 20)
 
 
 def test_anchors_of_long_texts_stay_linear():
