@@ -32,6 +32,7 @@ from ladle.session import ensure_checkpoint_dir, materialize
 
 MIN_REVISIT_BYTES = 0     # equal payloads of at least so many bytes are stored once
 MAX_REQUEST = 8 << 20     # bytes of one coalesced read
+TASK_BYTES = 4 << 20   # of archives that one task reads
 MAX_GAP = 64 << 10        # unselected bytes read along rather than asking twice
 DATE = "2020-01-01T00:00:00Z"  # records carry no clock, so that reruns write equal archives
 _INDEX = ("page_id long, url string, record_type string, payload_digest string, refers_to long, "
@@ -154,19 +155,24 @@ def coalesced(ranges: list[tuple[int, int]], max_gap: int, max_request: int) ->
             start, size, members = requests[-1]
             end = max(start + size, offset + length)
             if offset - (start + size) <= max_gap and end - start <= max_request:
-                requests[-1] = (start, end - start, [*members, k]) if False else (start, end - start, members)
                 members.append(k)
+                requests[-1] = (start, end - start, members)
                 continue
         requests.append((offset, length, [k]))
     return requests
 
 
-def read_records(index: DataFrame, max_gap: int = MAX_GAP, max_request: int = MAX_REQUEST) -> DataFrame:
+def read_records(index: DataFrame, max_gap: int = MAX_GAP, max_request: int = MAX_REQUEST,
+                 task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records (see ``_RECORD``) that index rows select, parsed from the
     archives.  A revisit has no payload; a response whose payload does not
     match its digest fails the read.  Rows repeated in ``index`` are read once
-    each; an empty index gives no rows."""
+    each; an empty index gives no rows.
+
+    Tasks follow the archive bytes behind the rows (``task_bytes`` each), not
+    the few bytes of the index; a file is shared by as many as its records fill."""
     bounded_batches(index.sparkSession, 128)
+    total = index.agg(F.sum("length")).first()[0] or 0
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, name, source = _arrow_schema(_RECORD), None, None
@@ -195,7 +201,8 @@ def read_records(index: DataFrame, max_gap: int = MAX_GAP, max_request: int = MA
         if source:
             source.close()
 
-    return (index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    return (index.select("file", "offset", "length")
+            .repartitionByRange(max(1, -(-total // task_bytes)), "file", "offset")
             .sortWithinPartitions("file", "offset").mapInArrow(read, _RECORD))
 
 

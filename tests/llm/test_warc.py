@@ -81,3 +81,15 @@ def test_empty_table(pages, tmp_path):
     df, _ = pages
     index = W.write_archives(df.limit(0), str(tmp_path / "warc"))
     assert index.collect() == [] == W.read_records(index).collect()
+
+
+def test_readers_follow_the_archive_bytes(spark):
+    rng = random.Random(3)
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "".join(rng.choice("abcdefgh") for _ in range(2000))) for i in range(300)],
+                                  "page_id long, url string, html string").repartition(2)
+    index = W.write_archives(pages)
+    total = sum(r.length for r in index.collect())
+    read = W.read_records(index, task_bytes=total // 10)
+    assert read.rdd.getNumPartitions() in (10, 11)
+    assert sorted(r.page_id for r in read.collect()) == list(range(300))
+    assert W.read_records(index.limit(0)).collect() == []
