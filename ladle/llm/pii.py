@@ -147,7 +147,7 @@ _TWO_WORDS = re.compile(r"(?<![A-Za-z])(?!(?:at|dot)(?![A-Za-z]))[A-Za-z]+[^\S\n
 _GOES_ON_LEFT = re.compile(r"(?:(?<![A-Za-z])(?:at|dot)|[.@_])[\])> ]{0,3}$", re.IGNORECASE)
 _GOES_ON_RIGHT = re.compile(r"[^\S\n]?[\[(<]?(?:(?:at|dot)(?![A-Za-z])|[.@_][\])]?[^\S\n]?[A-Za-z0-9])", re.IGNORECASE)
 _FREE_DIGITS = re.compile(r"(?<![A-Za-z0-9_])[0-9]+(?![A-Za-z0-9_])")
-_ODD_MARK = re.compile(r"[^A-Za-z0-9\s._%+@\[\]()<>-]")
+_ODD_MARK = re.compile(r"[^\w\s.%+@\[\]()<>-]")
 _AT_ANY = re.compile(r"@|(?<![A-Za-z])at(?![A-Za-z])", re.IGNORECASE)
 _DOT_AFTER = re.compile(r"(?:@|(?<![A-Za-z])at(?![A-Za-z])).*?(?:[A-Za-z0-9][\])]?\s?[\[(]?\.|(?<![A-Za-z])dot(?![A-Za-z]))", re.IGNORECASE)
 _MARKS_RUN = re.compile(r"([^A-Za-z0-9\s])\1")
@@ -197,19 +197,20 @@ def possible(text: str, tokens: list[tuple[int, int]], anchor: list[bool], limit
     low = [t.lower() for t in shown]
     word = ["a" <= t[0] <= "z" and t not in ("at", "dot") for t in low]
     apart = [False] + [b < c for (_, b), (c, _) in zip(tokens, tokens[1:])]  # white space before the token
-    # An address has one "at".  Where none goes on: two words side by side, or a dot that ends a sentence.
+    odd = [not (t[0].isalnum() or t in "._%+@[]()<>-") for t in low]
+    # An address has one "at" and no other marks than those it is dodged with.  Where none goes on: two words side by side, or a dot that ends a sentence.
     broken = [k > 0 and apart[k] and (word[k] and word[k - 1] or low[k - 1] == "." and k > 1 and not apart[k - 1]) for k in range(len(low))]
     marks = np.array([anchor, [t == "@" or t == "at" for t in low], [t == "." or t == "dot" for t in low],
-                      [t[0].isalpha() for t in shown], digit, [len(t) if d else 0 for t, d in zip(shown, digit)], broken],
-                     dtype=np.int64).reshape(7, -1)
-    sums = np.concatenate([np.zeros((7, 1), np.int64), marks.cumsum(axis=1)], axis=1)
+                      [t[0].isalpha() for t in shown], digit, [len(t) if d else 0 for t, d in zip(shown, digit)], odd, broken],
+                     dtype=np.int64).reshape(8, -1)
+    sums = np.concatenate([np.zeros((8, 1), np.int64), marks.cumsum(axis=1)], axis=1)
     first = np.arange(len(tokens))
     lengths = np.maximum(np.array(limit, dtype=np.int64) - first, 0)
     i = np.repeat(first, lengths)
     j = np.arange(len(i)) - np.repeat(lengths.cumsum() - lengths, lengths) + i + 1
-    held, ats, dots, letters, groups, digits = (sums[:6, j] - sums[:6, i])
+    held, ats, dots, letters, groups, digits, others = (sums[:7, j] - sums[:7, i])
     inner = np.array([t not in ("at", "dot", ".", "@") for t in low] or [True])  # an address neither begins nor ends with these
-    whole = (sums[6, j] == sums[6, i + 1]) & inner[i] & inner[j - 1] if len(i) else i
+    whole = (sums[7, j] == sums[7, i + 1]) & (others == 0) & inner[i] & inner[j - 1] if len(i) else i
     kept = (held > 0) & ((ats == 1) & (dots > 0) & whole | (letters == 0) & ((groups == 4) | (digits >= 7) & (digits <= 19)))
     return list(zip(i[kept].tolist(), j[kept].tolist()))
 
@@ -237,7 +238,7 @@ class Window:
         self.x = np.array(rows) if rows else np.empty((0, len(_BITS)))
         has = lambda *names: self.x[:, [_BITS.index(b) for b in names]].any(axis=1)
         bare = has("letters_none")
-        typed = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more") & ~has("two_words", "sentence_dot", "open_end", "many_ats"),
+        typed = (has("at", "at_word") & has("dot_word", "dots1", "dots2", "dots3", "dots_more") & ~has("two_words", "sentence_dot", "open_end", "many_ats", "odd_marks"),
                  bare & has("groups4"),
                  bare & has("digits_14_19"), bare & has("digits_7_9", "digits_10_15"))
         self.barred = np.where(np.array(typed).T, 0.0, -1e4)

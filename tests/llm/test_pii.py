@@ -118,7 +118,7 @@ def unguarded(text):
             bare = f["letters_none"] and (f["groups4"] or f["digits_14_19"] or f["digits_7_9"] or f["digits_10_15"])
             marked = (f["at"] or f["at_word"]) and (f["dot_word"] or f["dots1"] or f["dots2"] or f["dots3"] or f["dots_more"])
             # An address has one "at", neither begins nor ends with a separator, and is no piece of prose.
-            marked = marked and not (f["two_words"] or f["sentence_dot"] or f["open_end"] or f["many_ats"])
+            marked = marked and not (f["two_words"] or f["sentence_dot"] or f["open_end"] or f["many_ats"] or f["odd_marks"])
             if (bare or marked) and re.search(r"[0-9@]|(?<![A-Za-z])at(?![A-Za-z])", s, re.I):
                 out.add((a, b))
     return out
