@@ -1,10 +1,12 @@
 """Secret scanning with character Markov models, DataFrame operations only.
 
-Fixed patterns give the base spans.  Beyond them, a run of token characters is
-a secret if it looks more like a random string than like an ordinary
-identifier: two first-order character models, one trained on the strings that
-the patterns label as secrets, one on ordinary words of labelled documents,
-are compared by their log-likelihood ratio per step.
+Fixed patterns give the base spans.  Beyond them, a run of token characters
+(12 with a digit, 16 without), or a part of one between separators, is a secret
+if it looks more like a random string than like an ordinary identifier: two
+first-order character models, one trained on the strings that the patterns
+label as secrets, one on words of labelled documents and on the paths, names
+and dated labels joined from them, are compared by their log-likelihood ratio
+per step.
 
 All of it runs inside the row: matches and the text between them give spans by
 prefix sums, and the ratio table is an array literal of fixed size.  Training
@@ -30,17 +32,20 @@ HEX = r"([0-9a-f]+)"
 BASE = {"assign": (ASSIGN, 12), "access": (ACCESS, 18), "hex": (HEX, 16)}
 KINDS = (*BASE, "random")
 
-CANDIDATE = r"([A-Za-z0-9+/_=-]{16,})"
+# A whole run, and the parts of one between separators: a secret may stand beside other text.
+CANDIDATE = r"([A-Za-z0-9+/_=-]{12,})"
+PART = r"([A-Za-z0-9+_]{12,})"
+LEAST_LETTERS = 16           # a shorter candidate needs a digit
 TRAIN_DOCS = 1000
-# Ordinary identifiers: whole runs of letters; a run with digits may itself be an unlabelled secret.
-WORD_SAMPLE = r"(?<![A-Za-z0-9+/=_-])([A-Za-z_][A-Za-z_-]{7,})(?![A-Za-z0-9+/=_-])"
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+WORD_SAMPLE = r"(?<![A-Za-z0-9+/=_-])([A-Za-z]{2,})(?![A-Za-z0-9+/=_-])"
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789/=-_+"
 STATES = len(ALPHABET) + 1   # the last state is any other character
 UNIFORM = 0.5                # share of the uniform string in the random model
 SMOOTH = 0.5
 PRIOR = 5.0                  # weight of a character's overall frequency in a row of steps
-MARGIN = 1.0                 # least mean log-likelihood ratio of a step
+MARGIN = 1.3                 # least mean log-likelihood ratio of a step
 BLOCK = 256
+WORDS_PER_DOC = 200          # of a training document
 
 
 def _let(value: Column, body) -> Column:
@@ -52,6 +57,52 @@ def _running(values: Column, start: Column) -> Column:
     return F.aggregate(values, F.array(start), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
 
 
+def _greatest_before(values: Column) -> Column:
+    """Of an array of longs: for each place the greatest earlier value (-1 at
+    the first), in blocks as ``prefix_sums``."""
+    low = F.lit(-1).cast("long")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / BLOCK).cast("int") - 1, F.lit(0))),
+                         lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
+    top = lambda xs: F.coalesce(F.array_max(xs), low)
+    upto = lambda vs, start: F.aggregate(vs, F.array(start), lambda acc, v: F.concat(
+        acc, F.array(F.greatest(F.element_at(acc, -1), v))))
+
+    def inside(bs: Column) -> Column:
+        return _let(upto(F.transform(bs, top), low), lambda starts: F.flatten(F.transform(
+            bs, lambda b, i: F.slice(upto(b, F.get(starts, i)), F.lit(1), F.size(b)))))
+
+    return _let(blocks, inside)
+
+
+def untouched(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span: both are sorted into one list, and
+    the greatest base end before a run and the least base start after its own
+    are read off two sweeps, so many runs and many base spans stay cheap."""
+    event = lambda of, is_run: F.transform(of, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(is_run).alias("run"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
+
+    def swept(e: Column) -> Column:
+        ends = F.transform(e, lambda x: F.when(x["run"] == 0, x["end"]).otherwise(F.lit(-1)).cast("long"))
+        # mirrored, so that the least start after becomes the greatest before
+        starts = F.reverse(F.transform(e, lambda x: F.when(x["run"] == 0, -x["start"]).otherwise(F.lit(-(2 ** 62))).cast("long")))
+        return _let(_greatest_before(ends), lambda before: _let(F.reverse(_mirrored(starts)), lambda after: F.transform(
+            F.filter(F.transform(e, lambda x, i: F.struct(x.alias("x"), F.get(before, i).alias("b"), F.get(after, i).alias("a"))),
+                     lambda t: (t["x"]["run"] == 1) & (t["b"] <= t["x"]["start"]) & (-t["a"] >= t["x"]["end"])),
+            lambda t: F.struct(t["x"]["start"].alias("start"), t["x"]["kind"].alias("kind"), t["x"]["end"].alias("end"),
+                               t["x"]["value"].alias("value")))))
+
+    # A base span that starts with a run is told apart by sorting it first.
+    merged = _let(F.array_sort(F.concat(event(base, 0), event(runs, 1))), swept)
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(merged)
+
+
+def _mirrored(starts: Column) -> Column:
+    """``_greatest_before`` for values that may be below -1."""
+    shift = 2 ** 62
+    return F.transform(_greatest_before(F.transform(starts, lambda v: v + shift)), lambda v: F.when(
+        v < 0, F.lit(-shift).cast("long")).otherwise(v - shift))
+
+
 def prefix_sums(values: Column) -> Column:
     """Exclusive prefix sums of an array of longs, in blocks so that a text
     with very many matches stays cheap."""
@@ -92,23 +143,45 @@ def _narrow(pattern: str, least: int) -> str:
 
 
 def found(docs: DataFrame, text: str, doc_id: str, train_docs: int) -> DataFrame:
-    """(doc_id, base, candidates, words): the base spans, the token runs with
-    a letter that touch none of them, and for the documents of the training sample their
-    ordinary words."""
+    """(doc_id, base, runs, parts, words): the base spans, the token runs with
+    a letter and the parts of runs that touch none of them, and for the
+    documents of the training sample their words."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")))
     # The sample's bound is a key: the TRAIN_DOCS-th smallest of all ids.
     last = docs.select(key.alias("key")).orderBy("key").limit(train_docs).agg(F.max("key")).first()[0] or ""
     flat = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), key.alias("key"), whole.alias("whole"))
     base = F.concat(*[spans(F.col("whole"), _narrow(p, n) if k else p, 1, n, k) for k, (p, n) in enumerate(BASE.values())])
-    runs = spans(F.col("whole"), CANDIDATE, 1, 16, len(BASE))
-    words = F.regexp_extract_all("whole", F.lit(WORD_SAMPLE), F.lit(1))
-    held = flat.select("doc_id", "key", "whole", base.alias("base"), runs.alias("runs"))
-    apart = F.filter("runs", lambda r: r["value"].rlike("[A-Za-z]") & ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return held.select("doc_id", "base", apart.alias("candidates"),
+    held = flat.select("doc_id", "key", "whole", base.alias("base"), _scored(CANDIDATE).alias("runs"), _scored(PART).alias("parts"))
+    words = F.slice(F.regexp_extract_all("whole", F.lit(WORD_SAMPLE), F.lit(1)), 1, WORDS_PER_DOC)
+    return held.select("doc_id", "base", untouched(F.col("runs"), F.col("base")).alias("runs"),
+                       untouched(F.col("parts"), F.col("base")).alias("parts"),
                        F.when((F.col("key") <= last) & (F.size("base") == 0), words).alias("words"))
 
 
+def _scored(pattern: str) -> Column:
+    """The pattern's matches in ``whole`` that are long enough to be scored."""
+    return F.filter(spans(F.col("whole"), pattern, 1, 12, len(BASE)), lambda r: r["value"].rlike("[A-Za-z]") & (
+        (F.length(r["value"]) >= LEAST_LETTERS) | r["value"].rlike("[0-9]")))
+
+
+def identifiers(words: Column) -> Column:
+    """Ordinary identifiers made of a document's words: the words themselves,
+    and each three in a row joined as people join them."""
+    low = lambda i: F.lower(F.get(words, i))
+    cap = lambda i: F.initcap(F.get(words, i))
+    year = lambda i: (F.lit(1990) + F.pmod(F.hash(F.get(words, i)), F.lit(40))).cast("string")
+    two = lambda i, n: F.lpad((F.pmod(F.hash(F.get(words, i), F.lit(n)), F.lit(28)) + 1).cast("string"), 2, "0")
+    made = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0))), lambda i: F.array(
+        F.concat_ws("/", low(i), low(i + 1), low(i + 2)), F.concat_ws("_", low(i), low(i + 1), year(i), two(i, 1), two(i, 2)),
+        F.concat_ws("-", low(i), low(i + 1), year(i)), F.concat(low(i), cap(i + 1), cap(i + 2)), F.concat(cap(i), cap(i + 1), cap(i + 2)),
+        F.concat_ws("_", F.upper(low(i)), F.upper(low(i + 1))), F.concat_ws("/", cap(i), low(i + 1), F.concat(cap(i + 2), two(i, 3))),
+        F.concat_ws("-", low(i), F.lit("v"), two(i, 4)), F.concat_ws("=", low(i), low(i + 1)), F.concat_ws("+", low(i), low(i + 1)),
+        F.repeat(F.element_at(F.array(*[F.lit(c) for c in "=-_+/"]), (i % 5 + 1).cast("int")), 12),
+        F.concat(year(i), F.lit("-"), two(i, 5), F.lit("-"), two(i, 6)), F.concat_ws("_", low(i), two(i, 7))))
+    return F.when(F.size(words) >= 3, F.concat(words, F.flatten(made))).otherwise(words)
+
+
 def _codes(string: Column) -> Column:
     """States of a string's characters, 0-based."""
     return F.transform(F.split(string, ""), lambda c: F.pmod(
@@ -126,12 +199,12 @@ def train(rows: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
 
     Random strings are the base values of ``train_docs`` documents that have
     some (smallest md5 of the id); ordinary ones the words of the sampled
-    documents that have none."""
+    documents that have none, alone and joined to identifiers."""
     labelled = (rows.where("size(base) > 0").select(F.md5(F.col("doc_id").cast("string")).alias("key"), "base")
                 .orderBy("key", F.col("base")).limit(train_docs))
     counted = lambda df, strings: df.select(F.explode(_steps(strings)).alias("step")).groupBy("step").count()
     random = counted(labelled, F.transform("base", lambda b: b["value"]))
-    plain = counted(rows.where("words is not null"), F.col("words"))
+    plain = counted(rows.where("words is not null"), identifiers(F.col("words")))
 
     tables = []
     for steps in (random, plain):
@@ -175,8 +248,11 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", train_docs
     """
     rows = materialize(found(docs, text, doc_id, train_docs), "secret-spans")
     ratio = train(rows, train_docs)
-    added = F.filter("candidates", lambda c: mean_ratio(c["value"], ratio) > margin)
-    return rows.select("doc_id", F.array_sort("base").alias("base"), added.alias("added"))
+    likely = lambda name: F.filter(name, lambda c: mean_ratio(c["value"], ratio) > margin)
+    scored = rows.select("doc_id", F.array_sort("base").alias("base"), likely("runs").alias("runs"), likely("parts").alias("parts"))
+    # A part counts where its whole run does not.
+    added = F.array_sort(F.concat("runs", untouched(F.col("parts"), F.col("runs"))))
+    return scored.select("doc_id", "base", added.alias("added"))
 
 
 def listed(found_spans: Column) -> Column:

@@ -53,3 +53,50 @@ def test_messy_and_empty(messy, messy_rows):
     found = S.scan(messy).collect()
     assert len(found) == len(messy_rows)
     assert S.scan(messy.limit(0)).collect() == []
+
+
+def test_untouched_runs_match_all_pairs(spark):
+    from pyspark.sql import functions as F
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        cuts = sorted(rng.sample(range(4000), 2 * rng.choice([0, 1, 5, 300])))
+        spans = [(a, 0, b, "v") for a, b in zip(cuts[::2], cuts[1::2])]
+        base = [s for s in spans if rng.random() < 0.4]
+        base += [(a, 1, a + rng.randint(1, 30), "w") for a in rng.sample(range(4000), rng.choice([0, 3, 200]))]  # overlap each other
+        rows.append((i, spans, base))
+    kind = "array<struct<start: long, kind: int, end: long, value: string>>"
+    found = spark.createDataFrame(rows, f"i int, runs {kind}, base {kind}").select("i", S.untouched(F.col("runs"), F.col("base")).alias("u"))
+    got = {r.i: [tuple(x) for x in r.u] for r in found.collect()}
+    for i, runs, base in rows:
+        assert got[i] == [r for r in runs if not any(b[0] < r[2] and r[0] < b[2] for b in base)]
+
+
+def test_many_runs_and_many_base_spans_in_one_text(spark):
+    text = " ".join(f"0123456789abcdef Zx9Kq2Lm7Pw4Rt8{i}" for i in range(4000))
+    row = S.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(row.base) == 4000
+
+
+# Identifiers as they stand in code and paths; none is a secret.
+ORDINARY = ["usr/local/share/documents", "src/main/java/org/example/App", "research-and-development-2024", "configuration_2023_09_30",
+            "model-release-version-2", "=====================x", "internationalization", "getElementsByClassName", "application/json",
+            "home/user/projects/readme", "MAX_CONNECTION_TIMEOUT", "HelloWorldApplication", "lib/python/site-packages", "data/2021/report_07",
+            "some_function_name_here", "camelCaseVariableName", "documentation/reference/manual", "http_server_v2_final",
+            "content-security-policy", "--------------------a"]
+
+
+def test_secrets_of_every_shape_are_found_and_identifiers_left(spark):
+    """Trained on the corpus, asked about strings that no generator of the training made."""
+    rng = random.Random(12)
+    draw = lambda n, a=S.ALPHABET[:62]: "".join(rng.choice(a) for _ in range(n))
+    shapes = [lambda: draw(32), lambda: draw(40, S.ALPHABET[:62] + "+/"), lambda: draw(32, S.ALPHABET[:26]), lambda: draw(24, "0123456789ABCDEF"),
+              lambda: f"sk_live_{draw(24)}", lambda: draw(14), lambda: f"documents/{draw(24)}/path", lambda: f"{draw(16, '0123456789abcdef')}-{draw(32)}"]
+    rows = [(10 ** 6 + 100 * k + i, f"the word is {f()} and more") for k, f in enumerate(shapes) for i in range(30)]
+    rows += [(2 * 10 ** 6 + i, f"see {p} for more") for i, p in enumerate(ORDINARY)]
+    corpus = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r for r in S.scan(corpus.union(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for k in range(len(shapes)):
+        assert sum(bool(found[10 ** 6 + 100 * k + i].added) for i in range(30)) >= 26, k
+    flagged = [p for i, p in enumerate(ORDINARY) if found[2 * 10 ** 6 + i].added]
+    assert len(flagged) <= 2, flagged
+    assert sum(len(r.added) for d, r in found.items() if d < 10 ** 6) <= 5
