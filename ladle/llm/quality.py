@@ -9,9 +9,11 @@ and every rerun gives the same thresholds.
 
 A document is an outlier if a rate lies beyond the far fence (quartile plus
 ``REACH`` times the spread between the quartiles) of its language and
-source; a source with fewer than ``MIN_DOCS`` documents takes the merged
-sketch of its language.  The thresholds (one row per language and source,
-broadcast once its bytes are measured) are joined to the documents.
+source.  A group's quartiles are drawn towards those of its language's merged
+sketch, and a language's towards the whole corpus's, by weight n / (n +
+``PRIOR_DOCS``), so a rare source or language is held against the wider ones.
+The thresholds (one row per language and source, broadcast once its bytes are
+measured) are joined to the documents.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
-MIN_DOCS = 50
+PRIOR_DOCS = 50   # documents that the wider sketch counts for in a group's quartiles
 REACH = 4
 # rate: (numerator, denominator, scale, least spread between the quartiles)
 RATES = {
@@ -125,17 +127,28 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*keys).agg(F.max("total").alias("total"), at(1).alias("q1"), at(3).alias("q3"))
 
 
-def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
-    """(t_lang, t_source, low, high): the fences of each language and source, maps by rate."""
+def _drawn(own: Column, total: Column, wide: Column, prior: int) -> Column:
+    """A group's quartile drawn towards the wider one, which counts for ``prior`` documents."""
+    return F.call_function("div", total * own + prior * wide, total + prior)
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
+    """(t_lang, t_source, low, high): the fences of each language and source, maps by rate.
+
+    Quartiles move smoothly with a group's size: the language's are drawn
+    towards the whole corpus's, the group's towards the language's."""
     own = _quartiles(sketch, ["lang", "source", "rate"])
-    merged = _quartiles(sketch.groupBy("lang", "rate", "bucket").agg(F.sum("n").alias("n")), ["lang", "rate"])
-    wide = merged.select(F.col("lang").alias("m_lang"), F.col("rate").alias("m_rate"), F.col("q1").alias("m1"),
-                         F.col("q3").alias("m3"))
+    of_lang = _quartiles(sketch.groupBy("lang", "rate", "bucket").agg(F.sum("n").alias("n")), ["lang", "rate"])
+    of_all = (_quartiles(sketch.groupBy("rate", "bucket").agg(F.sum("n").alias("n")), ["rate"])
+              .select(F.col("rate").alias("g_rate"), F.col("q1").alias("g1"), F.col("q3").alias("g3")))
+    wide = (of_lang.join(of_all, F.col("rate") == F.col("g_rate"))
+            .select(F.col("lang").alias("m_lang"), F.col("rate").alias("m_rate"),
+                    _drawn(F.col("q1"), F.col("total"), F.col("g1"), prior).alias("m1"),
+                    _drawn(F.col("q3"), F.col("total"), F.col("g3"), prior).alias("m3")))
     both = own.join(wide, F.col("lang").eqNullSafe(F.col("m_lang")) & (F.col("rate") == F.col("m_rate")))
-    enough = F.col("total") >= min_docs
     least = F.element_at(F.create_map(*[x for r, v in RATES.items() for x in (F.lit(r), F.lit(v[3]))]), F.col("rate"))
-    fenced = (both.withColumn("a", F.when(enough, F.col("q1")).otherwise(F.col("m1")))
-              .withColumn("b", F.when(enough, F.col("q3")).otherwise(F.col("m3")))
+    fenced = (both.withColumn("a", _drawn(F.col("q1"), F.col("total"), F.col("m1"), prior))
+              .withColumn("b", _drawn(F.col("q3"), F.col("total"), F.col("m3"), prior))
               .withColumn("spread", F.greatest(F.col("b") - F.col("a"), least.cast("long"))))
     fence = lambda c, r: F.max(F.when(F.col("rate") == r, c))
     aggregates = [fence(F.col("b") + reach * F.col("spread"), r).alias(f"{r}_high") for r in RATES]
@@ -143,9 +156,9 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH)
     return (fenced.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(*aggregates))
 
 
-def judged(rows: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+def judged(rows: DataFrame, prior: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """``rows`` of ``measured`` (read twice, so written by the caller) with ``kept``."""
-    fences = broadcast_if_small(thresholds(sketches(rows), min_docs, reach), pin=True)
+    fences = broadcast_if_small(thresholds(sketches(rows), prior, reach), pin=True)
     outlier = F.lit(False)
     for r in RATES:
         outlier = outlier | (F.col(r) > F.col(f"{r}_high"))
@@ -157,7 +170,7 @@ def judged(rows: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> Dat
 
 
 def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
-            source: str = "source", min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+            source: str = "source", prior: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """(doc_id, counts, rates, base_failed, kept) of every row.
 
     * null or empty text: no words, base_failed, not kept;
@@ -166,14 +179,14 @@ def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     * empty table: no rows.
     """
     rows = materialize(measured(docs, text, doc_id, lang, source), "quality-measured")
-    return judged(rows, min_docs, reach).select("doc_id", *COUNTS, *RATES, "base_failed", "kept")
+    return judged(rows, prior, reach).select("doc_id", *COUNTS, *RATES, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
-              source: str = "source", min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+              source: str = "source", prior: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """The rows of ``docs``, all columns, that ``quality`` keeps."""
     rows = materialize(measured(docs, text, doc_id, lang, source, row=True), "quality-rows")
-    return judged(rows, min_docs, reach).where("kept").select("row.*")
+    return judged(rows, prior, reach).where("kept").select("row.*")
 
 
 def _oracle() -> str:
@@ -211,9 +224,12 @@ v AS ({pairs}),
 e AS (SELECT lang, source, rate, least, {edge} AS v FROM v),
 o AS (SELECT lang, source, rate, least, count(*) AS total, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
       FROM e GROUP BY ALL),
-n AS (SELECT lang, rate, quantile_disc(v, 0.25) AS m1, quantile_disc(v, 0.75) AS m3 FROM e GROUP BY ALL),
-f AS (SELECT o.lang, o.source, o.rate, least, CASE WHEN total >= {MIN_DOCS} THEN q1 ELSE m1 END AS a,
-             CASE WHEN total >= {MIN_DOCS} THEN q3 ELSE m3 END AS b
+w AS (SELECT rate, quantile_disc(v, 0.25) AS g1, quantile_disc(v, 0.75) AS g3 FROM e GROUP BY ALL),
+k AS (SELECT lang, rate, count(*) AS total, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM e GROUP BY ALL),
+n AS (SELECT lang, rate, (total * q1 + {PRIOR_DOCS} * g1) // (total + {PRIOR_DOCS}) AS m1,
+             (total * q3 + {PRIOR_DOCS} * g3) // (total + {PRIOR_DOCS}) AS m3 FROM k JOIN w USING (rate)),
+f AS (SELECT o.lang, o.source, o.rate, least, (total * q1 + {PRIOR_DOCS} * m1) // (total + {PRIOR_DOCS}) AS a,
+             (total * q3 + {PRIOR_DOCS} * m3) // (total + {PRIOR_DOCS}) AS b
       FROM o JOIN n ON o.lang IS NOT DISTINCT FROM n.lang AND o.rate = n.rate),
 s AS (SELECT *, greatest(b - a, least) AS spread FROM f),
 t AS (SELECT lang, source, {high}, {low} FROM s GROUP BY ALL)

@@ -62,3 +62,22 @@ def test_kept_rows_keep_their_columns(messy):
     ids = Counter(r.doc_id for r in Q.quality(messy).where("kept").collect())
     assert Counter(r.doc_id for r in kept.collect()) == ids
     assert Q.keep_good(messy.limit(0)).collect() == [] == Q.quality(messy.limit(0)).collect()
+
+
+def test_fences_move_smoothly_with_a_groups_size(spark):
+    """No size at which a group is judged by itself all at once; a rare language is held against the others."""
+    import random
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    say = lambda marks: " ".join(rng.choice(words) + ("!" if rng.random() < marks else "") for _ in range(200))
+    big = [(i, say(0.02), "en", "big") for i in range(400)]
+    lows, loud = [], [say(0.3) for _ in range(51)]
+    for n in (49, 50, 51):
+        rows = big + [(1000 + i, loud[i], "en", "loud") for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        fence = Q.thresholds(Q.sketches(Q.measured(df, "text", "doc_id", "lang", "source"))).where("t_source = 'loud'").first()
+        lows.append(fence.mark_rate_high)
+    assert max(lows) - min(lows) < 0.1 * min(lows)
+    rare = big + [(2000, " ".join("LOUD!!" for _ in range(30)) + " " + say(0.9), "xx", "big")]
+    kept = {r.doc_id: r.kept for r in Q.quality(spark.createDataFrame(rare, "doc_id long, text string, lang string, source string")).collect()}
+    assert not kept[2000] and sum(kept[i] for i in range(400)) >= 398
