@@ -39,6 +39,9 @@ def random_key(doc_id: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
+BLOCK_BITS = 10  # ranges of a block, as a power of two
+
+
 def sized(docs: DataFrame, text: str, doc_id: str, source: str, seed: str, row: bool = False) -> DataFrame:
     """(doc_id, source, size, key) of every row, and the row itself if asked for."""
     carried = [F.struct("*").alias("row")] if row else []
@@ -91,10 +94,15 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     ranged = (rows.join(broadcast_if_small(plan), F.col("source").eqNullSafe(F.col("of")))
               .withColumn("range", F.shiftright(top * F.col("ranges"), 32)))
     per_range = ranged.groupBy("of", "range").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    in_source = Window.partitionBy("of").orderBy("range")
-    before = F.sum("words").over(in_source) - F.col("words")
-    at = (per_range.withColumn("before", before)
-          .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest")))
+    # Prefix sums in two levels: over blocks of ranges, then over the ranges of the block with the cut.
+    per_range = materialize(per_range.withColumn("block", F.shiftright("range", BLOCK_BITS)), "mix-ranges")
+    crossed = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest"))
+    in_source = lambda by: F.sum("words").over(Window.partitionBy("of").orderBy(by)) - F.col("words")
+    blocks = per_range.groupBy("of", "block").agg(F.sum("words").alias("words"), F.first("rest").alias("rest"))
+    block = (blocks.withColumn("before", in_source("block")).where(crossed)
+             .select(F.col("of").alias("block_of"), F.col("block").alias("cut_block"), F.col("before").alias("upto")))
+    at = (per_range.join(block, F.col("of").eqNullSafe(F.col("block_of")) & (F.col("block") == F.col("cut_block")))
+          .withColumn("before", F.col("upto") + in_source("range")).where(crossed)
           .select(F.col("of").alias("cut_of"), F.col("range").alias("cut_range"), "before"))
     # Only the range of the cut is sorted; repeated rows of one document are one entry.
     entries = (ranged.join(at, F.col("of").eqNullSafe(F.col("cut_of")) & (F.col("range") == F.col("cut_range")))
