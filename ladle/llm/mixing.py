@@ -5,10 +5,12 @@ source in key order is a uniform sample that every rerun repeats.  Keys are
 uniform, so equal key ranges hold equal shares of a source: the first 32 key
 bits, scaled by the source's number of ranges, *are* the range partitioning,
 without sampling, and a source with a third of all rows simply has more
-ranges.  Word counts are summed per range (map-side), an exclusive prefix sum
-over a source's ranges finds the range that holds its cut, and only that
-range is sorted to place the cut at the exact word.  A target above the
-source's size repeats whole epochs before the cut.
+ranges.  Word counts are summed per range (map-side); exclusive prefix sums,
+first over blocks of a source's ranges, then over the ranges of one block, find
+the range that holds its cut.  No source is sorted as a whole: only that range
+is, to place the cut at the exact word, which gives the rows that a full range
+sort would.  A target above the source's size repeats whole epochs before the
+cut.
 
 What is left is one row per source (epochs, cut key, words of the cut
 document), so applying the mix is a scan joined with a source-sized table,
