@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators import bitmaps as B
 from ladle.operators import eda as E
+from ladle.operators import exact as X
 from ladle.plans.registry import query
 from ladle.session import materialize
 from ladle.sources.tables import fixture, with_fixtures
@@ -105,6 +106,27 @@ def describe_reviews(spark, sf):
     return E.describe_columns(_reviews(spark, sf), ["recipeid", "authorid", "rating"])
 
 
+def _exact_sql(column: str) -> str:
+    x = f"cast({column} as hugeint)"
+    n, s, q = f"count({column})", f"sum({x})", f"sum({x} * {x})"
+    return (f"select '{column}' as column_name, {n} as count, cast({s} as double) / cast({n} as double) as mean, "
+            f"sqrt(cast({n} * {q} - {s} * {s} as double) / (cast({n} as double) * cast({n} - 1 as double))) as stddev from reviews")
+
+
+@query("describe_exact", oracle=with_fixtures(" union all ".join(map(_exact_sql, ["recipeid", "authorid", "rating"])), "reviews"))
+def describe_exact(spark, sf):
+    # A7 from exact integer sums: no rounding, the same bits for any partitioning.
+    return X.describe_exact(_reviews(spark, sf), {"recipeid": 0, "authorid": 0, "rating": 0})
+
+
+@query("author_means_exact", oracle=with_fixtures("""
+select authorid, count(rating) as n, cast(sum(rating) as double) / cast(count(rating) as double) as mean
+from reviews group by authorid
+""", "reviews"))
+def author_means_exact(spark, sf):
+    return X.means_exact(_reviews(spark, sf), "authorid", "rating")
+
+
 @query("distinct_counts", oracle=with_fixtures("""
 select 'n_ratings' as metric, count(*) as value from reviews
 union all
