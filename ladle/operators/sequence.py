@@ -51,6 +51,9 @@ def _key_value(df: DataFrame, key: str):
 # A key with more rows than this is "hot": its rows are split over many
 # tasks.  Any other key's rows fit comfortably in one task.
 HOT_KEY_ROWS = 1_000_000
+# A sample up to this size is paired with the later rows of its keys; a larger
+# one is looked up in their sorted ranges.  The rows are the same.
+JOINED_SAMPLE = 1_000
 
 
 def key_counts(df: DataFrame, key: str = "authorid") -> DataFrame:
@@ -201,7 +204,8 @@ def sample_rows(df: DataFrame, n: int, key: str = "review_id", salt: str = "7-",
 def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
                      holdout: bool = False, salt: str = "7-", seed: int | None = None,
                      order: Sequence[str] = ("datesubmitted", "review_id"),
-                     value: str = "recipeid", out: str = "nextrecipeid") -> DataFrame:
+                     value: str = "recipeid", out: str = "nextrecipeid",
+                     by_ranges: bool | None = None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Q6: frequent authors → drop latest → next recipe → sample ``n`` rows.
 
     Only the ``n`` sampled rows need a next item, so the sample is drawn
@@ -218,6 +222,13 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
        sampled row yields its next item, so a prolific author costs no
        single task anything.
 
+    That pairs every sampled row with all later ones of its key.  For a sample
+    of more than ``JOINED_SAMPLE`` rows (or with ``by_ranges=True``) step 3 is
+    an as-of lookup instead: the rows of the sampled keys are sorted once
+    (``leads``: a hot key over many ranges, a table of the ranges' first rows
+    for the successors of their last ones), and a sampled row's next item is
+    its successor, whatever ``n``.
+
     Same rows and values as ``sample_rows(next_item(...), n)``; ``seed``
     switches the md5 order to ``rand(seed)`` (the reference's random pick).
     """
@@ -235,6 +246,13 @@ def next_item_sample(features: DataFrame, n: int = 20, key: str = "authorid",
     # holds at most n rows, so it is materialised once (reliable checkpoint).
     ensure_checkpoint_dir(features.sparkSession)
     sample = sample_rows(kept, n, rid, salt, seed).checkpoint(eager=True)
+    if by_ranges or by_ranges is None and n > JOINED_SAMPLE:
+        keys = sample.select(F.col(key).alias("_k")).distinct()
+        own = pool.join(broadcast_bounded(keys, n), F.col(key) == F.col("_k"), "left_semi").select(*dict.fromkeys([key, *order, value]))
+        follows = (leads(own, key, order, value, hot_key_rows=hot_key_rows).select(F.col(rid).alias("_sid"), F.col(_LEAD1).alias("_next"))
+                   .join(broadcast_bounded(sample.select(F.col(rid).alias("_sid")), n), "_sid", "left_semi"))
+        return (sample.join(broadcast_bounded(follows, n), F.col(rid) == F.col("_sid"), "left")
+                .withColumn(out, F.col("_next")["v"]).drop("_sid", "_next").checkpoint(eager=True))
     probe = sample.select(F.col(key).alias("_k"), F.col(rid).alias("_sid"),
                           F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_spos"))
     later = (pool.select(key, F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_pos"),

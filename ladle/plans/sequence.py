@@ -71,3 +71,15 @@ def next_recipe_log(spark, sf):
 order by md5('7-' || cast(review_id as varchar)), review_id limit 50""", "recipes", "review_log"))
 def next_recipe_sample(spark, sf):
     return SQ.next_item_sample(_features(spark, sf, "review_log"), 50).select(*_COLS, "nextrecipeid")
+
+
+# A sample too large to be paired with all later rows: next items by sorted ranges.
+LARGE_SAMPLE = 5_000
+
+
+@query("next_recipe_sample_large", oracle=with_fixtures(
+    features_sql("reviews") + next_recipe_sql("features")
+    + f"""select {_sel(_COLS)}, nextrecipeid from seq
+order by md5('7-' || cast(review_id as varchar)), review_id limit {LARGE_SAMPLE}""", "recipes", "reviews"))
+def next_recipe_sample_large(spark, sf):
+    return SQ.next_item_sample(_features(spark, sf, "reviews"), LARGE_SAMPLE).select(*_COLS, "nextrecipeid")

@@ -1,5 +1,6 @@
 """Next-item sequences: skew-safe leads equal a plain window."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -127,3 +128,17 @@ def test_leads_with_date_key_and_null(spark):
     got = SQ.leads(df, "k", ["datesubmitted", "review_id"], "recipeid", partitions=3, hot_key_rows=1)
     m = {r.review_id: (r._lead1.v if r._lead1 else None) for r in got.collect()}
     assert m == {"a0": 1, "a1": 2, "a2": 3, "a3": None, "n0": 8, "n1": None}
+
+
+@pytest.mark.parametrize("holdout", [False, True])
+def test_sampled_next_items_by_ranges(spark, holdout):
+    """The same rows as pairing every sampled row with all later ones, one author holding a third of the log."""
+    import random
+    rng = random.Random(11)
+    rows = [(i, 1 if rng.random() < 0.34 else rng.randint(2, 40), rng.randint(1, 500), f"2024-01-{rng.randint(1, 28):02d}") for i in range(3000)]
+    log = spark.createDataFrame(rows, "review_id long, authorid int, recipeid int, datesubmitted string").repartition(6)
+    show = lambda df: sorted(map(tuple, df.select("review_id", "nextrecipeid").collect()))
+    joined = show(SQ.next_item_sample(log, 700, holdout=holdout, by_ranges=False))
+    assert len(joined) == 700 and sum(r[1] is not None for r in joined) > 600
+    assert show(SQ.next_item_sample(log, 700, holdout=holdout, by_ranges=True)) == joined
+    assert show(SQ.next_item_sample(log, 700, holdout=holdout, by_ranges=True, hot_key_rows=200)) == joined  # author 1 over many ranges
