@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ladle.session import materialize
 
@@ -21,10 +22,24 @@ def broadcast_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_R
     return F.broadcast(df) if bound <= max_rows else df
 
 
+def _bytes(name: str, kind: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        held = F.octet_length(c)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+        held = F.when(c.isNotNull(), 8 * F.size(c))
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        held = F.octet_length(F.to_json(F.struct(c)))
+    else:
+        held = F.lit(8)
+    return F.coalesce(held, F.lit(0))
+
+
 def size_in_bytes(df: DataFrame) -> int:
-    """Bytes of ``df``'s rows, measured as their JSON text plus a row header
-    (one distributed aggregate)."""
-    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
+    """Bytes of ``df``'s rows (one distributed aggregate): the length of texts,
+    eight a number, the JSON text of nested values, and a row header."""
+    row = sum((_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, pin: bool = False) -> DataFrame:
