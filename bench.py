@@ -27,7 +27,8 @@ HEADLINE = [
     "describe_reviews",    # Q1 EDA statistics
     "author_vectors",      # A1 + M6 author profile vectors
     "next_recipe",         # W1 + W2 next-recipe sequences (skew-safe)
-    "suggestions_reviews", # Q7 neighbour suggestions with score, on the larger log
+    "suggestions",         # Q7 neighbour suggestions with score
+    "suggestions_reviews", # Q7 on the larger log
     "als_rmse",            # Q8 ALS fit + held-out RMSE
     "als_top5_wide",       # Q9 top-5 recipes for every author
 ]
