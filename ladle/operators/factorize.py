@@ -19,7 +19,8 @@ The regularisation is that of MLlib: ``reg`` times the user's ratings.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,20 @@ def start_factors(ratings: DataFrame, side: str, rank: int, seed: int) -> DataFr
     return raw.select("id", F.transform("raw", lambda x: (x / norm).cast("float")).alias("features"))
 
 
+def _known(ratings: DataFrame, user: str, item: str) -> DataFrame:
+    return materialize(ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col("rating").isNotNull())
+                       .select(user, item, "rating"), "factor-ratings")
+
+
+def iterated(known: DataFrame, rank: int, reg: float, seed: int, user: str, item: str) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(user factors, item factors) after one iteration, after two, and so on; each is written."""
+    users = materialize(start_factors(known, user, rank, seed), "factor-start")
+    while True:
+        items = materialize(solve_side(known, users, item, user, rank, reg), "factor-items")
+        users = materialize(solve_side(known, items, user, item, rank, reg), "factor-users")
+        yield users, items
+
+
 def fit_factors(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.1, seed: int = 42,
                 user: str = "authorid", item: str = "recipeid") -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors) after ``iterations``, as MLlib's ``ALS``
@@ -145,14 +160,30 @@ def fit_factors(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: f
     Rows with a NULL id or rating are left out; rows that repeat a pair each
     count; no ratings: no factors.  All ids are ints.
     """
-    known = materialize(ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col("rating").isNotNull())
-                        .select(user, item, "rating"), "factor-ratings")
-    users = materialize(start_factors(known, user, rank, seed), "factor-start")
-    items = None
-    for _ in range(iterations):
-        items = materialize(solve_side(known, users, item, user, rank, reg), "factor-items")
-        users = materialize(solve_side(known, items, user, item, rank, reg), "factor-users")
-    return users, items
+    return next(islice(iterated(_known(ratings, user, item), rank, reg, seed, user, item), iterations - 1, None))
+
+
+def tune_factors(train: DataFrame, validation: DataFrame, ranks: Sequence[int], regs: Sequence[float], max_iters: Sequence[int],
+                 seed: int = 42, user: str = "authorid", item: str = "recipeid") -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """M11 + M12: ((rank, regParam, maxIter, rmse) best first, the best point's factors).
+
+    The points of one rank and regParam differ only in how far they iterate,
+    so one run of the longest scores them all on its way: a grid of 9 ranks, 14
+    regParams and 7 maxIters is 126 runs, not 882.  Validation rows of unknown
+    users or items drop out, as with MLlib's ``coldStartStrategy="drop"``."""
+    known, points, best = _known(train, user, item), [], None
+    for rank in ranks:
+        for reg in regs:
+            for i, (users, items) in enumerate(islice(iterated(known, rank, reg, seed, user, item), max(max_iters)), start=1):
+                if i not in max_iters:
+                    continue
+                error = F.col("rating").cast("double") - F.col("prediction")
+                rmse = predicted(validation, users, items, user, item).agg(F.sqrt(F.avg(error * error))).first()[0]
+                points.append((int(rank), float(reg), i, rmse))
+                if rmse is not None and (best is None or rmse < best[0]):
+                    best = rmse, (users, items)
+    metrics = train.sparkSession.createDataFrame(points, "rank int, regParam double, maxIter int, rmse double")
+    return metrics.orderBy(F.asc_nulls_last("rmse"), "rank", "regParam", "maxIter"), best[1] if best else None
 
 
 def predicted(ratings: DataFrame, users: DataFrame, items: DataFrame, user: str = "authorid", item: str = "recipeid") -> DataFrame:

@@ -307,6 +307,21 @@ def als_tuning(spark, sf):
                           (~F.isnan("rmse") & (F.col("rmse") > 0)).alias("finite"))
 
 
+@query("als_tuning_prefixes", oracle="""
+select 5 as rank, cast(g as double) as regParam, i as maxIter, true as as_fitted_alone
+from (select unnest([0.1, 0.3]) as g), (select unnest([1, 2]) as i)
+""")
+def als_tuning_prefixes(spark, sf):
+    """M11 + M12 in one run per rank and regParam: every point's RMSE is that of a fit which ends there."""
+    train, test = _split(_ratings(spark, sf))
+    train, test = materialize(train, "train"), materialize(test, "test")
+    metrics, _ = FZ.tune_factors(train, test, [5], [0.1, 0.3], [1, 2])
+    alone = [(reg, R.rmse(FZ.predicted(test, *FZ.fit_factors(train, 5, 1, reg))).first()["rmse"]) for reg in (0.1, 0.3)]
+    first = F.create_map(*[x for reg, e in alone for x in (F.lit(reg), F.lit(e))])
+    near = F.abs(F.col("rmse") - F.element_at(first, F.col("regParam"))) < 1e-3
+    return metrics.select("rank", "regParam", "maxIter", F.when(F.col("maxIter") == 1, near).otherwise(F.col("rmse") > 0).alias("as_fitted_alone"))
+
+
 @query("als_tuned_rmse", oracle=with_fixtures(_SPLIT_SQL + """
 select count(*) as n, true as best_of_grid, cast(0 as bigint) as differing from test
 where authorid in (select authorid from train) and recipeid in (select recipeid from train)

@@ -53,3 +53,15 @@ def test_nulls_repeats_and_nothing(spark):
     assert [r.id for r in users.collect()] == [1] == [r.id for r in items.collect()]
     users, items = A.fit_factors(frame(spark, rows).limit(0), rank=2, iterations=1)
     assert users.collect() == [] == items.collect()
+
+
+def test_one_run_scores_every_prefix(spark):
+    rows = low_rank(random.Random(8), 40, 50, 1500)
+    train, test = frame(spark, rows[:1300]), frame(spark, rows[1300:])
+    metrics, best = A.tune_factors(train, test, [2], [0.05, 5.0], [1, 3])
+    got = {(r.regParam, r.maxIter): r.rmse for r in metrics.collect()}
+    assert len(got) == 4 and list(got.values()) == sorted(got.values())
+    for (reg, i), rmse in got.items():
+        alone = R.rmse(A.predicted(test, *A.fit_factors(train, rank=2, iterations=i, reg=reg))).first().rmse
+        assert abs(alone - rmse) < 1e-4
+    assert abs(R.rmse(A.predicted(test, *best)).first().rmse - min(got.values())) < 1e-6
