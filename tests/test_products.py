@@ -65,3 +65,42 @@ def test_a_model_recommends_the_same(spark):
         for k in want:
             assert np.allclose([x[1] for x in got[k]], [x[1] for x in want[k]], atol=1e-5)
             assert [x[0] for x in got[k]] == [x[0] for x in want[k]]
+
+
+def test_near_items_of_one_norm_are_skipped_together(spark):
+    rng = np.random.default_rng(3)
+    around = [np.array(c, float) for c in ((1, 0, 0), (0, 1, 0), (0, 0, 1), (-1, 0, 0))]
+    vectors = [around[i % 4] + rng.normal(0, 0.01, 3) for i in range(800)]
+    items = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(vectors)]
+    queries = [(i, around[i % 3].tolist()) for i in range(30)]
+    found = P.top_products(factors(spark, queries), factors(spark, items), 5, block=50).collect()
+    assert {r.id: list(r.best_ids) for r in found} == brute(queries, items, 5)
+    assert max(r.blocks for r in found) <= 10  # of 16
+
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 4000])
+def test_every_product_without_bounds(spark, chunk_bytes):
+    rng = random.Random(4)
+    items = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)] + [(i, [1.0] * 4) for i in range(300, 310)]
+    queries = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(20)] + [(20, [0.0] * 4)]
+    found = P.all_products(factors(spark, queries), factors(spark, items), 6, chunk_bytes=chunk_bytes).collect()
+    assert {r.id: list(r.best_ids) for r in found} == brute(queries, items, 6)
+    few = P.all_products(factors(spark, queries), factors(spark, items[:2] + [(9, None)]), 6).collect()
+    assert {r.id: list(r.best_ids) for r in few} == brute(queries, items[:2], 6)
+    assert [r.best_ids for r in P.all_products(factors(spark, queries[:1]), factors(spark, items).limit(0), 6).collect()] == [[]]
+
+
+def test_recommendations_need_no_cross_join(spark, monkeypatch):
+    rng = random.Random(2)
+    ratings = spark.createDataFrame([(rng.randrange(40), rng.randrange(70), float(rng.randint(1, 5))) for _ in range(600)],
+                                    "authorid int, recipeid int, rating double")
+    model = R.fit_als(ratings, rank=3, max_iter=2)
+    calls = {name: getattr(model, name) for name in ("recommendForAllUsers", "recommendForAllItems")}
+    want = {name: {r[0]: [x[1] for x in r[1]] for r in f(4).collect()} for name, f in calls.items()}
+    for name in (*calls, "recommendForUserSubset", "recommendForItemSubset"):
+        monkeypatch.setattr(type(model), name, None)
+    for name, found in (("recommendForAllUsers", (R.recommend_for_users(model, None, 4), R.recommend_for_users(model, ratings, 4), R.recommend_all_pairs(model, 4))),
+                        ("recommendForAllItems", (R.recommend_for_items(model, None, 4), R.recommend_all_pairs(model, 4, for_items=True)))):
+        for f in found:
+            got = {r[0]: [x[1] for x in r[1]] for r in f.collect()}
+            assert got.keys() == want[name].keys() and all(np.allclose(got[k], v, atol=1e-5) for k, v in want[name].items())
