@@ -1,14 +1,16 @@
 """Alternating least squares whose normal equations are mergeable sums (M8).
 
 MLlib's solver gathers all ratings of a user in one block.  Here no user's
-ratings ever meet: the normal equations of a user are a sum over the ratings
+ratings have to meet: the normal equations of a user are a sum over the ratings
 (their item factors' outer products, the weighted factors and a count), so
-every task adds up what it happens to hold of a user, and only those partial
-sums, one small row per task and user, are shuffled and solved.
+tasks add up parts of a user, and only those partial sums are merged and solved.
 
 * ``partial_sums``: ratings meet the fixed side's factors by a join (a side of
-  measured size is broadcast, else AQE splits a hot key); a task folds its
-  rows batch by batch with numpy, holding at most ``HELD`` users.
+  measured size is broadcast, else AQE splits a hot key).  Up to ``HELD``
+  users, a task folds the rows it happens to hold, batch by batch with numpy.
+  With more, most rows would leave as sums of one rating, far wider than the
+  rating; then ratings are dealt by user first, those of a user with over
+  ``HOT`` of them to several tasks, and folded as streams over sorted rows.
 * ``solved``: partial sums are dealt by user and salt, merged, dealt by user,
   merged again and solved, each a stream over sorted rows.
 * ``fit_factors`` alternates; every side is written to the shared folder, so
@@ -31,6 +33,8 @@ from ladle.operators.bounded import broadcast_if_small
 from ladle.session import materialize
 
 HELD = 20_000   # users whose sums a task holds at a time
+HOT = 1_000_000  # ratings of a user dealt to one task
+FOLDED = 5_000   # ratings folded at a time
 SALTS = 16
 _SUMS = "id int, salt int, n long, sums array<double>"
 
@@ -55,44 +59,67 @@ def _folded(ids: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarra
     return ids[first], np.add.reduceat(n, first), np.add.reduceat(sums, first, axis=0)
 
 
-def partial_sums(ratings: DataFrame, factors: DataFrame, solve: str, fixed: str, rank: int, held: int = HELD) -> DataFrame:
+def _counted(ratings: DataFrame, solve: str, hot: int) -> tuple[int, dict[int, int]]:
+    """(ids of the side, {id: tasks its ratings need}) for those of over ``hot`` ratings."""
+    counts = ratings.groupBy(F.col(solve).cast("int").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    ids, many = counts.agg(F.count(F.lit(1)), F.collect_list(F.when((F.col("n") > hot) & F.col("id").isNotNull(), F.struct("id", "n")))).first()
+    return ids, {r["id"]: -(-r["n"] // hot) for r in many}  # at most one in ``hot`` ratings
+
+
+def partial_sums(ratings: DataFrame, factors: DataFrame, solve: str, fixed: str, rank: int, held: int = HELD, hot: int = HOT) -> DataFrame:
     """(id, salt, n, sums) of the side ``solve``: per task and id the packed
     outer products of the fixed side's factors, then the weighted factors."""
-    joined = (ratings.join(broadcast_if_small(factors.withColumnRenamed("id", fixed)), fixed)
-              .select(F.col(solve).cast("int").alias("id"), F.col("rating").cast("double").alias("rating"), "features"))
-    rows, columns = _packed(rank)
+    joined = ratings.join(broadcast_if_small(factors.withColumnRenamed("id", fixed)), fixed)
+    columns = [F.col(solve).cast("int").alias("id"), F.col("rating").cast("double").alias("rating"), "features"]
+    rows, cols = _packed(rank)
+    ids, many = _counted(ratings, solve, hot)
+    dealt = ids > held
+
+    def folds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, FOLDED):
+                part = batch.slice(at, FOLDED)
+                f = part.column(2).flatten().to_numpy().astype(np.float64).reshape(-1, rank)
+                sums = np.concatenate([f[:, rows] * f[:, cols], f * part.column(1).to_numpy()[:, None]], axis=1)
+                yield _folded(part.column(0).to_numpy(), np.ones(len(f), np.int64), sums)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId() % SALTS
+        if dealt:
+            for found in _by_runs(folds(batches)):
+                yield _batch_of(found[0], salt, *found[1:])
+            return
         parts: list[tuple] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            f = batch.column(2).flatten().to_numpy().astype(np.float64).reshape(-1, rank)
-            sums = np.concatenate([f[:, rows] * f[:, columns], f * batch.column(1).to_numpy()[:, None]], axis=1)
-            parts.append(_folded(batch.column(0).to_numpy(), np.ones(len(f), np.int64), sums))
+        for part in folds(batches):
+            parts.append(part)
             if sum(len(p[0]) for p in parts) > held:
-                merged = _folded(*(np.concatenate(x) for x in zip(*parts)))
-                parts = [merged]
-                if len(merged[0]) > held // 2:
-                    yield _batch_of(merged[0], salt, *merged[1:])
-                    parts = []
+                parts = [_folded(*(np.concatenate(x) for x in zip(*parts)))]
         if parts:
             merged = _folded(*(np.concatenate(x) for x in zip(*parts)))
             yield _batch_of(merged[0], salt, *merged[1:])
 
-    return joined.mapInArrow(fold, _SUMS)
+    if not dealt:
+        return joined.select(*columns).mapInArrow(fold, _SUMS)
+    ways = F.lit(1)
+    if many:
+        ways = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in many.items() for x in pair]), F.col(solve).cast("int")), ways)
+    part = F.pmod(F.xxhash64(fixed, "rating"), ways).alias("part")
+    return (joined.select(*columns, part).repartition("id", "part").sortWithinPartitions("id")
+            .select("id", "rating", "features").mapInArrow(fold, _SUMS))
 
 
-def _by_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Merged sums of rows sorted by id, complete ids at a time."""
-    kept = None
+def _sums_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        part = (batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).flatten().to_numpy().reshape(batch.num_rows, -1))
+        if batch.num_rows:
+            yield batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+def _by_runs(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Merged sums of parts sorted by id, complete ids at a time."""
+    kept = None
+    for part in parts:
         if kept is not None:
             part = tuple(np.concatenate(x) for x in zip(kept, part))
         ids, n, sums = _folded(*part)
@@ -108,11 +135,11 @@ def solved(sums: DataFrame, rank: int, reg: float) -> DataFrame:
     rows, columns = _packed(rank)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, n, total in _by_runs(batches):
+        for ids, n, total in _by_runs(_sums_of(batches)):
             yield _batch_of(ids, 0, n, total)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, n, total in _by_runs(batches):
+        for ids, n, total in _by_runs(_sums_of(batches)):
             matrix = np.zeros((len(ids), rank, rank))
             matrix[:, rows, columns] = total[:, :len(rows)]
             matrix[:, columns, rows] = total[:, :len(rows)]

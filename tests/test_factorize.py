@@ -1,3 +1,4 @@
+import collections
 import random
 
 import numpy as np
@@ -65,3 +66,21 @@ def test_one_run_scores_every_prefix(spark):
         alone = R.rmse(A.predicted(test, *A.fit_factors(train, rank=2, iterations=i, reg=reg))).first().rmse
         assert abs(alone - rmse) < 1e-4
     assert abs(R.rmse(A.predicted(test, *best)).first().rmse - min(got.values())) < 1e-6
+
+
+def test_many_users_leave_one_sum_each(spark):
+    rows = low_rank(random.Random(9), 400, 30, 6000)
+    ratings = frame(spark, rows)
+    start = A.start_factors(ratings, "recipeid", 3, 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts would meet in one task
+    try:
+        sums = A.partial_sums(ratings, start, "authorid", "recipeid", 3, held=50, hot=500).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    count = collections.Counter(a for a, *_ in rows)
+    found = collections.Counter(r.id for r in sums)
+    assert all(found[a] == 1 for a, n in count.items() if n <= 500) and 1 < found[0] <= -(-count[0] // 500)
+    assert {a: sum(r.n for r in sums if r.id == a) for a in count} == count
+    few = A.solved(A.partial_sums(ratings, start, "authorid", "recipeid", 3, held=50, hot=500), 3, 0.1)
+    a, b = ({r.id: np.array(r.features) for r in df.collect()} for df in (few, A.solve_side(ratings, start, "authorid", "recipeid", 3, 0.1)))
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-4) for k in a)
