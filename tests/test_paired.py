@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators import neighbours as NB
 from ladle.operators import paired as P
+from ladle.operators import pivots as PV
 
 _Q = "review_id string, recipeid long, q_vec array<double>, nextrecipeid int"
 
@@ -24,6 +25,11 @@ def _vectors(rng, n, width):
     return [[rng.gauss(0, 0.4) for _ in range(width)] for _ in range(n)]
 
 
+def _unit(v):
+    size = sum(x * x for x in v) ** 0.5
+    return [x / size for x in v]
+
+
 @pytest.mark.parametrize("k", [1, 3, 40])
 def test_same_rows_as_every_pair(spark, monkeypatch, k):
     monkeypatch.setattr(P, "CANDIDATES", 64)
@@ -62,3 +68,15 @@ def test_ids_are_integers_or_every_pair_is_made(spark):
     assert [(r.cand_id, r.sim) for r in NB.ranked_neighbours(q, c, None, 3).collect()] == [("b", 0.6)]
     empty = spark.createDataFrame([], _Q)
     assert NB.ranked_neighbours(empty, spark.createDataFrame([(1, [1.0])], "cand_id int, c_vec array<double>"), None, 3).collect() == []
+
+
+def test_visited_cells_leave_only_what_may_be_best(spark, monkeypatch):
+    monkeypatch.setattr(P, "CANDIDATES", 50)
+    left, ranked = [], NB.ranked
+    monkeypatch.setattr(PV, "ranked", lambda pairs, *a: left.append(pairs) or ranked(pairs, *a))
+    items = list(enumerate(_vectors(random.Random(5), 300, 5) + [[0.5] * 5] * 200))
+    q, c = _frames(spark, [(i, _unit(v)) for i, v in items], [(i, _unit(v)) for i, v in items[:15] + items[-5:]])
+    index = PV.pivot_index(c, None, pivots=2, cell_size=400)  # one cell
+    got = PV.pruned_neighbours(q, index, 3, keep=["nextrecipeid"])[0]
+    assert _rows(got) == _rows(NB.ranked_neighbours(q, c, None, 3, keep=["nextrecipeid"]))
+    assert left[0].count() < 20 * 499 / 3  # of all pairs
