@@ -6,6 +6,7 @@ from ladle.operators import clean as C
 from ladle.operators import sequence as SQ
 from ladle.plans.registry import query
 from ladle.plans.sql_shapes import features_sql, next_recipe_sql
+from ladle.session import materialize
 from ladle.sources.tables import fixture, with_fixtures
 
 _COLS = ["review_id", "authorid", "recipeid", "datesubmitted", "rating"]
@@ -15,6 +16,13 @@ def _features(spark, sf, reviews):
     return C.review_features(fixture(spark, sf, reviews), fixture(spark, sf, "recipes"))
 
 
+def _sampled(spark, sf, reviews, n):
+    # Read by several passes of the sample: the log meets the catalog once,
+    # and the columns that the passes need are written to the shared folder.
+    feats = materialize(_features(spark, sf, reviews).select(*_COLS), "review-features")
+    return SQ.next_item_sample(feats, n).select(*_COLS, "nextrecipeid")
+
+
 def _sel(cols):
     return ", ".join(cols)
 
@@ -70,7 +78,7 @@ def next_recipe_log(spark, sf):
     + f"""select {_sel(_COLS)}, nextrecipeid from seq
 order by md5('7-' || cast(review_id as varchar)), review_id limit 50""", "recipes", "review_log"))
 def next_recipe_sample(spark, sf):
-    return SQ.next_item_sample(_features(spark, sf, "review_log"), 50).select(*_COLS, "nextrecipeid")
+    return _sampled(spark, sf, "review_log", 50)
 
 
 # A sample too large to be paired with all later rows: next items by sorted ranges.
@@ -82,4 +90,4 @@ LARGE_SAMPLE = 5_000
     + f"""select {_sel(_COLS)}, nextrecipeid from seq
 order by md5('7-' || cast(review_id as varchar)), review_id limit {LARGE_SAMPLE}""", "recipes", "reviews"))
 def next_recipe_sample_large(spark, sf):
-    return SQ.next_item_sample(_features(spark, sf, "reviews"), LARGE_SAMPLE).select(*_COLS, "nextrecipeid")
+    return _sampled(spark, sf, "reviews", LARGE_SAMPLE)
