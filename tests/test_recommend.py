@@ -99,3 +99,24 @@ def test_all_users_equals_every_author(spark):
     ib = R.recommend_for_items(model, None, 2)
     ikey = lambda df: sorted((r.recipeid, tuple(x.authorid for x in r.recommendations)) for r in df.collect())
     assert ikey(ia) == ikey(ib)
+
+
+def test_training_rows_are_written_without_review_ids(spark, monkeypatch):
+    written, write = [], plans.materialize
+    keep = lambda df, label="table": written.append((label, write(df, label))) or written[-1][1]
+    for module in (plans, R):
+        monkeypatch.setattr(module, "materialize", keep, raising=False)
+    assert plans.als_rmse(spark, SMALL).first().agrees
+    rows = next(df for label, df in written if label == "ratings")
+    test = R.md5_split(_ratings(spark), "review_id", "als-")[1].count()
+    assert rows.count() == _ratings(spark).count() and rows.where("review_id is not null").count() == test
+
+
+def test_written_split_has_the_rows_of_md5_split(spark):
+    rows = [(None if i % 11 == 0 else f"r{i % 70}", i % 7, None if i % 13 == 0 else i) for i in range(200)]  # nulls and repeats
+    df = spark.createDataFrame(rows, "review_id string, authorid int, rating int")
+    key = lambda df: sorted(map(str, df.collect()))
+    train, test = R.md5_split(df, "review_id", "x-", 5, 2)
+    narrow, held = R.md5_split_written(df, "review_id", "x-", 5, 2)
+    assert held.columns == df.columns and key(held) == key(test) and held.count()
+    assert key(narrow) == key(train.drop("review_id")) and narrow.count()
