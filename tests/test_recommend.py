@@ -120,3 +120,9 @@ def test_written_split_has_the_rows_of_md5_split(spark):
     narrow, held = R.md5_split_written(df, "review_id", "x-", 5, 2)
     assert held.columns == df.columns and key(held) == key(test) and held.count()
     assert key(narrow) == key(train.drop("review_id")) and narrow.count()
+
+
+def test_more_iterations_leave_no_more_shuffles(spark):
+    ratings = _ratings(spark)
+    shuffles = lambda n: R.fit_als(ratings, rank=2, max_iter=n).userFactors.rdd.toDebugString().decode().count("ShuffledRDD")
+    assert shuffles(9) == shuffles(3)
