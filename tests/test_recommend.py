@@ -126,3 +126,15 @@ def test_more_iterations_leave_no_more_shuffles(spark):
     ratings = _ratings(spark)
     shuffles = lambda n: R.fit_als(ratings, rank=2, max_iter=n).userFactors.rdd.toDebugString().decode().count("ShuffledRDD")
     assert shuffles(9) == shuffles(3)
+
+
+def test_fits_hold_nothing_in_memory(spark, monkeypatch):
+    fitted, fit = [], R.ALS.fit
+    monkeypatch.setattr(R.ALS, "fit", lambda self, *a: fitted.append(self) or fit(self, *a))
+    train, _ = R.md5_split(_ratings(spark), "review_id", "als-")
+    best, _ = R.tune_als(train, ranks=[2], reg_params=[0.1, 0.3], max_iters=[1])
+    assert best.userFactors.count() and fitted
+    levels = {x for e in fitted for x in (e.getIntermediateStorageLevel(), e.getFinalStorageLevel())}
+    assert all("MEMORY" not in x for x in levels)
+    held = [x for x in spark.sparkContext._jsc.getPersistentRDDs().values() if str(x.name()) in ("userFactors", "itemFactors")]
+    assert held and not any(x.getStorageLevel().useMemory() for x in held)
