@@ -226,9 +226,10 @@ def detail_view(suggestions: DataFrame, recipes: DataFrame, picks: DataFrame | N
 
 def pick_detail(picks: DataFrame, recipes: DataFrame, pick_col: str = "recipeid1") -> DataFrame:
     """A per-user pick (e.g. the first ALS recommendation) joined to the
-    catalog entry of the picked recipe (inner, as in the app)."""
+    catalog entry of the picked recipe (inner, as in the app).  The catalog is
+    broadcast only after its bytes are measured."""
     cat = recipes.select(F.col("recipeid").alias(pick_col), "recipecategory",
                          first_element("images").alias("images"),
                          "recipeingredientparts", "recipeingredientquantities",
                          "recipeinstructions")
-    return picks.join(cat, pick_col, "inner").withColumn("has_image", has_image("images"))
+    return picks.join(broadcast_if_small(cat), pick_col, "inner").withColumn("has_image", has_image("images"))

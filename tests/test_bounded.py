@@ -15,3 +15,10 @@ def test_only_small_sides_are_broadcast(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan(big.join(broadcast_if_small(side, 100_000), "id"))
     assert "strategy=broadcast" not in plan(big.join(broadcast_if_small(side, 1_000), "id"))
+
+
+def test_a_large_side_is_not_broadcast_by_its_estimate(spark):
+    side, big = spark.range(100).selectExpr("id", "repeat('x', 100) as t"), spark.range(1000)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(big.join(side, "id", "left"))  # some KB by Spark's estimate
+    assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(side, 1_000), "id", "left"))

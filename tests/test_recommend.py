@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ladle.operators import recommend as R
+from ladle.operators.bounded import broadcast_if_small
 from ladle.plans import recommend as plans
 from ladle.sources.tables import fixture
 from tests.conftest import SMALL
@@ -138,3 +139,11 @@ def test_fits_hold_nothing_in_memory(spark, monkeypatch):
     assert all("MEMORY" not in x for x in levels)
     held = [x for x in spark.sparkContext._jsc.getPersistentRDDs().values() if str(x.name()) in ("userFactors", "itemFactors")]
     assert held and not any(x.getStorageLevel().useMemory() for x in held)
+
+
+def test_a_large_catalog_is_not_broadcast(spark, monkeypatch):
+    for module in (plans, R, plans.S):
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df, pin=False: broadcast_if_small(df, 0))
+    found = plans.als_pick_detail(spark, SMALL)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == found.where("shown_if_known").count() > 0
