@@ -213,6 +213,21 @@ def tune_factors(train: DataFrame, validation: DataFrame, ranks: Sequence[int],
     return metrics.orderBy(F.asc_nulls_last("rmse"), "rank", "regParam", "maxIter"), best[1] if best else None
 
 
+def tune_split(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[float], max_iters: Sequence[int], train_ratio: float = 0.9,
+               seed: int = 42, user: str = "authorid", item: str = "recipeid",
+               ) -> tuple[DataFrame, tuple[DataFrame, DataFrame] | None, tuple[DataFrame, DataFrame]]:
+    """M11 + M12 as ``TrainValidationSplit`` has them: ``ratings`` are split once,
+    at random by ``seed``; ``tune_factors`` scores the grid on the validation
+    rows; the best point is fitted again to all ratings.  Returns its metrics,
+    the factors of that fit (None if no point has an error) and the two sets."""
+    dealt = materialize(ratings.select(user, item, "rating").withColumn("_held", F.rand(seed) >= train_ratio), "tuning-split")
+    train, validation = dealt.where("not _held").drop("_held"), dealt.where("_held").drop("_held")
+    metrics, _ = tune_factors(train, validation, ranks, regs, max_iters, seed, user, item)
+    first = metrics.first()
+    best = None if first is None or first["rmse"] is None else fit_factors(ratings, first["rank"], first["maxIter"], first["regParam"], seed, user, item)
+    return metrics, best, (train, validation)
+
+
 def predicted(ratings: DataFrame, users: DataFrame, items: DataFrame, user: str = "authorid", item: str = "recipeid") -> DataFrame:
     """``ratings`` with ``prediction``; rows of unknown users or items drop out (M9)."""
     score = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)

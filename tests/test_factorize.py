@@ -84,3 +84,32 @@ def test_many_users_leave_one_sum_each(spark):
     few = A.solved(A.partial_sums(ratings, start, "authorid", "recipeid", 3, held=50, hot=500), 3, 0.1)
     a, b = ({r.id: np.array(r.features) for r in df.collect()} for df in (few, A.solve_side(ratings, start, "authorid", "recipeid", 3, 0.1)))
     assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-4) for k in a)
+
+
+def test_the_grid_is_split_scored_and_the_best_fitted_again(spark):
+    ratings = frame(spark, low_rank(random.Random(10), 40, 50, 1500))
+    metrics, best, (train, held) = A.tune_split(ratings, [2], [0.05, 5.0], [1, 3])
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(train.unionByName(held)) == key(ratings) and 0.05 < held.count() / ratings.count() < 0.15
+    first = metrics.first()
+    alone = A.fit_factors(train, rank=2, iterations=first.maxIter, reg=first.regParam)
+    assert metrics.count() == 4 and abs(R.rmse(A.predicted(held, *alone)).first().rmse - first.rmse) < 1e-4
+    again = A.fit_factors(ratings, rank=2, iterations=first.maxIter, reg=first.regParam)
+    for a, b in zip(best, again):
+        got, want = ({r.id: r.features for r in x.collect()} for x in (a, b))
+        assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-3) for k in want)
+    none, unfitted, _ = A.tune_split(ratings.limit(0), [2], [0.1], [1])
+    assert [r.rmse for r in none.collect()] == [None] and unfitted is None
+
+
+def test_every_prefix_is_compared_with_its_own_fit(spark, monkeypatch):
+    from ladle.plans import recommend as plans
+    from tests.conftest import SMALL
+
+    fits, fit = [], A.fit_factors
+    monkeypatch.setattr(A, "fit_factors", lambda rows, rank, iterations, reg, *a: fits.append((rank, iterations, reg, rows.count())) or fit(rows, rank, iterations, reg, *a))
+    found = plans.als_tuning_prefixes(spark, SMALL).collect()
+    train = plans._fitted_on(spark, SMALL)[0].count()
+    assert len(found) == 4 and all(r.as_fitted_alone for r in found)
+    fitted = {(r.rank, r.maxIter, r.regParam) for r in found}
+    assert {f[:3] for f in fits if f[3] < train} == fitted and sum(f[3] == train for f in fits) == 1
