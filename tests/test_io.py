@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from ladle.sources import files as IO
 
 
@@ -81,3 +83,15 @@ def test_broadcast_if_small_checks_size(spark):
     p2 = fact.join(broadcast_if_small(big, 400), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "BroadcastHashJoin" in p1
     assert "broadcast" not in p2.lower()
+
+
+def test_a_materialized_table_leaves_no_shuffle_files(spark):
+    from ladle.session import DROP_SHUFFLES, materialize
+
+    keep = [spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()]
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    files = lambda: {str(b.name()) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.diskBlockManager().getAllBlocks()) if str(b.name()).startswith("shuffle_")}
+    before = files()
+    table = materialize(keep[0])
+    assert not files() - before and spark.conf.get(DROP_SHUFFLES, None) is None
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, keep[0].collect()))
