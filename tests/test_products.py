@@ -104,3 +104,19 @@ def test_recommendations_need_no_cross_join(spark, monkeypatch):
         for f in found:
             got = {r[0]: [x[1] for x in r[1]] for r in f.collect()}
             assert got.keys() == want[name].keys() and all(np.allclose(got[k], v, atol=1e-5) for k, v in want[name].items())
+
+
+def test_rounds_take_several_chunks(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(i, [rng.gauss(0, 1) * 1.01 ** (i % 300) for _ in range(4)]) for i in range(500)]
+    queries = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)] + [(300, [0.0] * 4)]
+    written, write = [], P.materialize
+    monkeypatch.setattr(P, "materialize", lambda df, label="table": written.append(label) or write(df, label))
+    q, i = factors(spark, queries), factors(spark, items)
+    for most, rounds in ((1 << 20, 1), (8000, 3)):  # 500 items of 48 bytes in chunks of at most 16
+        monkeypatch.setattr(P, "ROUND_BYTES", most)
+        for search in (P.top_products, P.all_products):
+            written.clear()
+            found = search(q, i, 5, chunk_bytes=800).collect()
+            assert {r.id: list(r.best_ids) for r in found} == brute(queries, items, 5)
+            assert rounds <= written.count("product-round") <= 2 * rounds
